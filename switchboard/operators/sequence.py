@@ -1,0 +1,75 @@
+"""LAG over (PARTITION BY key ORDER BY ...) that survives hot keys.
+
+A window partitioned by key puts all rows of one key into one task. Here
+the frame is range partitioned on the global order (key, order...), so a
+key with a third of all rows is spread over many partitions. Inside each
+partition the previous row is a shift of the sorted rows; the first row of
+a partition takes the last row of the nearest non-empty partition before
+it, if that row has the same key. That carry table has one row per
+partition (bounded) and is broadcast.
+"""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import ensure_checkpoint_dir
+
+_PID, _LOC, _PREV, _FIRST = "_sb_pid", "_sb_loc", "_sb_prev", "_sb_first"
+
+
+def _shift_in_partition(key: str, value: str):
+    def run(batches):
+        last_key, last_val, seen = None, None, 0
+        for pdf in batches:
+            if pdf.empty:
+                yield pdf.assign(**{_LOC: pd.Series([], dtype="int64"), _PREV: pdf[value],
+                                    _FIRST: pd.Series([], dtype="bool")})
+                continue
+            k, v = pdf[key], pdf[value]
+            prev_k = k.shift(1)
+            prev_v = v.shift(1)
+            if seen:
+                prev_k.iloc[0] = last_key
+                prev_v.iloc[0] = last_val
+            same = (prev_k == k) & prev_k.notna()
+            prev = prev_v.where(same)
+            loc = pd.RangeIndex(seen + 1, seen + len(pdf) + 1).to_numpy()
+            first = pd.Series(loc == 1, index=pdf.index)
+            last_key, last_val = k.iloc[-1], v.iloc[-1]
+            seen += len(pdf)
+            yield pdf.assign(**{_LOC: loc, _PREV: prev, _FIRST: first})
+    return run
+
+
+def with_previous(df: DataFrame, partition_col: str, order_cols: list, value_col: str, out: str,
+                  num_partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = LAG(value_col) OVER (PARTITION BY partition_col ORDER BY order_cols).
+
+    ``order_cols`` must make the order total within a key (end with a unique
+    column). Rows with a NULL key form their own partition, as in SQL.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(partition_col).asc_nulls_first()] + [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .withColumn(_PID, F.spark_partition_id().cast("bigint")))
+    vtype = df.schema[value_col].dataType
+    schema = T.StructType(ranged.schema.fields + [T.StructField(_LOC, T.LongType(), False),
+                                                  T.StructField(_PREV, vtype, True),
+                                                  T.StructField(_FIRST, T.BooleanType(), False)])
+    local = ranged.mapInPandas(_shift_in_partition(partition_col, value_col), schema).checkpoint(eager=True)
+    # last row of each non-empty partition, then the one before each partition
+    last = local.groupBy(_PID).agg(F.max_by(F.struct(F.col(partition_col).alias("k"), F.col(value_col).alias("v")),
+                                            F.col(_LOC)).alias("_last"))
+    w = Window.orderBy(_PID)  # one row per partition: bounded
+    carry = last.select(_PID, F.lag("_last").over(w).alias("_carry"))
+    j = local.join(F.broadcast(carry), _PID, "left")
+    # NULL keys never continue across partitions: (NULL = NULL) is not true
+    from_prev_part = F.when(F.col("_carry.k") == F.col(partition_col), F.col("_carry.v"))
+    prev = F.when(F.col(_FIRST), from_prev_part).otherwise(F.col(_PREV))
+    return j.withColumn(out, prev).drop(_PID, _LOC, _PREV, _FIRST, "_carry")

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .plans import access as A
+from .plans import layered as L
 from .plans import views as V
 from .sources.warehouse import Warehouse
 
@@ -77,9 +79,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "program_margin": _view(V.program_margin),
     "client_executive_summary": _view(V.client_executive_summary),
     "queue_hourly": _view(V.queue_hourly),
+    "csat_rollup_layered": _view(L.csat_rollup_layered),
+    "agent_scorecard_layered": _view(L.agent_scorecard_layered),
+    "queue_hourly_layered": _view(L.queue_hourly_layered),
+    "xjoin_staging": _view(A.xjoin_staging),
+    "xjoin_ods": _view(A.xjoin_ods),
+    "xjoin_dm": _view(A.xjoin_dm),
 }
 
 
+def _scan(table: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return A.scan_count(table)(Warehouse.fixtures(spark, sf_dir)[table])
+    run.__name__ = f"scan_count_{table}"
+    return run
+
+
+for _t in A.SCAN_PREDICATES:
+    QUERIES[f"scan_count_{_t}"] = _scan(_t)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -344,3 +344,34 @@ BUILDERS = {f.__name__: f for f in (
 
 def union_all(dfs) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), dfs)
+
+
+def stg_fin_invoice_line(fx: Fixtures) -> DataFrame:
+    li = F.col("l_linenumber")
+    return fx("lineitem").select(
+        (F.col("l_orderkey") * 10 + li).alias("invoice_line_id"), F.col("l_orderkey").alias("invoice_id"),
+        F.col("l_quantity").cast("decimal(12,2)").alias("qty"),
+        F.col("l_extendedprice").cast("decimal(14,2)").alias("line_amount"),
+        (F.col("l_discount") > 0.05).alias("adjustment_flag"))
+
+
+def fact_billing_line(fx: Fixtures) -> DataFrame:
+    li = fx("lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_extendedprice")
+    s = fx("supplier").select("s_suppkey", "s_nationkey")
+    n = fx("nation").select("n_nationkey", "n_regionkey")
+    j = li.join(s, li.l_suppkey == s.s_suppkey).join(n, F.col("s_nationkey") == F.col("n_nationkey"))
+    return j.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("invoice_line_id"),
+                    F.col("l_orderkey").alias("invoice_id"),
+                    F.col("n_regionkey").cast("bigint").alias("client_sk"),
+                    F.col("s_nationkey").cast("bigint").alias("program_sk"),
+                    F.col("l_extendedprice").cast("decimal(14,2)").alias("line_amount"),
+                    month_start("l_shipdate").alias("period_month"))
+
+
+def stg_tel_call(fx: Fixtures) -> DataFrame:
+    return fx("orders").select(
+        F.col("o_orderkey").alias("call_id"), (F.col("o_custkey") % 50).alias("queue_id"),
+        epoch_seconds("o_orderdate").alias("start_epoch"), F.to_date("o_orderdate").alias("load_date"))
+
+
+BUILDERS.update({f.__name__: f for f in (stg_fin_invoice_line, fact_billing_line, stg_tel_call)})

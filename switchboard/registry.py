@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .plans import access as A
+from .plans import layer_jobs as J
 from .plans import layered as L
 from .plans import views as V
 from .sources.warehouse import Warehouse
@@ -99,10 +100,15 @@ for _t in A.SCAN_PREDICATES:
     QUERIES[f"scan_count_{_t}"] = _scan(_t)
 
 
+for _name, _fn in J.JOBS.items():
+    QUERIES[_name] = (lambda f: (lambda spark, sf_dir: _compare(f(spark, sf_dir))))(_fn)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
     from .oracle import ORACLE
-    return {k: v for k, v in ORACLE.items() if k in QUERIES}
+    from .oracle_layers import ORACLE_LAYERS
+    return {k: v for k, v in {**ORACLE, **ORACLE_LAYERS}.items() if k in QUERIES}

@@ -100,3 +100,13 @@ def bar_concat(*cols) -> Column:
 
 def as_double_rounded(x, digits: int = 4) -> Column:
     return F.round(col(x).cast("double"), digits)
+
+
+def ntz_to_instant(ts) -> Column:
+    """NTZ wall-clock time read as UTC -> TIMESTAMP (instant), zone-free."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch_ntz(), col(ts)))
+
+
+def instant_to_ntz(ts) -> Column:
+    """TIMESTAMP (instant) -> NTZ wall-clock time in UTC, zone-free."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(col(ts)), epoch_ntz())

@@ -88,27 +88,17 @@ def refresh_materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = _fx(spark, sf_dir)
     li = fx("lineitem")
     old_li = li.where(F.col("l_orderkey") % 2 == 0)
-    base_old = B.fact_queue_interval(_Sub(fx, {"lineitem": old_li}))
+    base_old = B.fact_queue_interval(fx.with_tables({"lineitem": old_li}))
     base_new = B.fact_queue_interval(fx)
     path = L.scratch_path(spark, "mv_agg_queue_hourly")
     L.refresh_materialized(V.queue_hourly(base_old), path, "date_key")
-    touched = B.fact_queue_interval(_Sub(fx, {"lineitem": li.where(F.col("l_orderkey") % 2 == 1)})).select("date_key")
+    touched = B.fact_queue_interval(fx.with_tables({"lineitem": li.where(F.col("l_orderkey") % 2 == 1)})).select("date_key")
     L.refresh_materialized(V.queue_hourly(base_new), path, "date_key", touched)
     back = spark.read.parquet(path)
     return back.select("queue_sk", "hour_of_day", "offered", "answered", "abandoned", "answered_in_sl",
                        F.col("date_key").cast("bigint").alias("date_key"))
 
 
-class _Sub:
-    """Fixtures with some tables replaced by derived frames."""
-
-    def __init__(self, fx, repl):
-        self.fx, self.repl = fx, repl
-
-    def __call__(self, name):
-        return self.repl.get(name) if name in self.repl else self.fx(name)
-
-
 AUDIT_TARGETS = {"event_id": "bigint", "ts": "timestamp", "value": "decimal(12,2)", "props": "bigint",
                  "created_ms": "bigint", "start_epoch": "bigint"}
 

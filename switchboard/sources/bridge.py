@@ -32,6 +32,25 @@ class Fixtures:
     def __call__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def path(self, name: str) -> str:
+        return f"{self.sf_dir}/{name}.parquet"
+
+    def with_tables(self, replacements: dict) -> "Fixtures":
+        """The same fixtures with some tables replaced by derived (or
+        streaming) frames; bridge builders then run on those."""
+        outer = self
+
+        class _Replaced(Fixtures):
+            def __call__(self, name):
+                return replacements[name] if name in replacements else outer(name)
+        return _Replaced(self.spark, self.sf_dir)
+
+    def stream(self, name: str, max_files_per_trigger: int = 1) -> DataFrame:
+        """The table as a file stream (its folder, filtered to its file)."""
+        schema = self(name).schema
+        return (self.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+                .option("maxFilesPerTrigger", max_files_per_trigger).parquet(self.sf_dir))
+
 
 def _channel(event_type):
     return (F.when(event_type == "click", "VOICE").when(event_type == "view", "CHAT")

@@ -35,7 +35,10 @@ def _shift_in_partition(key: str, value: str):
             if seen:
                 prev_k.iloc[0] = last_key
                 prev_v.iloc[0] = last_val
-            same = (prev_k == k) & prev_k.notna()
+            has_prev = pd.Series(True, index=pdf.index)
+            has_prev.iloc[0] = bool(seen)
+            # NULL keys form one group, as in PARTITION BY
+            same = has_prev & ((prev_k == k) | (prev_k.isna() & k.isna()))
             prev = prev_v.where(same)
             loc = pd.RangeIndex(seen + 1, seen + len(pdf) + 1).to_numpy()
             first = pd.Series(loc == 1, index=pdf.index)
@@ -45,13 +48,38 @@ def _shift_in_partition(key: str, value: str):
     return run
 
 
+# A key group up to this many rows may be sorted inside one task.
+SINGLE_TASK_GROUP_ROWS = 5_000_000
+SAMPLE_FRACTION = 0.01
+
+
+def largest_group_estimate(df: DataFrame, key: str, fraction: float = SAMPLE_FRACTION, seed: int = 17) -> float:
+    """Rows of the heaviest key, estimated from a seeded sample (only the key
+    column is read; the sample is aggregated with a partial aggregate)."""
+    r = (df.select(key).sample(fraction=fraction, seed=seed).groupBy(key).count()
+         .agg(F.max("count").alias("m")).first())
+    return ((r["m"] or 0) if r else 0) / fraction
+
+
 def with_previous(df: DataFrame, partition_col: str, order_cols: list, value_col: str, out: str,
-                  num_partitions: int | None = None) -> DataFrame:
+                  num_partitions: int | None = None, strategy: str = "auto") -> DataFrame:
     """Add ``out`` = LAG(value_col) OVER (PARTITION BY partition_col ORDER BY order_cols).
 
     ``order_cols`` must make the order total within a key (end with a unique
-    column). Rows with a NULL key form their own partition, as in SQL.
+    column). Rows with a NULL key form one group, as in SQL.
+
+    strategy: ``window`` - Spark's window partitioned by key (one key's rows
+    in one task); ``ranged`` - range partitions of the global order (hot keys
+    split across tasks); ``auto`` - ``window`` only when a sample shows that
+    the heaviest key stays under ``SINGLE_TASK_GROUP_ROWS``.
     """
+    if strategy == "auto":
+        heavy = largest_group_estimate(df, partition_col)
+        strategy = "window" if heavy * 2 <= SINGLE_TASK_GROUP_ROWS else "ranged"
+    if strategy == "window":
+        order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+        w = Window.partitionBy(partition_col).orderBy(*order)
+        return df.withColumn(out, F.lag(value_col).over(w))
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -69,7 +97,8 @@ def with_previous(df: DataFrame, partition_col: str, order_cols: list, value_col
     w = Window.orderBy(_PID)  # one row per partition: bounded
     carry = last.select(_PID, F.lag("_last").over(w).alias("_carry"))
     j = local.join(F.broadcast(carry), _PID, "left")
-    # NULL keys never continue across partitions: (NULL = NULL) is not true
-    from_prev_part = F.when(F.col("_carry.k") == F.col(partition_col), F.col("_carry.v"))
+    # null-safe: NULL keys form one group, as in PARTITION BY
+    from_prev_part = F.when(F.col("_carry").isNotNull() & F.col("_carry.k").eqNullSafe(F.col(partition_col)),
+                            F.col("_carry.v"))
     prev = F.when(F.col(_FIRST), from_prev_part).otherwise(F.col(_PREV))
     return j.withColumn(out, prev).drop(_PID, _LOC, _PREV, _FIRST, "_carry")

@@ -37,6 +37,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     if "spark.checkpoint.dir" not in conf and not _conf_from_env("spark.checkpoint.dir"):
         # local runs only: a cluster names its shared folder itself
         conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="switchboard-ckpt-")
+        conf.setdefault("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="switchboard-wh-"))
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()

@@ -55,8 +55,21 @@ class Warehouse:
 
     @classmethod
     def from_root(cls, spark: SparkSession, root: str, fmt: str = "parquet") -> "Warehouse":
+        """Tables under ``root``; declared schemas are used (never inferred),
+        with the partition folders' columns appended."""
+        from . import schemas
         root = root.rstrip("/")
-        return cls(spark, lambda name: spark.read.format(fmt).load(f"{root}/{name}"))
+
+        def resolve(name: str) -> DataFrame:
+            r = spark.read.format(fmt)
+            if name in schemas.COLUMNS:
+                from pyspark.sql.types import LongType, StructField, StructType
+                sch = schemas.schema(name)
+                extra = [StructField(c, LongType(), True) for c in schemas.partition_columns(name)
+                         if c not in sch.fieldNames()]
+                r = r.schema(StructType(sch.fields + extra))
+            return r.load(f"{root}/{name}")
+        return cls(spark, resolve)
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str | None = None) -> "Warehouse":

@@ -92,3 +92,19 @@ def test_call_driver_first_match_wins(spark):
                                ("D4", None), ("D5", "[abc] x")], "disposition_code string, disposition_desc string")
     out = {(r["call_driver"], r["embedded_ref_no"]) for r in V.call_driver_regex(c, d).collect()}
     assert out == {("BILLING", "12"), ("RETENTION", None), ("AB", None), ("OTHER", None)}
+
+
+def test_shrinkage_weighted_sums_equal_literal_fanout(spark):
+    f = spark.createDataFrame([(1, 20240101, 60, 55, 5, 1), (1, 20240101, 30, 20, 2, 0), (2, 20240101, 10, 10, 0, 0),
+                               (3, 20240102, 40, 40, 1, 1), (None, 20240102, 7, 7, 7, 7)],
+                              "agent_sk long, date_key long, scheduled_minutes long, worked_minutes long, "
+                              "exception_minutes long, timeoff_minutes long")
+    a = spark.createDataFrame([(1, 11, "S1"), (2, 12, "S1"), (3, 13, "S2")], "agent_sk long, agent_id long, site_code string")
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    s = spark.createDataFrame([(100, 11, 1, d1), (101, 11, 2, d1), (102, 12, 1, d1), (103, 13, 3, d2), (104, 13, None, d2)],
+                              "schedule_id long, agent_id long, shift_id long, sched_date date")
+    sh = spark.createDataFrame([(1, 1, True), (2, 2, False), (3, 3, True), (3, 30, True)],
+                               "shift_sk long, shift_id long, overnight_flag boolean")
+    got = sorted(tuple(r) for r in V.shrinkage_analysis(f, a, s, sh).collect())
+    exp = sorted(tuple(r) for r in V.shrinkage_analysis_literal(f, a, s, sh).collect())
+    assert got == exp and len(got) == 2

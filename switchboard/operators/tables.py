@@ -134,17 +134,27 @@ def expire_partitions(spark: SparkSession, path: str, partition_col: str, as_of:
     return sorted(dropped)
 
 
-def refresh_materialized(view: DataFrame, path: str, partition_col: str, touched: DataFrame | None = None) -> None:
+def refresh_materialized(view: DataFrame, path: str, key: str, touched: DataFrame | None = None,
+                         key_range: tuple[int, int, int] | None = DATE_KEY_RANGE) -> None:
     """Make the stored result equal the query on the current base.
 
-    With ``touched`` (one column, the partition keys whose base rows
-    changed) only those partitions are recomputed and overwritten
+    The result is stored in the table's declared layout: range buckets of
+    ``key`` (``key_range``), or one folder per key value when ``key_range``
+    is None. With ``touched`` (one column: the keys whose base rows changed)
+    only the partitions holding those keys are recomputed and overwritten
     (dynamic overwrite); without it the whole result is rewritten.
     """
-    if touched is not None:
-        keys = touched.select(F.col(touched.columns[0]).alias(partition_col)).distinct()
-        view = view.join(keys, partition_col, "left_semi")
-    write_date_partitioned(view, path, partition_col)
+    if key_range is None:
+        part, view_p = key, view
+        tk = None if touched is None else touched.select(F.col(touched.columns[0]).alias(part)).distinct()
+    else:
+        part = key + BUCKET_SUFFIX
+        view_p = view.withColumn(part, range_bucket(key, *key_range))
+        tk = None if touched is None else (touched.select(range_bucket(touched.columns[0], *key_range).alias(part))
+                                           .distinct())
+    if tk is not None:
+        view_p = view_p.join(tk, view_p[part].eqNullSafe(tk[part]), "left_semi")
+    write_date_partitioned(view_p, path, part)
 
 
 def conformance_audit(df: DataFrame, targets: dict[str, str], epoch_ms_cols: tuple = (),

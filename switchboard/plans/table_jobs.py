@@ -95,8 +95,7 @@ def refresh_materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
     touched = B.fact_queue_interval(fx.with_tables({"lineitem": li.where(F.col("l_orderkey") % 2 == 1)})).select("date_key")
     L.refresh_materialized(V.queue_hourly(base_new), path, "date_key", touched)
     back = spark.read.parquet(path)
-    return back.select("queue_sk", "hour_of_day", "offered", "answered", "abandoned", "answered_in_sl",
-                       F.col("date_key").cast("bigint").alias("date_key"))
+    return back.select("queue_sk", "hour_of_day", "offered", "answered", "abandoned", "answered_in_sl", "date_key")
 
 
 AUDIT_TARGETS = {"event_id": "bigint", "ts": "timestamp", "value": "decimal(12,2)", "props": "bigint",

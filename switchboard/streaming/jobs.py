@@ -26,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import exprs as X
 from ..operators import transforms as T
+from ..operators.tables import BUCKET_SUFFIX, DATE_KEY_RANGE, range_bucket
 
 KEY_BUCKETS = 64
 
@@ -43,13 +44,17 @@ def _upsert_partitions(batch: DataFrame, target: str, keys: list[str], partition
     and written with dynamic partition overwrite.
     """
     spark = batch.sparkSession
-    merged = batch
-    if _exists(spark, target):
-        touched = batch.select(partition_col).distinct()
-        old = spark.read.parquet(target).join(touched, partition_col, "left_semi")
-        old = old.join(batch.select(*keys), keys, "left_anti").select(*batch.columns)
-        merged = batch.unionByName(old)
-    merged = merged.checkpoint(eager=True)
+    batch = batch.persist()  # read twice below; recomputable from the stream's batch
+    try:
+        merged = batch
+        if _exists(spark, target):
+            touched = batch.select(partition_col).distinct()
+            old = spark.read.parquet(target).join(touched, partition_col, "left_semi")
+            old = old.join(batch.select(*keys), keys, "left_anti").select(*batch.columns)
+            merged = batch.unionByName(old)
+        merged = merged.checkpoint(eager=True)
+    finally:
+        batch.unpersist()
     (merged.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), F.col(partition_col))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(target))
 
@@ -65,7 +70,9 @@ def queue_hourly_stream(fact_queue_interval: DataFrame, target: str, checkpoint:
                      "abandoned", "answered_in_sl", X.date_key(start).alias("date_key"))
 
     def write(batch: DataFrame, _epoch: int) -> None:
-        _upsert_partitions(batch, target, ["queue_sk", "hour_of_day", "date_key"], "date_key")
+        # stored in the table's layout: month buckets of date_key
+        b = batch.withColumn("date_key" + BUCKET_SUFFIX, range_bucket("date_key", *DATE_KEY_RANGE))
+        _upsert_partitions(b, target, ["queue_sk", "hour_of_day", "date_key"], "date_key" + BUCKET_SUFFIX)
 
     w = out.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if available_now else w).start()

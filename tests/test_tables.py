@@ -57,14 +57,27 @@ def test_expire_partitions_drops_only_old_dates(spark):
 def test_refresh_touches_only_given_partitions(spark):
     a = spark.createDataFrame([(1, 10), (2, 20)], "date_key long, v long")
     path = L.scratch_path(spark, "t_mv")
-    L.refresh_materialized(a, path, "date_key")
+    L.refresh_materialized(a, path, "date_key", key_range=None)
     b = spark.createDataFrame([(1, 11), (2, 99), (3, 30)], "date_key long, v long")
     touched = spark.createDataFrame([(1,), (3,)], "date_key long")
-    L.refresh_materialized(b, path, "date_key", touched)
+    L.refresh_materialized(b, path, "date_key", touched, key_range=None)
     got = sorted((r["date_key"], r["v"]) for r in spark.read.parquet(path).collect())
     assert got == [(1, 11), (2, 20), (3, 30)]
 
 
+def test_refresh_in_month_buckets(spark):
+    a = spark.createDataFrame([(20240105, 10), (20240210, 20), (20240215, 21)], "date_key long, v long")
+    path = L.scratch_path(spark, "t_mv_b")
+    L.refresh_materialized(a, path, "date_key")
+    b = spark.createDataFrame([(20240105, 11), (20240210, 99), (20240215, 98), (20240301, 30)], "date_key long, v long")
+    touched = spark.createDataFrame([(20240106,), (20240302,)], "date_key long")  # January and March changed
+    L.refresh_materialized(b, path, "date_key", touched)
+    back = spark.read.parquet(path)
+    assert sorted((r["date_key"], r["v"]) for r in back.collect()) == [
+        (20240105, 11), (20240210, 20), (20240215, 21), (20240301, 30)]
+    assert L.list_partitions(spark, path, "date_key__bucket") and len(L.list_partitions(spark, path, "date_key__bucket")) == 3
+
+
 def test_layer_reconcile_statuses(spark):
     s = spark.createDataFrame([(1, 5.0), (1, 5.0), (2, 1.0), (3, 2.0)], "k long, x double")
     o = spark.createDataFrame([(1, 10.0), (2, 1.5), (4, 1.0)], "k long, x double")

@@ -185,10 +185,10 @@ def ivr_path_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.ivr_path_fact(T.ivr_sessionize(_ivr_logs(_fx(spark, sf_dir))))
 
 
-def chat_session_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def chat_transcripts_feed(fx) -> DataFrame:
     """conversations -> one transcript row per conversation with its messages
     array (a conversation is one chat: its turns are the array)."""
-    c = _fx(spark, sf_dir)("conversations")
+    c = fx("conversations")
     base = F.lit(1_700_000_000_000) + F.col("conv_id") * 60000
     sender = F.when(F.col("role") == "assistant", "agent").when(F.col("role") == "user", "customer").otherwise("system")
     msgs = c.select("conv_id", "turn", F.struct(sender.alias("sender"), (base + F.col("turn") * 30000).alias("ts_ms"),
@@ -199,6 +199,14 @@ def chat_session_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit("C0").alias("client_code"), (F.lit(1_700_000_000_000) + F.col("conv_id") * 60000).alias("started_ms"),
                         (F.lit(1_700_000_000_000) + F.col("conv_id") * 60000 + F.col("_last") * 30000).alias("ended_ms"),
                         F.transform("_ms", lambda x: x["m"]).alias("messages"))
+    return feed.select("chat_ref", F.lit("Q0").alias("queue_code"), F.lit("agent@example.com").alias("agent_email"),
+                       "started_ms", "ended_ms", "messages",
+                       F.array(F.struct(F.lit("channel").alias("key"), F.lit("web").alias("value"))).alias("metadata"),
+                       "client_code", F.to_date(X.millis_to_ts("started_ms")).alias("feed_date"))
+
+
+def chat_session_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = chat_transcripts_feed(_fx(spark, sf_dir))
     return T.chat_session_metrics(feed).select("chat_ref", "message_count", "agent_message_count",
                                                "customer_message_count", "first_response_seconds", "event_date")
 

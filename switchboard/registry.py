@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .plans import access as A
+from .plans import feed_jobs as FJ
 from .plans import layer_jobs as J
 from .plans import stream_jobs as SJ
 from .plans import table_jobs as TJ
@@ -102,7 +103,7 @@ for _t in A.SCAN_PREDICATES:
     QUERIES[f"scan_count_{_t}"] = _scan(_t)
 
 
-for _name, _fn in {**J.JOBS, **TJ.TABLE_JOBS, **SJ.STREAM_JOBS}.items():
+for _name, _fn in {**J.JOBS, **TJ.TABLE_JOBS, **SJ.STREAM_JOBS, **FJ.FEED_JOBS}.items():
     QUERIES[_name] = (lambda f: (lambda spark, sf_dir: _compare(f(spark, sf_dir))))(_fn)
 
 

@@ -31,6 +31,8 @@ INVENTORY = {
     "write_date_partitioned", "write_range_bucketed", "write_clustered", "expire_partitions", "refresh_materialized",
     "conformance_audit", "key_integrity_audit", "layer_reconcile",
     "queue_hourly_stream", "cdc_merge_stream", "session_stream",
+    # landed-feed readers
+    "pipe_delta_feed", "json_feed_chat", "csv_feed_survey", "log_feed_ivr",
 }
 
 

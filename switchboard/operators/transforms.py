@@ -462,8 +462,13 @@ def program_monthly_rollup(fact_interaction: DataFrame, dim_program: DataFrame)
     handle = X.epoch_seconds("end_ts") - X.epoch_seconds("start_ts")
     keys = ["period_month", "client_sk", "program_sk", "line_of_business"]
     sets = [keys, keys[:3], keys[:2], keys[:1]]
-    g = f.groupingSets(sets, *keys).agg(
-        F.count(F.lit(1)).alias("interactions"), F.avg(handle).alias("avg_handle_seconds"),
+    # finest grain first (sums and counts), so the rollup expands the small
+    # aggregate instead of every fact row
+    fine = f.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(handle).alias("_h"),
+                                F.count(handle).alias("_hn"))
+    g = fine.groupingSets(sets, *keys).agg(
+        F.sum("_n").cast("bigint").alias("interactions"),
+        F.try_divide(F.sum("_h").cast("double"), F.sum("_hn").cast("double")).alias("avg_handle_seconds"),
         # period_month is in every set, so its bit is always 0
         F.grouping_id().cast("bigint").alias("grouping_level"))
     return g.select("client_sk", "program_sk", "line_of_business", "interactions", "avg_handle_seconds",
@@ -486,10 +491,16 @@ def csat_rollup_monthly(surveys: DataFrame) -> DataFrame:
     detractor nps <= 6."""
     keys = ["period_month", "client_sk", "program_sk", "site_code"]
     nps = F.col("nps_score")
-    g = surveys.groupingSets([keys, keys[:3], keys[:2], keys[:1]], *keys).agg(
-        F.count(F.lit(1)).alias("surveys"), F.avg("csat_score").alias("avg_csat"),
-        (F.avg(F.when(nps >= 9, 1).otherwise(0)) * 100).alias("pct_promoters"),
-        (F.avg(F.when(nps <= 6, 1).otherwise(0)) * 100).alias("pct_detractors"),
+    # finest grain first; the rollup then expands the small aggregate
+    fine = surveys.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("csat_score").alias("_cs"), F.count("csat_score").alias("_cn"),
+        F.sum(F.when(nps >= 9, 1).otherwise(0)).alias("_pro"), F.sum(F.when(nps <= 6, 1).otherwise(0)).alias("_det"))
+    n = F.sum("_n").cast("double")
+    g = fine.groupingSets([keys, keys[:3], keys[:2], keys[:1]], *keys).agg(
+        F.sum("_n").cast("bigint").alias("surveys"),
+        F.try_divide(F.sum("_cs").cast("double"), F.sum("_cn").cast("double")).alias("avg_csat"),
+        (F.try_divide(F.sum("_pro").cast("double"), n) * 100).alias("pct_promoters"),
+        (F.try_divide(F.sum("_det").cast("double"), n) * 100).alias("pct_detractors"),
         F.grouping_id().cast("bigint").alias("grouping_id"))
     return g.select("client_sk", "program_sk", "site_code", "surveys", "avg_csat", "pct_promoters",
                     "pct_detractors", "grouping_id", "period_month")

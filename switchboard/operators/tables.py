@@ -213,3 +213,13 @@ def layer_reconcile(staged: DataFrame, ods: DataFrame, keys: list[str], measure:
               .when(z("staged_sum") != z("ods_sum"), "SUM_MISMATCH").otherwise("OK"))
     return j.select(*keys, z("staged_rows").alias("staged_rows"), z("ods_rows").alias("ods_rows"),
                     "staged_sum", "ods_sum", status.alias("recon_status"))
+
+
+def expire_table(spark: SparkSession, root: str, table: str, as_of: dt.date) -> list[str]:
+    """L4 driven by the declared layout: the table's date partition column and
+    its expiration days (tables without expiration are left alone)."""
+    from ..sources.schemas import LAYOUT
+    part, _cluster, days = LAYOUT[table]
+    if days is None or part is None or part[1] is not None:
+        return []
+    return expire_partitions(spark, f"{root.rstrip('/')}/{table}", part[0], as_of, days)

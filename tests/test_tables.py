@@ -83,3 +83,15 @@ def test_layer_reconcile_statuses(spark):
     o = spark.createDataFrame([(1, 10.0), (2, 1.5), (4, 1.0)], "k long, x double")
     got = {r["k"]: r["recon_status"] for r in L.layer_reconcile(s, o, ["k"], "x").collect()}
     assert got == {1: "ROW_COUNT_MISMATCH", 2: "SUM_MISMATCH", 3: "MISSING_IN_ODS", 4: "MISSING_IN_STAGING"}
+
+
+def test_expire_table_uses_declared_layout(spark):
+    from switchboard.sources import schemas
+    root = L.scratch_path(spark, "t_layout")
+    days = [dt.date(2026, 1, 1) + dt.timedelta(days=i) for i in range(0, 150, 30)]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "call_id long, load_date date")
+    L.write_date_partitioned(df, f"{root}/stg_tel_call", "load_date")
+    assert schemas.LAYOUT["stg_tel_call"][2] == 90
+    dropped = L.expire_table(spark, root, "stg_tel_call", dt.date(2026, 6, 2))
+    assert dropped == [str(d) for d in days if d < dt.date(2026, 6, 2) - dt.timedelta(days=90)]
+    assert L.expire_table(spark, root, "fact_interaction", dt.date(2026, 6, 2)) == []

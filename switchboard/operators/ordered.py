@@ -106,8 +106,7 @@ def with_global_percent_rank(df: DataFrame, value: str, tiebreak: list, out: str
     rank = first row number of the value's tie group. The tie groups are
     reduced by a partial aggregate, so a hot value costs one row per task.
     """
-    v = F.col(value) if ascending else F.col(value).desc()
-    order = [v.asc_nulls_first() if ascending else F.col(value).desc_nulls_last()] + tiebreak
+    order = [F.col(value).asc_nulls_first() if ascending else F.col(value).desc_nulls_last()] + tiebreak
     r = with_global_row_number(df, order, "_sb_rn", num_partitions)
     firsts = r.groupBy(value).agg(F.min("_sb_rn").alias("_sb_rank"))
     j = r.join(firsts, r[value].eqNullSafe(firsts[value]), "inner").drop(firsts[value])

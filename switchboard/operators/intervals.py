@@ -25,8 +25,11 @@ def count_points_in_windows(points: DataFrame, probes: DataFrame, key: str, ts:
                             carry: list, out: str = "matches", num_partitions: int | None = None) -> DataFrame:
     """One row per probe row: ``carry`` columns plus ``out`` = matching points."""
     k, t = "_sb_k", "_sb_t"
+    # equal (key, ts) points collapse into one weighted row (partial aggregate),
+    # so the sort key (key, ts, kind, probe id) below is a total order
     pts = (points.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
-           .select(F.col(key).alias(k), F.col(ts).alias(t), F.lit(0).alias("_sb_kind"), F.lit(1).alias("_sb_w"),
+           .groupBy(F.col(key).alias(k), F.col(ts).alias(t)).agg(F.count(F.lit(1)).alias("_sb_w"))
+           .select(k, t, F.lit(0).alias("_sb_kind"), "_sb_w",
                    F.lit(None).cast("bigint").alias("_sb_probe"), F.lit(None).cast("boolean").alias("_sb_hi"),
                    *[F.lit(None).cast(probes.schema[c].dataType).alias(c) for c in carry]))
     valid = F.col(key).isNotNull() & F.col(lo).isNotNull() & F.col(hi).isNotNull()
@@ -34,11 +37,11 @@ def count_points_in_windows(points: DataFrame, probes: DataFrame, key: str, ts:
             .select(F.col(key).alias(k), "_sb_probe", *carry,
                     F.explode(F.array(F.struct(F.col(lo).alias("t"), F.lit(False).alias("hi")),
                                       F.struct(F.col(hi).alias("t"), F.lit(True).alias("hi")))).alias("_e"))
-            .select(k, F.col("_e.t").alias(t), F.lit(1).alias("_sb_kind"), F.lit(0).alias("_sb_w"),
+            .select(k, F.col("_e.t").alias(t), F.lit(1).alias("_sb_kind"), F.lit(0).cast("bigint").alias("_sb_w"),
                     "_sb_probe", F.col("_e.hi").alias("_sb_hi"), *carry))
     u = pts.unionByName(ends)
-    s = with_global_prefix_sum(u, [F.col(k), F.col(t), F.col("_sb_kind")], "_sb_cum", weight="_sb_w",
-                               num_partitions=num_partitions)
+    s = with_global_prefix_sum(u, [F.col(k), F.col(t), F.col("_sb_kind"), F.col("_sb_probe"), F.col("_sb_hi")],
+                               "_sb_cum", weight="_sb_w", num_partitions=num_partitions)
     signed = F.when(F.col("_sb_hi"), F.col("_sb_cum")).otherwise(-F.col("_sb_cum"))
     counted = (s.where(F.col("_sb_kind") == 1).groupBy("_sb_probe", *carry)
                .agg(F.sum(signed).cast("bigint").alias(out)).drop("_sb_probe"))

@@ -76,3 +76,15 @@ def test_interval_counts_match_brute_force(spark):
         expected[p["id"]] = 0 if p["k"] is None else sum(
             1 for q in rows if q["k"] == p["k"] and lo < q["ts"] <= hi)
     assert {r["pid"]: r["m"] for r in got.collect()} == expected
+
+
+def test_interval_counts_with_duplicate_points(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    pts = [(i, "c", t0 + dt.timedelta(hours=1)) for i in range(50)] + [(100, "c", t0 + dt.timedelta(hours=5))]
+    df = spark.createDataFrame(pts, "id long, k string, ts timestamp_ntz")
+    probes = spark.createDataFrame([(1, "c", t0, t0 + dt.timedelta(hours=2)), (2, "c", t0, t0 + dt.timedelta(hours=2)),
+                                    (3, "c", t0 + dt.timedelta(hours=1), t0 + dt.timedelta(hours=6)), (4, None, t0, t0)],
+                                   "pid long, k string, lo timestamp_ntz, hi timestamp_ntz")
+    got = count_points_in_windows(df, probes, key="k", ts="ts", lo="lo", hi="hi", carry=["pid"], out="m",
+                                  num_partitions=4)
+    assert {r["pid"]: r["m"] for r in got.collect()} == {1: 50, 2: 50, 3: 1, 4: 0}

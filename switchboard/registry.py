@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .plans import access as A
+from .plans import corrected as C
 from .plans import feed_jobs as FJ
 from .plans import layer_jobs as J
 from .plans import stream_jobs as SJ
@@ -89,6 +90,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "xjoin_staging": _view(A.xjoin_staging),
     "xjoin_ods": _view(A.xjoin_ods),
     "xjoin_dm": _view(A.xjoin_dm),
+    "first_contact_resolution_corrected": _view(C.first_contact_resolution_corrected),
+    "program_margin_corrected": _view(C.program_margin_corrected),
+    "shrinkage_analysis_corrected": _view(C.shrinkage_analysis_corrected),
 }
 
 

@@ -33,6 +33,8 @@ INVENTORY = {
     "queue_hourly_stream", "cdc_merge_stream", "session_stream",
     # landed-feed readers
     "pipe_delta_feed", "json_feed_chat", "csv_feed_survey", "log_feed_ivr",
+    # corrected variants of the fan-out views
+    "first_contact_resolution_corrected", "program_margin_corrected", "shrinkage_analysis_corrected",
 }
 
 

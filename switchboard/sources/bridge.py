@@ -283,14 +283,22 @@ def agg_billing_monthly(fx: Fixtures) -> DataFrame:
     s = fx("supplier").select("s_suppkey", "s_nationkey")
     n = fx("nation").select("n_nationkey", "n_regionkey")
     j = li.join(s, li.l_suppkey == s.s_suppkey).join(n, F.col("s_nationkey") == F.col("n_nationkey"))
-    billed = F.sum(F.col("l_extendedprice").cast("decimal(12,2)"))
-    credit = F.sum((F.col("l_discount") * 100).cast("decimal(12,2)"))
-    return j.groupBy(month_start("l_shipdate").alias("period_month"),
-                     F.col("n_regionkey").cast("bigint").alias("client_sk"),
-                     F.col("s_nationkey").cast("bigint").alias("program_sk")).agg(
-        billed.cast("decimal(14,2)").alias("billed_amount"),
-        credit.cast("decimal(14,2)").alias("sla_credit_amount"),
-        (billed - credit).cast("decimal(14,2)").alias("net_revenue"))
+    # SUM(CAST(x AS DECIMAL(12,2))) summed as exact integer cents: a 22-digit
+    # decimal sum runs on BigDecimal, a BIGINT sum on longs; values are equal
+    def cents(c):
+        return F.sum(F.round(c.cast("decimal(12,2)") * 100).cast("bigint"))
+
+    def money(c):
+        return (c.cast("decimal(20,0)") / 100).cast("decimal(14,2)")
+    billed = cents(F.col("l_extendedprice"))
+    credit = cents(F.col("l_discount") * 100)
+    g = j.groupBy(month_start("l_shipdate").alias("period_month"),
+                  F.col("n_regionkey").cast("bigint").alias("client_sk"),
+                  F.col("s_nationkey").cast("bigint").alias("program_sk")).agg(
+        billed.alias("_b"), credit.alias("_c"))
+    return g.select("period_month", "client_sk", "program_sk", money(F.col("_b")).alias("billed_amount"),
+                    money(F.col("_c")).alias("sla_credit_amount"),
+                    money(F.col("_b") - F.col("_c")).alias("net_revenue"))
 
 
 def ods_timesheet(fx: Fixtures) -> DataFrame:

@@ -6,24 +6,34 @@ what is needed per probe is m = number of matching points. With
 P(k, x) = number of points with key k and ts <= x, m = P(k, hi) - P(k, lo).
 
 Points and both probe ends are put into one frame sorted by
-(key, ts, kind), points before probe ends at equal ts. A global prefix sum
-of the point weight (``ordered.with_global_prefix_sum``) then gives P at
-every probe end, because the sort is by key first. Work is one range
-shuffle plus one shuffle that pairs the two ends; a customer with a third
-of all rows is split across range partitions.
+(key, ts, kind), points before probe ends at equal ts. A running sum of
+the point weight then gives P at every probe end: per key in a window when
+a sample shows the heaviest key fits one task, otherwise as a global prefix
+sum over range partitions (``ordered.with_global_prefix_sum``), which works
+because the sort is by key first and splits a customer with a third of all
+rows across tasks. Either way the work is O(n log n) and one more shuffle
+pairs the two ends of each probe.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ordered import with_global_prefix_sum
+from .sequence import SINGLE_TASK_GROUP_ROWS, largest_group_estimate
 
 
 def count_points_in_windows(points: DataFrame, probes: DataFrame, key: str, ts: str, lo: str, hi: str,
-                            carry: list, out: str = "matches", num_partitions: int | None = None) -> DataFrame:
-    """One row per probe row: ``carry`` columns plus ``out`` = matching points."""
+                            carry: list, out: str = "matches", num_partitions: int | None = None,
+                            strategy: str = "auto") -> DataFrame:
+    """One row per probe row: ``carry`` columns plus ``out`` = matching points.
+
+    strategy: ``window`` - the running count is a window per key (one key's
+    rows in one task); ``ranged`` - a global prefix sum over range
+    partitions (hot keys split); ``auto`` - ``window`` only when a sample
+    shows the heaviest key (points + probe ends) fits one task.
+    """
     k, t = "_sb_k", "_sb_t"
     # equal (key, ts) points collapse into one weighted row (partial aggregate),
     # so the sort key (key, ts, kind, probe id) below is a total order
@@ -40,8 +50,16 @@ def count_points_in_windows(points: DataFrame, probes: DataFrame, key: str, ts:
             .select(k, F.col("_e.t").alias(t), F.lit(1).alias("_sb_kind"), F.lit(0).cast("bigint").alias("_sb_w"),
                     "_sb_probe", F.col("_e.hi").alias("_sb_hi"), *carry))
     u = pts.unionByName(ends)
-    s = with_global_prefix_sum(u, [F.col(k), F.col(t), F.col("_sb_kind"), F.col("_sb_probe"), F.col("_sb_hi")],
-                               "_sb_cum", weight="_sb_w", num_partitions=num_partitions)
+    order = [F.col(t), F.col("_sb_kind"), F.col("_sb_probe"), F.col("_sb_hi")]
+    if strategy == "auto":
+        heavy = largest_group_estimate(u, k)
+        strategy = "window" if heavy * 2 <= SINGLE_TASK_GROUP_ROWS else "ranged"
+    if strategy == "window":
+        # P(key, x) restarts per key, so a per-key running sum gives it directly
+        w = Window.partitionBy(k).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        s = u.withColumn("_sb_cum", F.sum("_sb_w").over(w))
+    else:
+        s = with_global_prefix_sum(u, [F.col(k)] + order, "_sb_cum", weight="_sb_w", num_partitions=num_partitions)
     signed = F.when(F.col("_sb_hi"), F.col("_sb_cum")).otherwise(-F.col("_sb_cum"))
     counted = (s.where(F.col("_sb_kind") == 1).groupBy("_sb_probe", *carry)
                .agg(F.sum(signed).cast("bigint").alias(out)).drop("_sb_probe"))

@@ -68,7 +68,9 @@ def test_interval_counts_match_brute_force(spark):
     probes = df.select(F.col("id").alias("pid"), "k", F.col("ts").alias("lo"),
                        F.timestamp_add("HOUR", F.lit(36), F.col("ts")).alias("hi"))
     got = count_points_in_windows(df, probes, key="k", ts="ts", lo="lo", hi="hi", carry=["pid"], out="m",
-                                  num_partitions=6)
+                                  num_partitions=6, strategy="ranged")
+    got_w = count_points_in_windows(df, probes, key="k", ts="ts", lo="lo", hi="hi", carry=["pid"], out="m",
+                                    strategy="window")
     rows = df.collect()
     expected = {}
     for p in rows:
@@ -76,6 +78,7 @@ def test_interval_counts_match_brute_force(spark):
         expected[p["id"]] = 0 if p["k"] is None else sum(
             1 for q in rows if q["k"] == p["k"] and lo < q["ts"] <= hi)
     assert {r["pid"]: r["m"] for r in got.collect()} == expected
+    assert {r["pid"]: r["m"] for r in got_w.collect()} == expected
 
 
 def test_interval_counts_with_duplicate_points(spark):
@@ -85,6 +88,7 @@ def test_interval_counts_with_duplicate_points(spark):
     probes = spark.createDataFrame([(1, "c", t0, t0 + dt.timedelta(hours=2)), (2, "c", t0, t0 + dt.timedelta(hours=2)),
                                     (3, "c", t0 + dt.timedelta(hours=1), t0 + dt.timedelta(hours=6)), (4, None, t0, t0)],
                                    "pid long, k string, lo timestamp_ntz, hi timestamp_ntz")
-    got = count_points_in_windows(df, probes, key="k", ts="ts", lo="lo", hi="hi", carry=["pid"], out="m",
-                                  num_partitions=4)
-    assert {r["pid"]: r["m"] for r in got.collect()} == {1: 50, 2: 50, 3: 1, 4: 0}
+    for strategy in ("ranged", "window", "auto"):
+        got = count_points_in_windows(df, probes, key="k", ts="ts", lo="lo", hi="hi", carry=["pid"], out="m",
+                                      num_partitions=4, strategy=strategy)
+        assert {r["pid"]: r["m"] for r in got.collect()} == {1: 50, 2: 50, 3: 1, 4: 0}

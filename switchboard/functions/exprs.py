@@ -20,17 +20,34 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def epoch_seconds(ts) -> Column:
-    """UNIX_SECONDS for an NTZ timestamp (whole seconds since 1970, floored).
+def epoch_micros(ts) -> Column:
+    """Microseconds since 1970-01-01 of an NTZ wall-clock time read as UTC.
 
-    ``unix_seconds`` rejects TIMESTAMP_NTZ, and casting to TIMESTAMP would
-    read the session zone; ``timestampdiff`` does neither.
+    Exact calendar arithmetic on the date part and the time-of-day fields.
+    ``timestamp_diff`` and casts to TIMESTAMP are avoided: they pass through
+    the session zone, which moves wall-clock times inside a DST gap.
     """
-    c, e = col(ts), epoch_ntz()
-    s = F.timestamp_diff("SECOND", e, c)
-    # timestampdiff truncates toward zero; UNIX_SECONDS floors
-    return F.when(c < e, s - F.when(F.timestamp_add("SECOND", s, e) != c, 1).otherwise(0)) \
-        .otherwise(s).cast("bigint")
+    c = col(ts)
+    days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("bigint")
+    secs = F.date_part(F.lit("SECOND"), c)  # seconds with microsecond fraction
+    return (days * 86_400_000_000 + F.hour(c).cast("bigint") * 3_600_000_000
+            + F.minute(c).cast("bigint") * 60_000_000 + (secs * 1_000_000).cast("bigint"))
+
+
+def floor_div(x, d: int) -> Column:
+    """Integer floor division (exact for negative values too)."""
+    x = col(x)
+    return ((x - F.pmod(x, F.lit(d))) / d).cast("bigint")
+
+
+def epoch_seconds(ts) -> Column:
+    """UNIX_SECONDS of an NTZ timestamp: whole seconds since 1970, floored."""
+    return floor_div(epoch_micros(ts), 1_000_000)
+
+
+def epoch_millis(ts) -> Column:
+    """UNIX_MILLIS of an NTZ timestamp: whole milliseconds since 1970, floored."""
+    return floor_div(epoch_micros(ts), 1_000)
 
 
 def seconds_to_ts(secs) -> Column:
@@ -77,6 +94,18 @@ def contains_ci(s, pattern: str) -> Column:
     return F.regexp_like(col(s), F.lit("(?iu)" + pattern))
 
 
+def format_ntz(ts, with_time: bool = True) -> Column:
+    """'YYYYMMDDHH24MISS' (or 'YYYYMMDD') text of an NTZ time from its fields;
+    ``date_format`` would go through the session zone."""
+    c = col(ts)
+    parts = [F.lpad(F.year(c).cast("string"), 4, "0"), F.lpad(F.month(c).cast("string"), 2, "0"),
+             F.lpad(F.dayofmonth(c).cast("string"), 2, "0")]
+    if with_time:
+        parts += [F.lpad(F.hour(c).cast("string"), 2, "0"), F.lpad(F.minute(c).cast("string"), 2, "0"),
+                  F.lpad(F.second(c).cast("string"), 2, "0")]
+    return F.concat(*parts)
+
+
 def date_key(ts) -> Column:
     """Integer YYYYMMDD key of a timestamp or date."""
     c = col(ts)
@@ -104,7 +133,7 @@ def as_double_rounded(x, digits: int = 4) -> Column:
 
 def ntz_to_instant(ts) -> Column:
     """NTZ wall-clock time read as UTC -> TIMESTAMP (instant), zone-free."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch_ntz(), col(ts)))
+    return F.timestamp_micros(epoch_micros(ts))
 
 
 def instant_to_ntz(ts) -> Column:

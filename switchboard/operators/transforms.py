@@ -21,7 +21,6 @@ from .sequence import with_previous
 
 # --- fixed values chosen here ----------------------------------------------
 OP_RANK = {"I": 0, "U": 1, "D": 2}          # at equal change time a delete wins
-ORACLE_TS_FORMAT = "yyyyMMddHHmmss"
 MILLIS_THRESHOLD = 100_000_000_000          # a "seconds" value above this is millis
 SL_THRESHOLD_SECONDS = 20
 INTERVAL_MINUTES = 30
@@ -75,11 +74,8 @@ def cdc_delta_merge(current: DataFrame, changes: DataFrame, keys: list[str], pay
     "latest" is a max-by aggregate, so partial aggregation keeps one row per
     key per task before the shuffle.
     """
-    cur = current.select(*keys, *payload,
-                         X.epoch_seconds("last_change_ts").alias("_s"),
-                         F.lit(None).cast("date").alias("_x"), F.lit("U").alias("_op"),
-                         F.timestamp_diff("MICROSECOND", X.epoch_ntz(), F.col("last_change_ts")).alias("_us"))
-    cur = cur.select(*keys, *payload, (F.col("_us") / 1000).cast("bigint").alias("_ms"), "_x", "_op")
+    cur = current.select(*keys, *payload, X.epoch_millis("last_change_ts").alias("_ms"),
+                         F.lit(None).cast("date").alias("_x"), F.lit("U").alias("_op"))
     chg = changes.select(*keys, *payload, F.col(change_col).alias("_ms"), F.col(extract_col).alias("_x"),
                          F.col(op_col).alias("_op"))
     u = cur.unionByName(chg)
@@ -112,7 +108,7 @@ def scd2_build(changes: DataFrame, key: str, tracked: list[str], ts: str, tiebre
     with_prev = with_previous(base, key, ["eff_from_ts", "_tb"], "_sig", "_prev_sig")
     versions = with_prev.where(F.col("_prev_sig").isNull() | (F.col("_prev_sig") != F.col("_sig"))).drop("_prev_sig", "_sig")
     nxt = with_previous(versions, key, [F.col("eff_from_ts").desc(), F.col("_tb").desc()], "eff_from_ts", "eff_to_ts")
-    micros = F.timestamp_diff("MICROSECOND", X.epoch_ntz(), F.col("eff_from_ts"))
+    micros = X.epoch_micros("eff_from_ts")
     return nxt.select(
         F.sha2(F.concat_ws("|", F.col(key).cast("string"), micros.cast("string")), 256).alias(id_col),
         key, *tracked, "eff_from_ts", "eff_to_ts", F.col("eff_to_ts").isNull().alias("is_current"),

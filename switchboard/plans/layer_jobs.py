@@ -28,7 +28,7 @@ def _fx(spark, sf_dir):
 
 
 def _epoch_ms(ts):
-    return (F.timestamp_diff("MICROSECOND", X.epoch_ntz(), F.col(ts)) / 1000).cast("bigint")
+    return X.epoch_millis(ts)
 
 
 def _k(props="props"):
@@ -63,7 +63,7 @@ def oracle_string_to_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     text = (F.when(k % 13 == 0, F.concat(F.lit("BAD"), k.cast("string")))
             .when(k % 17 == 0, F.lit("20011340120000"))
-            .otherwise(F.date_format(X.add_seconds("o_orderdate", k), T.ORACLE_TS_FORMAT)))
+            .otherwise(X.format_ntz(X.add_seconds("o_orderdate", k))))
     return o.select(k.alias("contract_id"), text.alias("signed_dt")).select(
         "contract_id", "signed_dt", T.oracle_string_to_ts("signed_dt").alias("signed_ts"))
 
@@ -76,7 +76,7 @@ def mislabelled_millis_to_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def promote_partition_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _fx(spark, sf_dir)("orders")
-    m = F.when(F.col("o_orderkey") % 29 == 0, F.lit(None).cast("string")).otherwise(F.date_format("o_orderdate", "yyyy-MM"))
+    m = F.when(F.col("o_orderkey") % 29 == 0, F.lit(None).cast("string")).otherwise(F.date_format(F.to_date("o_orderdate"), "yyyy-MM"))
     return o.select(F.col("o_orderkey").alias("invoice_id"), m.alias("period_month_text")).select(
         "invoice_id", T.promote_partition_string("period_month_text").alias("period_month"))
 
@@ -126,7 +126,7 @@ def _schedules(fx):
     e = fx("events").where(F.col("event_type").isin("signup", "view"))
     start = X.epoch_seconds("ts")
     return e.select(F.col("event_id").alias("schedule_id"), (F.col("user_id") % 50).alias("agent_id"),
-                    (F.col("event_id") % 6).alias("shift_id"), F.date_format("ts", "yyyy-MM-dd").alias("sched_date"),
+                    (F.col("event_id") % 6).alias("shift_id"), F.date_format(F.to_date("ts"), "yyyy-MM-dd").alias("sched_date"),
                     start.alias("start_epoch"), (start + F.floor(F.col("value") * 60)).alias("end_epoch"),
                     F.concat(F.lit("S"), (F.col("user_id") % 25).cast("string")).alias("site_code"))
 
@@ -171,7 +171,7 @@ def call_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _ivr_logs(fx):
     e = fx("events")
     return e.select(F.concat(F.lit("U"), F.col("user_id").cast("string"), F.lit("-"),
-                             F.date_format("ts", "yyyyMMdd")).alias("session_ref"),
+                             X.format_ntz("ts", with_time=False)).alias("session_ref"),
                     F.concat(F.lit("C"), (F.col("user_id") % 5).cast("string")).alias("client_code"),
                     _epoch_ms("ts").alias("event_ms"), F.col("event_id").alias("event_seq"),
                     F.col("event_type").alias("menu_path"), (_k().cast("bigint") % 10).cast("string").alias("key_pressed"))

@@ -105,7 +105,7 @@ AUDIT_TARGETS = {"event_id": "bigint", "ts": "timestamp", "value": "decimal(12,2
 def conformance_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit of a landed (all-text) copy of events against its target types."""
     e = _fx(spark, sf_dir)("events")
-    ms = F.timestamp_diff("MICROSECOND", X.epoch_ntz(), F.col("ts")) / 1000
+    ms = X.epoch_millis("ts")
     landed = e.select(F.col("event_id").cast("string").alias("event_id"), F.col("ts").cast("string").alias("ts"),
                       F.when(F.col("event_id") % 50 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string")).alias("value"),
                       F.col("props"), ms.cast("bigint").cast("string").alias("created_ms"),

@@ -63,3 +63,20 @@ def test_concat_propagates_null(spark):
 def test_add_days_exact_is_168_hours(spark):
     ts = F.expr("TIMESTAMP_NTZ'2024-03-08 12:00:00'")
     assert one(spark, X.add_days_exact(ts, 7)) == dt.datetime(2024, 3, 15, 12, 0)
+
+
+def test_ntz_maths_is_zone_free_inside_a_dst_gap(spark):
+    # 02:30 on 1997-04-06 does not exist in New York; NTZ values must not move
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        ts = F.expr("TIMESTAMP_NTZ'1997-04-06 02:30:00.25'")
+        assert one(spark, X.epoch_micros(ts)) == (860284800 + 9000) * 10**6 + 250000
+        assert one(spark, X.epoch_seconds(ts)) == 860284800 + 9000
+        assert one(spark, X.epoch_millis(ts)) == (860284800 + 9000) * 1000 + 250
+        assert one(spark, X.format_ntz(ts)) == "19970406023000"
+        assert one(spark, X.instant_to_ntz(X.ntz_to_instant(ts))) == dt.datetime(1997, 4, 6, 2, 30, 0, 250000)
+        assert one(spark, F.window(ts, "30 minutes").start) == dt.datetime(1997, 4, 6, 2, 30)
+        assert one(spark, F.hour(ts)) == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -17,7 +17,7 @@ from ..operators import transforms as T
 from ..operators.tables import scratch_path
 from ..sources import bridge as B
 from ..sources import feeds
-from .layer_jobs import _epoch_ms, _ivr_logs, _k, _surveys, chat_transcripts_feed
+from .layer_jobs import _epoch_ms, _ivr_logs, _surveys, chat_transcripts_feed
 
 
 def pipe_delta_feed(spark: SparkSession, sf_dir: str) -> DataFrame:

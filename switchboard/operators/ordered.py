@@ -5,7 +5,8 @@ task. The helpers here compute global row numbers, prefix sums, NTILE and
 PERCENT_RANK across range partitions instead:
 
 1. ``repartitionByRange`` + ``sortWithinPartitions`` on a total order;
-2. a per-partition running sum (numpy cumsum inside each task);
+2. a per-partition running count (the generated row id) or running sum
+   of a weight (numpy cumsum inside each task);
 3. one reliable ``checkpoint()`` so counts and values come from the same
    materialisation (range bounds and tie order are fixed after it);
 4. per-partition totals -> exclusive offsets. That table has one row per
@@ -63,10 +64,19 @@ def with_global_prefix_sum(df: DataFrame, order_cols: list, out: str, weight: st
     """
     ensure_checkpoint_dir(df.sparkSession)
     n = _num_partitions(df, num_partitions)
-    ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-              .withColumn(_PID, F.spark_partition_id().cast("bigint")))
-    schema = T.StructType(ranged.schema.fields + [T.StructField(_LOC, T.LongType(), False)])
-    local = ranged.mapInPandas(_local_cumsum(weight), schema).checkpoint(eager=True)
+    ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    if weight is None:
+        # row counting stays in the JVM: the generated id is (partition index
+        # << 33) + position of the row in its sorted partition
+        mid = F.monotonically_increasing_id()
+        local = (ranged.withColumn("_sb_mid", mid)
+                 .withColumn(_PID, F.shiftright(F.col("_sb_mid"), 33))
+                 .withColumn(_LOC, F.col("_sb_mid").bitwiseAND(F.lit((1 << 33) - 1)) + 1)
+                 .drop("_sb_mid").checkpoint(eager=True))
+    else:
+        ranged = ranged.withColumn(_PID, F.spark_partition_id().cast("bigint"))
+        schema = T.StructType(ranged.schema.fields + [T.StructField(_LOC, T.LongType(), False)])
+        local = ranged.mapInPandas(_local_cumsum(weight), schema).checkpoint(eager=True)
     w = F.lit(1) if weight is None else F.coalesce(F.col(weight), F.lit(0))
     per_part = local.groupBy(_PID).agg(F.sum(w).cast("bigint").alias("_sb_n"))
     # one row per partition: a bounded table, ordered in one small task

@@ -102,3 +102,57 @@ def with_previous(df: DataFrame, partition_col: str, order_cols: list, value_col
                             F.col("_carry.v"))
     prev = F.when(F.col(_FIRST), from_prev_part).otherwise(F.col(_PREV))
     return j.withColumn(out, prev).drop(_PID, _LOC, _PREV, _FIRST, "_carry")
+
+
+def _partial_concat(keys: list[str], value: str, sep: str):
+    def emit(cur, parts, pid, seq):
+        row = dict(zip(keys, ([v] for v in cur)))
+        vals = [p for p in parts if p is not None]
+        # an all-NULL run contributes nothing (array_join skips NULLs)
+        row.update({_PID: [pid], "_sb_seq": [seq], "_sb_part": [sep.join(vals) if vals else None]})
+        return pd.DataFrame(row)
+
+    def run(batches):
+        pid, cur, parts, seq = None, None, [], 0
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            pid = int(pdf[_PID].iloc[0])
+            for k, v in zip(zip(*[pdf[c].tolist() for c in keys]), pdf[value].tolist()):
+                if parts and k != cur:
+                    yield emit(cur, parts, pid, seq)
+                    parts, seq = [], seq + 1
+                cur = k
+                parts.append(v)
+        if parts:
+            yield emit(cur, parts, pid, seq)
+    return run
+
+
+def ordered_concat(df: DataFrame, keys: list[str], order_cols: list[str], value: str, sep: str, out: str,
+                   num_partitions: int | None = None, strategy: str = "auto") -> DataFrame:
+    """One row per key: ``value`` of its rows joined by ``sep`` in ``order_cols``
+    order (NULL values skipped, like ``array_join``).
+
+    When a sample proves the heaviest key fits one task (``window``), a
+    sorted ``collect_list`` per key; otherwise (``ranged``) rows are range
+    partitioned on (keys, order), each task joins the contiguous run of every
+    key it holds, and a key then gathers at most one partial string per
+    partition it spans.
+    """
+    if strategy == "auto":
+        heavy = largest_group_estimate(df.select(F.struct(*keys).alias("_sb_key")), "_sb_key")
+        strategy = "window" if heavy * 2 <= SINGLE_TASK_GROUP_ROWS else "ranged"
+    if strategy == "window":
+        s = F.array_sort(F.collect_list(F.struct(*order_cols, F.col(value).alias("_sb_v"))))
+        return df.groupBy(*keys).agg(F.array_join(F.transform(s, lambda x: x["_sb_v"]), sep).alias(out))
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(c) for c in keys + order_cols]
+    ranged = (df.select(*keys, *order_cols, value).repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .withColumn(_PID, F.spark_partition_id().cast("bigint")))
+    schema = T.StructType([df.schema[k] for k in keys] + [T.StructField(_PID, T.LongType(), False),
+                                                        T.StructField("_sb_seq", T.LongType(), False),
+                                                        T.StructField("_sb_part", T.StringType(), True)])
+    parts = ranged.mapInPandas(_partial_concat(keys, value, sep), schema)
+    s = F.array_sort(F.collect_list(F.struct(_PID, "_sb_seq", "_sb_part")))
+    return parts.groupBy(*keys).agg(F.array_join(F.transform(s, lambda x: x["_sb_part"]), sep).alias(out))

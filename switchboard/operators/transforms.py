@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from .ordered import with_global_row_number
-from .sequence import with_previous
+from .sequence import ordered_concat, with_previous
 
 # --- fixed values chosen here ----------------------------------------------
 OP_RANK = {"I": 0, "U": 1, "D": 2}          # at equal change time a delete wins
@@ -175,17 +175,19 @@ def call_durations(stg_tel_call: DataFrame, stg_tel_call_segment: DataFrame) ->
 def ivr_sessionize(stg_file_ivr_logs: DataFrame) -> DataFrame:
     """IVR events -> one row per session: first/last event, full menu
     path in event order, hops, exit key; contained = the last key is not
-    the operator transfer key. The path is the output column itself, so its
-    length is the session's event count."""
+    the operator transfer key. The path is built by ``ordered_concat``: a
+    session that a sample cannot prove small is concatenated in partial runs
+    inside range partitions, so no task gathers all of its events."""
     e = stg_file_ivr_logs
-    ordered = F.array_sort(F.collect_list(F.struct("event_ms", "event_seq", "menu_path")))
     g = e.groupBy("session_ref", "client_code").agg(
-        F.min("event_ms").alias("_first"), F.max("event_ms").alias("_last"), ordered.alias("_p"),
+        F.min("event_ms").alias("_first"), F.max("event_ms").alias("_last"),
         F.count(F.lit(1)).alias("hops"),
         F.max_by("key_pressed", F.struct("event_ms", "event_seq")).alias("exit_key"))
+    path = ordered_concat(e, ["session_ref", "client_code"], ["event_ms", "event_seq"], "menu_path", PATH_JOIN,
+                          "menu_path_full")
+    g = g.join(path, ["session_ref", "client_code"])
     return g.select("session_ref", "client_code", X.millis_to_ts("_first").alias("first_event_ts"),
-                    X.millis_to_ts("_last").alias("last_event_ts"),
-                    F.array_join(F.transform("_p", lambda x: x["menu_path"]), PATH_JOIN).alias("menu_path_full"),
+                    X.millis_to_ts("_last").alias("last_event_ts"), "menu_path_full",
                     "hops", F.coalesce(F.col("exit_key") != IVR_TRANSFER_KEY, F.lit(True)).alias("contained_flag"),
                     "exit_key", F.to_date(X.millis_to_ts("_first")).alias("event_date"))
 

@@ -92,3 +92,13 @@ def test_interval_counts_with_duplicate_points(spark):
         got = count_points_in_windows(df, probes, key="k", ts="ts", lo="lo", hi="hi", carry=["pid"], out="m",
                                       num_partitions=4, strategy=strategy)
         assert {r["pid"]: r["m"] for r in got.collect()} == {1: 50, 2: 50, 3: 1, 4: 0}
+
+
+def test_ordered_concat_ranged_matches_collect(spark):
+    from switchboard.operators.sequence import ordered_concat
+    df = skewed(spark, n=2000).select(F.coalesce("k", F.lit("none")).alias("k"), F.lit("c").alias("c"), "ts", "id",
+                                      F.when(F.col("id") % 13 == 0, F.lit(None)).when(F.col("id") % 17 == 0, F.lit(""))
+                                      .otherwise(F.col("v").cast("string")).alias("s"))
+    a = ordered_concat(df, ["k", "c"], ["ts", "id"], "s", " > ", "path", num_partitions=7, strategy="ranged")
+    b = ordered_concat(df, ["k", "c"], ["ts", "id"], "s", " > ", "path", strategy="window")
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0

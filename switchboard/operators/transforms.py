@@ -538,6 +538,11 @@ def site_daily(agg_agent_daily: DataFrame, dim_agent: DataFrame, fact_queue_inte
 def keyword_counts(texts: DataFrame, text_col: str = "text", key_col: str = "doc_id") -> DataFrame:
     """Lower-cased space-split tokens of every whole text: occurrences and
     documents per keyword. Partial aggregation absorbs very common words."""
+    par = texts.sparkSession.sparkContext.defaultParallelism
+    if texts.rdd.getNumPartitions() < par:
+        # fewer input splits than cores (a few large row groups): spread the
+        # texts so tokenising uses every core; large inputs never take this
+        texts = texts.repartition(par)
     tok = texts.select(key_col, F.explode(F.split(F.lower(F.col(text_col)), " ")).alias("keyword"))
     per_doc = tok.groupBy("keyword", key_col).agg(F.count(F.lit(1)).alias("_n"))
     return per_doc.groupBy("keyword").agg(F.sum("_n").cast("bigint").alias("occurrences"),

@@ -108,3 +108,23 @@ def test_shrinkage_weighted_sums_equal_literal_fanout(spark):
     got = sorted(tuple(r) for r in V.shrinkage_analysis(f, a, s, sh).collect())
     exp = sorted(tuple(r) for r in V.shrinkage_analysis_literal(f, a, s, sh).collect())
     assert got == exp and len(got) == 2
+
+
+def test_repeat_contact_window_matches_brute_force_on_fixture(spark):
+    from switchboard.sources.warehouse import Warehouse
+    wh = Warehouse.fixtures(spark, "/root/testdata/sf0.001")
+    src = [r for r in wh["ods_interaction"].collect() if r["customer_ref"]]
+    by_cust = {}
+    for r in src:
+        by_cust.setdefault(r["customer_ref"], []).append(r)
+    expected = {}
+    for rows in by_cust.values():
+        rows.sort(key=lambda r: (r["start_ts"], r["interaction_id"]))
+        for prev, cur in zip([None] + rows[:-1], rows):
+            p = prev["start_ts"] if prev else None
+            flag = int(p is not None and (int(cur["start_ts"].replace(tzinfo=dt.timezone.utc).timestamp() // 1)
+                                          - int(p.replace(tzinfo=dt.timezone.utc).timestamp() // 1)) <= 259200)
+            expected[cur["interaction_id"]] = (p, flag)
+    got = {r["interaction_id"]: (r["prev_contact_ts"], r["repeat_within_72h"])
+           for r in wh.run(V.repeat_contact_window).collect()}
+    assert got == expected

@@ -71,3 +71,22 @@ def _conf_from_env(key: str) -> str | None:
 
 def checkpoint_dir(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark)
+
+
+def recommended_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a cluster run over ``input_bytes`` of input on ``cores`` cores.
+
+    Shuffles start with enough partitions for ``target_partition_bytes`` each
+    (at least 2 per core) and AQE coalesces the small ones to the advisory
+    size; scans split at 256 MB; skewed shuffle partitions (5x the median and
+    over 512 MB) are split by AQE's skew join.
+    """
+    parts = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    }

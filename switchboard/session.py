@@ -73,15 +73,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark)
 
 
-def recommended_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def recommended_conf(input_bytes: int, cores: int, input_bytes_per_partition: int = 1 << 30) -> dict:
     """Settings for a cluster run over ``input_bytes`` of input on ``cores`` cores.
 
-    Shuffles start with enough partitions for ``target_partition_bytes`` each
-    (at least 2 per core) and AQE coalesces the small ones to the advisory
+    Shuffled bytes are a fraction of the input once columns are pruned and
+    aggregates are partial, so shuffles start with one partition per ~1 GB
+    of input (at least 2 per core, at most ``MAX_SHUFFLE_PARTITIONS`` to keep
+    the map x reduce block count sane) and AQE coalesces them to the advisory
     size; scans split at 256 MB; skewed shuffle partitions (5x the median and
     over 512 MB) are split by AQE's skew join.
     """
-    parts = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    parts = min(MAX_SHUFFLE_PARTITIONS, max(2 * cores, -(-input_bytes // input_bytes_per_partition)))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),

@@ -128,3 +128,16 @@ def test_repeat_contact_window_matches_brute_force_on_fixture(spark):
     got = {r["interaction_id"]: (r["prev_contact_ts"], r["repeat_within_72h"])
            for r in wh.run(V.repeat_contact_window).collect()}
     assert got == expected
+
+
+def test_left_join_on_true_branches(spark):
+    left = spark.createDataFrame([(1,), (2,)], "a long")
+    right = spark.createDataFrame([(10,), (20,), (30,)], "b long")
+    empty = spark.createDataFrame([], "b long")
+    small = V.left_join_on_true(left, right)
+    assert small.count() == 6
+    assert "BroadcastNestedLoopJoin" in small._jdf.queryExecution().executedPlan().toString()
+    big = V.left_join_on_true(left, right, max_broadcast_rows=2)
+    assert big.count() == 6 and sorted(map(tuple, big.collect())) == sorted(map(tuple, small.collect()))
+    none = V.left_join_on_true(left, empty)
+    assert sorted(map(tuple, none.collect())) == [(1, None), (2, None)]

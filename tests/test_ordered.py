@@ -102,3 +102,12 @@ def test_ordered_concat_ranged_matches_collect(spark):
     a = ordered_concat(df, ["k", "c"], ["ts", "id"], "s", " > ", "path", num_partitions=7, strategy="ranged")
     b = ordered_concat(df, ["k", "c"], ["ts", "id"], "s", " > ", "path", strategy="window")
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_hot_key_is_split_across_range_partitions(spark):
+    df = skewed(spark, n=6000)
+    assert df.where(F.col("k") == "HOT").count() > 6000 // 3 - 50   # about a third of all rows
+    ranged = df.repartitionByRange(8, F.col("k").asc_nulls_first(), F.col("ts"), F.col("id"))
+    sizes = [r["n"] for r in ranged.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    hot_parts = ranged.where(F.col("k") == "HOT").select(F.spark_partition_id()).distinct().count()
+    assert hot_parts >= 2 and max(sizes) <= 2 * (6000 / 8)

@@ -141,3 +141,11 @@ def test_left_join_on_true_branches(spark):
     assert big.count() == 6 and sorted(map(tuple, big.collect())) == sorted(map(tuple, small.collect()))
     none = V.left_join_on_true(left, empty)
     assert sorted(map(tuple, none.collect())) == [(1, None), (2, None)]
+
+
+def test_org_hierarchy_recursive_cte_equals_join_loop(spark):
+    from switchboard.sources.warehouse import Warehouse
+    wh = Warehouse.fixtures(spark, "/root/testdata/sf0.001")
+    a = wh.run(V.org_hierarchy)
+    b = wh.run(V.org_hierarchy_recursive)
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0

@@ -149,3 +149,39 @@ def test_org_hierarchy_recursive_cte_equals_join_loop(spark):
     a = wh.run(V.org_hierarchy)
     b = wh.run(V.org_hierarchy_recursive)
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_attrition_banding(spark):
+    agents = spark.createDataFrame([(i, 100 + i, f"a{i}", "S1", "ACTIVE", True) for i in range(1, 11)]
+                                   + [(11, 111, "term", "S1", "TERM", True), (12, 112, "old", "S1", "ACTIVE", False)],
+                                   "agent_sk long, agent_id long, full_name string, site_code string, status string, "
+                                   "is_current boolean")
+    adh = spark.createDataFrame([(i, 20240101, float(50 + i)) for i in range(1, 13)],
+                                "agent_sk long, date_key long, adherence_pct double") \
+        .withColumn("adherence_pct", F.col("adherence_pct").cast("decimal(5,2)"))
+    notice = spark.createDataFrame([(1, 110), (2, 110)], "attrition_event_id long, agent_id long")
+    weekly = spark.createDataFrame([(1, 1, 10)], "agent_sk long, wk long, interactions_handled long")
+    out = {r["agent_sk"]: (r["attrition_risk"], r["notice_events"]) for r in V.attrition_risk(adh, notice, weekly, agents).collect()}
+    assert set(out) == set(range(1, 11))                       # only current ACTIVE agents
+    assert [out[i][0] for i in range(1, 11)] == ["HIGH", "HIGH", "MEDIUM", "MEDIUM", "LOW", "LOW", "LOW", "LOW", "LOW", "HIGH"]
+    assert out[10][1] == 2 and out[5][1] == 0
+
+
+def test_queue_sla_null_target_and_zero_answered_are_missed(spark):
+    f = spark.createDataFrame([(1, 20240101, 10, 9), (2, 20240101, 0, 0), (3, 20240101, 10, 5)],
+                              "queue_sk long, date_key long, answered long, answered_in_sl long")
+    q = spark.createDataFrame([(1, 1, "Q1", "VOICE"), (2, 2, "Q2", "VOICE"), (3, 3, "Q3", "CHAT")],
+                              "queue_sk long, queue_id long, queue_code string, media_type string")
+    t = spark.createDataFrame([(1, "SL_20_80", 80.0), (2, "SL_20_80", 80.0), (3, "ASA", 10.0)],
+                              "queue_id long, metric_code string, target_value double") \
+        .withColumn("target_value", F.col("target_value").cast("decimal(10,4)"))
+    out = {r["queue_code"]: (r["sl_pct"], r["attainment"]) for r in V.queue_sla_attainment(f, q, t).collect()}
+    assert out == {"Q1": (90.0, "MET"), "Q2": (None, "MISSED"), "Q3": (50.0, "MISSED")}
+
+
+def test_occupancy_null_without_handle_or_ready_time(spark):
+    f = spark.createDataFrame([(20240101, 1, "AUX1", 30), (20240101, 2, "TALK", 30), (20240101, 2, "READY", 10)],
+                              "date_key long, agent_sk long, state_code string, state_seconds long")
+    a = spark.createDataFrame([(1, "S1"), (2, "S1")], "agent_sk long, site_code string")
+    out = {r["agent_sk"]: (r["aux_seconds"], r["occupancy_pct"]) for r in V.occupancy_utilization(f, a).collect()}
+    assert out == {1: (30, None), 2: (0, 75.0)}

@@ -1,6 +1,7 @@
 """Benchmark: run the headline queries and print one JSON line.
 
-Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_SHUFFLE_PARTITIONS
+(default 2 x cpus),
 BENCH_QUERIES (comma list, default the headline set below).
 
 Each query is executed to completion through the ``noop`` sink (every row
@@ -41,8 +42,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2),
-                          app_name="switchboard-bench")
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, cpus * 2)))
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=parts, app_name="switchboard-bench")
     qs = registry.queries()
     warm = os.environ.get("BENCH_WARMUP_DIR", os.path.join(os.path.dirname(sf_dir), "sf0.001"))
     if warm and os.path.isdir(warm) and os.path.abspath(warm) != os.path.abspath(sf_dir):

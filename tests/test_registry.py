@@ -60,10 +60,19 @@ def duck():
     return con
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
+    rel = duck.sql(entry.oracle_sql()[name])
+    types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for f in df.schema.fields:
+        st = f.dataType.simpleString()
+        assert types[f.name] == SPARK_TO_DUCK.get(st, st.upper()), (f.name, st, types[f.name])
     res = duck.execute(entry.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()

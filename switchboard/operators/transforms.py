@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from .ordered import with_global_row_number
-from .sequence import ordered_concat, with_previous
+from .sequence import SINGLE_TASK_GROUP_ROWS, largest_group_estimate, ordered_concat, with_previous
 
 # --- fixed values chosen here ----------------------------------------------
 OP_RANK = {"I": 0, "U": 1, "D": 2}          # at equal change time a delete wins
@@ -105,9 +105,12 @@ def scd2_build(changes: DataFrame, key: str, tracked: list[str], ts: str, tiebre
     """
     base = changes.select(key, *tracked, F.col(ts).alias("eff_from_ts"), F.col(tiebreak).alias("_tb"),
                           _signature(tracked).alias("_sig"))
-    with_prev = with_previous(base, key, ["eff_from_ts", "_tb"], "_sig", "_prev_sig")
+    # one sampled decision serves both passes: versions are a subset of the rows
+    strategy = "window" if largest_group_estimate(base, key) * 2 <= SINGLE_TASK_GROUP_ROWS else "ranged"
+    with_prev = with_previous(base, key, ["eff_from_ts", "_tb"], "_sig", "_prev_sig", strategy=strategy)
     versions = with_prev.where(F.col("_prev_sig").isNull() | (F.col("_prev_sig") != F.col("_sig"))).drop("_prev_sig", "_sig")
-    nxt = with_previous(versions, key, [F.col("eff_from_ts").desc(), F.col("_tb").desc()], "eff_from_ts", "eff_to_ts")
+    nxt = with_previous(versions, key, [F.col("eff_from_ts").desc(), F.col("_tb").desc()], "eff_from_ts", "eff_to_ts",
+                        strategy=strategy)
     micros = X.epoch_micros("eff_from_ts")
     return nxt.select(
         F.sha2(F.concat_ws("|", F.col(key).cast("string"), micros.cast("string")), 256).alias(id_col),

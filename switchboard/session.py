@@ -25,6 +25,10 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # checkpoint files are removed once their DataFrame is no longer referenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # the only automatic broadcasts: sides under 10 MB by plan estimate, or
+    # under 10 MB of measured shuffle output when AQE re-plans a join
+    "spark.sql.autoBroadcastJoinThreshold": str(10 << 20),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(10 << 20),
 }
 
 

@@ -105,27 +105,34 @@ def with_previous(df: DataFrame, partition_col: str, order_cols: list, value_col
 
 
 def _partial_concat(keys: list[str], value: str, sep: str):
-    def emit(cur, parts, pid, seq):
-        row = dict(zip(keys, ([v] for v in cur)))
-        vals = [p for p in parts if p is not None]
-        # an all-NULL run contributes nothing (array_join skips NULLs)
-        row.update({_PID: [pid], "_sb_seq": [seq], "_sb_part": [sep.join(vals) if vals else None]})
-        return pd.DataFrame(row)
-
+    """Join the values of each contiguous key run of a sorted partition; one
+    output frame per input batch (a run may continue into the next batch)."""
     def run(batches):
         pid, cur, parts, seq = None, None, [], 0
         for pdf in batches:
             if pdf.empty:
                 continue
             pid = int(pdf[_PID].iloc[0])
+            out_keys, out_seq, out_part = [], [], []
             for k, v in zip(zip(*[pdf[c].tolist() for c in keys]), pdf[value].tolist()):
                 if parts and k != cur:
-                    yield emit(cur, parts, pid, seq)
+                    vals = [p for p in parts if p is not None]
+                    out_keys.append(cur)
+                    out_seq.append(seq)
+                    # an all-NULL run contributes nothing (array_join skips NULLs)
+                    out_part.append(sep.join(vals) if vals else None)
                     parts, seq = [], seq + 1
                 cur = k
                 parts.append(v)
+            if out_keys:
+                cols = {c: list(col) for c, col in zip(keys, zip(*out_keys))}
+                cols.update({_PID: [pid] * len(out_keys), "_sb_seq": out_seq, "_sb_part": out_part})
+                yield pd.DataFrame(cols)
         if parts:
-            yield emit(cur, parts, pid, seq)
+            vals = [p for p in parts if p is not None]
+            cols = {c: [v] for c, v in zip(keys, cur)}
+            cols.update({_PID: [pid], "_sb_seq": [seq], "_sb_part": [sep.join(vals) if vals else None]})
+            yield pd.DataFrame(cols)
     return run
 
 

@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from switchboard import registry
 from tools.check_oracle import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
@@ -39,7 +40,8 @@ INVENTORY = {
 
 
 def test_no_silent_skip():
-    q, o = entry.queries(), entry.oracle_sql()
+    q, o = registry.queries(), registry.oracle_sql()
+    assert set(q) <= set(entry.queries())
     assert INVENTORY <= set(q), sorted(INVENTORY - set(q))
     assert set(o) == set(q), sorted(set(q) ^ set(o))
 
@@ -64,7 +66,7 @@ SPARK_TO_DUCK = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "d
                  "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]

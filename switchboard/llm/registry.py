@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from . import oracle
 from .decontaminate import contaminated_spans
 from .minhash import near_duplicates
+from .quality import quality_scores
+from .recurrent import language_model_scores
+from .toxicity import toxicity_scores
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,8 +32,28 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
+def _crc(mod: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(mod))
+
+
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model_scores(_table(spark, sf_dir, "documents"), _crc(5) == 1)
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), _crc(5) == 0, threshold=0.3)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity_scores(docs, _table(spark, sf_dir, "labels"), _crc(3) == 1, threshold=0.7).select(
+        "doc_id", F.col("_held_out").alias("held_out"), F.col("_score").alias("score"), F.col("_predicted").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_minhash_near_dedup, op4_benchmark_decontamination)
+    f.__name__: f for f in (
+        op1_minhash_near_dedup, op4_benchmark_decontamination, op5_lm_scoring,
+        op9_quality_classifier, op10_toxicity)
 }
 
 

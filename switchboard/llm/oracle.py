@@ -45,4 +45,26 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, coa
        sha256(coalesce(array_to_string(l, ','), '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
 FROM d LEFT JOIN n_hit USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
-ORACLE = {"op1_minhash_near_dedup": OP1, "op4_benchmark_decontamination": OP4}
+OP6 = """WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e, len(embedding) AS d,
+         label IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
+           AND len([x FOR x IN embedding IF x <> 0]) > 0 AS ok FROM embeddings),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.d = b.d AND a.vec_id <> b.vec_id
+          WHERE a.ok AND b.ok AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+root AS (SELECT a, min(b) AS c FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, c AS component_id, vec_id = c AS kept
+FROM v JOIN root ON root.a = vec_id LEFT JOIN n ON n.a = vec_id"""
+
+OP8 = """WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos FROM t),
+c AS (SELECT conv_id, count(*) AS n, list({'r': role, 't': text} ORDER BY pos) AS turns FROM p GROUP BY conv_id),
+whole AS (SELECT turns, min(conv_id) AS conv_id, count(*) AS n_copies, any_value(n) AS n FROM c GROUP BY turns),
+parts AS (SELECT DISTINCT turns[1:k] AS turns FROM (SELECT turns, unnest(range(1, n)) AS k FROM whole WHERE n > 1)),
+kept AS (SELECT * FROM whole ANTI JOIN parts USING (turns))
+SELECT conv_id, n AS n_turns, n_copies, array_to_string([
+  '<|im_start|>' || replace(coalesce(x.r, 'unknown'), '<|', '< |') || chr(10) || replace(coalesce(x.t, ''), '<|', '< |') || '<|im_end|>' || chr(10)
+  FOR x IN turns], '') AS chat FROM kept"""
+
+ORACLE = {"op1_minhash_near_dedup": OP1, "op4_benchmark_decontamination": OP4, "op6_embedding_near_dedup": OP6, "op8_chat_formatting": OP8}

@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle
+from .conversations import render_chats
 from .decontaminate import contaminated_spans
 from .minhash import near_duplicates
 from .quality import quality_scores
 from .recurrent import language_model_scores
 from .toxicity import toxicity_scores
+from .vectors import similar_vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,10 +52,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.col("_held_out").alias("held_out"), F.col("_score").alias("score"), F.col("_predicted").alias("predicted"))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return render_chats(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_minhash_near_dedup, op4_benchmark_decontamination, op5_lm_scoring,
-        op9_quality_classifier, op10_toxicity)
+        op9_quality_classifier, op10_toxicity, op6_embedding_near_dedup, op8_chat_formatting)
 }
 
 

@@ -89,9 +89,9 @@ def _sketch_rows(batch: pa.RecordBatch, k: int) -> pa.RecordBatch:
     flat_mins = pa.array(np.ascontiguousarray(mins.T).view(np.int32).ravel())
     lists = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * SKETCH), flat_mins)
     return pa.RecordBatch.from_arrays(
-        [batch.column(0).cast(pa.int64()), pa.array(n.astype(np.int64)), pa.array(_signed(sums[0])),
+        [batch.column(0).cast(pa.int64()), batch.column(2), pa.array(n.astype(np.int64)), pa.array(_signed(sums[0])),
          pa.array(_signed(sums[1])), pa.array(_signed(sig)), lists],
-        names=["doc_id", "n_shingles", "set1", "set2", "sig", "mins"])
+        names=["doc_id", "key", "n_shingles", "set1", "set2", "sig", "mins"])
 
 
 def sketches(docs: DataFrame, k: int) -> DataFrame:
@@ -100,8 +100,9 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
         for b in batches:
             for part in B.slices(b, "text"):
                 yield _sketch_rows(part, k)
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, set1 bigint, set2 bigint, sig bigint, mins array<int>")
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64("doc_id", text).alias("key")).mapInArrow(
+        run, "doc_id bigint, key bigint, n_shingles bigint, set1 bigint, set2 bigint, sig bigint, mins array<int>")
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
@@ -182,11 +183,12 @@ def _children(node: Column, salt: int, count: int) -> Column:
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFrame:
-    """One row a row of ``docs``(doc_id, text): doc_id, n_shingles, component_id, kept, class_size.
+    """One row a row of ``docs``(doc_id, text): doc_id, key, n_shingles, component_id, kept, class_size.
 
     Documents with 100 * |A & B| >= threshold * |A | B| on distinct k-word
     shingles are linked; component_id is the smallest doc_id reachable by
-    links, kept marks that document, class_size counts rows of the same set.
+    links, kept marks that document, class_size counts rows of the same set, key
+    is xxhash64(doc_id, text).
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "minhash")
@@ -243,8 +245,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFra
     reps = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
         "set1", "set2", F.coalesce("label", "rep").alias("component_id"), "class_size")
     own = F.col("n_shingles") > 0
-    return rows.select("doc_id", "n_shingles", "set1", "set2").join(reps, ["set1", "set2"], "left").select(
-        "doc_id", "n_shingles", F.when(own & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+    return rows.select("doc_id", "key", "n_shingles", "set1", "set2").join(reps, ["set1", "set2"], "left").select(
+        "doc_id", "key", "n_shingles", F.when(own & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.coalesce(F.when(own, F.col("doc_id") == F.col("component_id")), F.lit(True)).alias("kept"),
         F.when(own & F.col("doc_id").isNotNull(), F.col("class_size")).otherwise(F.lit(1)).alias("class_size"))
 

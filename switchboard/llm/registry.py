@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from . import oracle
 from .conversations import render_chats
 from .decontaminate import contaminated_spans
+from .licences import license_matches
 from .minhash import near_duplicates
+from .mixing import mixing_rates
 from .quality import quality_scores
 from .recurrent import language_model_scores
+from .surrogates import pseudonymize
 from .toxicity import toxicity_scores
 from .vectors import similar_vectors
 
@@ -60,10 +63,37 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return render_chats(_table(spark, sf_dir, "conversations"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_matches(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    names = F.array_sort(F.array_distinct(F.transform("_licenses", lambda m: m["license"])))
+    return found.select("doc_id", F.size("_licenses").cast("bigint").alias("n_matches"), F.array_join(names, ",").alias("licenses"))
+
+
+#: The languages' shares that the mixing query asks for: the test tables' sources hold the same kind of text, their
+#: languages are what a classifier can tell.
+MIX = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
+
+
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing_rates(_table(spark, sf_dir, "documents"), "lang", MIX)
+    return mixed.select("doc_id", F.col("_tokens").alias("n_tokens"), *[F.col(f"_p{i}").alias(f"p_{name}") for i, name in enumerate(sorted(MIX))],
+                        F.col("_rate").alias("rate"), F.col("_copies").alias("copies"))
+
+
+#: stands for the secret that a deployment keeps
+PII_KEY = "example-key"
+
+
+def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = pseudonymize(_table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+    return done.select("doc_id", F.size("_entities").cast("bigint").alias("n_entities"), "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_minhash_near_dedup, op4_benchmark_decontamination, op5_lm_scoring,
-        op9_quality_classifier, op10_toxicity, op6_embedding_near_dedup, op8_chat_formatting)
+        op9_quality_classifier, op10_toxicity, op6_embedding_near_dedup, op8_chat_formatting,
+        op2_license_scan, op3_source_mixing, op7_pii_surrogates)
 }
 
 

@@ -4,20 +4,23 @@ A document is the set of its distinct k-word shingles. Documents of equal
 sets form one class; each class has a sketch of ``SKETCH`` minwise values.
 Every tree of the join starts with all classes and branches them by minwise
 values: a node picks a few sketch coordinates (by a hash of the node) and
-sends each class to one child for each, named after the value found there.
-Nodes of at most ``SMALL`` classes are compared exhaustively; larger ones
-are linked to one hub class and branched again. After ``DEPTH`` levels what
-is still large is compared exhaustively in blocks, so no node is cut short.
+sends each class to a child for each, named after the value found there
+(below the roots a child takes ``GROUP`` coordinates at once, so that classes
+of lower similarity part quickly). Every class of a node is compared with the
+node's hub class, and nodes of at most ``SMALL`` classes are compared
+exhaustively; larger ones whose classes are not all linked to one hub are
+branched again. What is large after ``DEPTH`` levels is compared exhaustively
+but for pairs already connected through a hub, so no node is cut short.
 Candidates that pass a one-bit-sketch test (see ``MAX_BITS``) are confirmed
 on the full shingle sets.
 
-A pair whose classes are already in one component needs no comparison for
-the components asked for; nodes of one component are dropped.
+A pair whose classes are linked to one hub needs no comparison for the
+components asked for; nodes of one such label are dropped.
 
-Recall: for similarity s a pair stays together in a tree node and one of its
-children with probability 1 - (1 - s q)^2, whose fixed point at s = 0.8 is
-q = 0.94; with ``TREES`` x ``ROOT`` = 8 root children, 1 - (1 - 0.8 * 0.94)^8
-is above 0.9999 (99.9 % even for a sketch that by chance shows only 0.7).
+Recall: a pair of similarity 0.8 shares a root child with probability 0.8 and,
+below it, one of ``BRANCH`` children with 1 - (1 - 0.8^4)^6 = 0.96, two levels
+below 0.95; with ``TREES`` x ``ROOT`` = 8 root children the pair is met with
+1 - (1 - 0.8 * 0.95)^8 > 0.9999 (0.998 for a sketch that by chance shows 0.7).
 
 Results for odd input: null, empty and blank texts have no shingles and are
 linked with nothing; rows with a null doc_id are linked with nothing and
@@ -37,8 +40,10 @@ from .components import connected_components
 from .scratch import Scratch
 
 SKETCH = 64
-TREES, ROOT, BRANCH = 4, 2, 2
-SMALL, DEPTH = 48, 6
+TREES, ROOT, BRANCH, GROUP = 4, 2, 6, 4
+SMALL, DEPTH = 48, 3
+#: rows of a large node that are compared with one unconnected class at once
+REST = 4096
 #: Of 64 one-bit minwise values, a pair of similarity 0.8 differs in 6.4 on average (sd 2.4); more than
 #: this many is 4.7 deviations away.
 MAX_BITS = 18
@@ -132,7 +137,7 @@ def _hits(batches, threshold: int):
             at[at == len(large)] = 0
             both = int((large[at] == small).sum())
             keep[i] = 100 * both >= threshold * (len(x) + len(y) - both)
-        yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in (b.column(0), b.column(1))], names=["a", "b"])
+        yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in (b.column(0), b.column(1), b.column(4))], names=["a", "b", "hub"])
 
 
 def _filter_by(df: DataFrame, key: str, keys: DataFrame, bits: int) -> DataFrame:
@@ -152,15 +157,15 @@ def _filter_by(df: DataFrame, key: str, keys: DataFrame, bits: int) -> DataFrame
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame, k: int, threshold: int, scratch: Scratch) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 |A & B| >= threshold |A | B|."""
-    pairs = scratch.keep(pairs.distinct(), "pairs")
+    """The pairs (a, b, hub) whose full sets have 100 |A & B| >= threshold |A | B|."""
+    pairs = scratch.keep(pairs.groupBy("a", "b").agg(F.min("hub").alias("hub")), "pairs")
     ids = scratch.keep(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
     texts = _filter_by(docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text")),
                        "id", ids, FILTER_BITS)
     sets = scratch.keep(_sets(texts, k).join(ids, "id", "left_semi").dropDuplicates(), "sets")
     one = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
-    both = one.join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b").select("a", "b", "sb", "sa")
-    out = scratch.keep(both.select("a", "b", "sb", "sa").mapInArrow(lambda it: _hits(it, threshold), "a bigint, b bigint").distinct(), "links")
+    both = one.join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b").select("a", "b", "sb", "sa", "hub")
+    out = scratch.keep(both.mapInArrow(lambda it: _hits(it, threshold), "a bigint, b bigint, hub bigint"), "links")
     for t in (pairs, ids, sets):
         scratch.drop(t)
     return out
@@ -173,12 +178,12 @@ def _alike(a: str, b: str, threshold: int) -> Column:
     return (F.least(x, y) * 100 >= F.greatest(x, y) * threshold) & near
 
 
-def _children(node: Column, salt: int, count: int) -> Column:
-    """One child node for each of ``count`` coordinates that the node's hash picks."""
+def _children(node: Column, salt: int, count: int, group: int) -> Column:
+    """``count`` child nodes, each for ``group`` coordinates that the node's hash picks and the values found there."""
     kids = []
     for j in range(count):
-        at = F.pmod(F.xxhash64(F.lit(salt * 64 + j), node), F.lit(SKETCH)).cast("int") + 1
-        kids.append(F.xxhash64(F.lit(salt), node, at, F.element_at("mins", at)))
+        at = [F.pmod(F.xxhash64(F.lit((salt * 64 + j) * 16 + g), node), F.lit(SKETCH)).cast("int") + 1 for g in range(group)]
+        kids.append(F.xxhash64(F.lit(salt), F.lit(j), node, *[F.element_at("mins", i) for i in at]))
     return F.explode(F.array_distinct(F.array(*kids)))
 
 
@@ -196,52 +201,47 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFra
     classes = scratch.keep(rows.where("n_shingles > 0 and doc_id is not null").groupBy("set1", "set2").agg(
         F.min_by(F.struct("doc_id", "n_shingles", "sig", "mins"), "doc_id").alias("r"), F.count(F.lit(1)).alias("class_size"))
         .select("set1", "set2", F.col("r.doc_id").alias("rep"), F.col("r.n_shingles").alias("n"), "r.sig", "r.mins", "class_size"), "classes")
-    links, labels = None, None
-
-    def learn(found: DataFrame) -> None:
-        nonlocal links, labels
-        links = found if links is None else links.union(found)
-        scratch.drop(labels)
-        labels = connected_components(links, scratch)
-
-    tips = [_children(F.lit(tree), tree, ROOT) for tree in range(TREES)]
     members = None
     for tree in range(TREES):
-        part = classes.select("rep", "n", "sig", tips[tree].alias("node"))
+        part = classes.select("rep", "n", "sig", _children(F.lit(tree), tree, ROOT, 1).alias("node"))
         members = part if members is None else members.union(part)
     members = scratch.keep(members, "members")
+    stars, pairs = [], []
     for depth in range(1, DEPTH + 1):
-        if labels is None:
-            labelled = members.withColumn("label", F.col("rep"))
-        else:
-            labelled = members.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+        labelled = _labelled(members, stars)
         nodes = labelled.groupBy("node").agg(
             F.count(F.lit(1)).alias("c"), F.min("label").alias("lo"), F.max("label").alias("hi"),
             F.min(F.struct(F.xxhash64("rep").alias("o"), "rep", "n", "sig", "label")).alias("hub")).where("lo < hi").select("node", "c", "hub")
         mixed = scratch.keep(labelled.join(nodes, "node"), "mixed")
         scratch.drop(members)
-        # every class of a node against the node's hub, then the small nodes' classes not yet connected
-        m, hub = "m", "hub"
-        star = mixed.alias(m).where(_alike(m, hub, threshold) & (F.col("label") != F.col("hub.label"))).select(
-            F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b"))
-        learn(_confirm(star, docs, k, threshold, scratch))
-        now = labels.withColumnRenamed("id", "rep").withColumnRenamed("label", "new")
-        small = scratch.keep(mixed.where(F.col("c") <= SMALL).select("node", "rep", "n", "sig", "label").join(now, "rep", "left")
-                             .withColumn("label", F.coalesce("new", "label")).drop("new"), "small")
-        x, y = small.alias("x"), small.alias("y")
-        pairs = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.label") != F.col("y.label"))
-                       & _alike("x", "y", threshold)).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
-        learn(_confirm(pairs, docs, k, threshold, scratch))
-        scratch.drop(small)
-        large = mixed.where(F.col("c") > SMALL).select("rep", "n", "sig", "node", "c")
+        # every class of a node against the node's hub: what is linked to one hub is connected
+        star = mixed.alias("m").where(_alike("m", "hub", threshold) & (F.col("label") != F.col("hub.label"))).select(
+            F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b"), F.col("hub.rep").alias("hub"))
+        stars.append(_confirm(star, docs, k, threshold, scratch))
+        now = _labelled(mixed.select("node", "rep", "n", "sig", "c"), stars)
+        # the classes of small nodes not yet connected, exhaustively
+        x, y = now.where(F.col("c") <= SMALL).alias("x"), now.where(F.col("c") <= SMALL).alias("y")
+        pairs.append(scratch.keep(x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.label") != F.col("y.label"))
+                                         & _alike("x", "y", threshold)).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct(), "pairs"))
+        large = now.where(F.col("c") > SMALL)
+        still = large.groupBy("node").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("node", "lo")
+        large = scratch.keep(large.join(still, "node"), "large")
+        scratch.drop(mixed)
         if not large.limit(1).count():
             break
         if depth == DEPTH:
-            learn(_confirm(_block_pairs(large, labels, threshold, scratch), docs, k, threshold, scratch))
-            break
-        members = scratch.keep(large.join(classes.select("rep", "mins"), "rep").select(
-            "rep", "n", "sig", _children(F.col("node"), TREES + depth, BRANCH).alias("node")).distinct(), "members")
-        scratch.drop(mixed)
+            pairs.append(scratch.keep(_rest_pairs(large, threshold), "pairs"))
+        else:
+            members = scratch.keep(large.join(classes.select("rep", "mins"), "rep").select(
+                "rep", "n", "sig", _children(F.col("node"), TREES + depth, BRANCH, GROUP).alias("node")).distinct(), "members")
+            scratch.drop(large)
+    found = pairs[0]
+    for more in pairs[1:]:
+        found = found.union(more)
+    links = _confirm(found.withColumn("hub", F.lit(None).cast("bigint")), docs, k, threshold, scratch).select("a", "b")
+    for more in stars:
+        links = links.union(more.select("a", "b"))
+    labels = connected_components(links, scratch)
     reps = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
         "set1", "set2", F.coalesce("label", "rep").alias("component_id"), "class_size")
     own = F.col("n_shingles") > 0
@@ -251,14 +251,28 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFra
         F.when(own & F.col("doc_id").isNotNull(), F.col("class_size")).otherwise(F.lit(1)).alias("class_size"))
 
 
-def _block_pairs(large: DataFrame, labels: DataFrame, threshold: int, scratch: Scratch) -> DataFrame:
-    """All alike pairs of large nodes, compared in pairs of blocks of about ``SMALL`` classes."""
-    now = large.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    mixed = now.join(now.groupBy("node").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi"), "node")
-    blocks = F.ceil(F.col("c") / SMALL).cast("int")
-    rows = scratch.keep(mixed.withColumn("blocks", blocks).withColumn("i", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")), "blocks")
-    left = rows.withColumn("j", F.explode(F.sequence("i", F.col("blocks") - 1)))
-    right = rows.withColumn("j", F.col("i")).withColumn("i", F.explode(F.sequence(F.lit(0), "j")))
-    return left.alias("x").join(right.alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
-                                & (F.col("x.rep") != F.col("y.rep")) & (F.col("x.label") != F.col("y.label")) & _alike("x", "y", threshold)).select(
-        F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
+def _labelled(rows: DataFrame, stars: list[DataFrame]) -> DataFrame:
+    """``rows`` with label: the smallest hub that the class is linked to (or is), else the class itself."""
+    if not stars:
+        return rows.withColumn("label", F.col("rep"))
+    links = stars[0]
+    for more in stars[1:]:
+        links = links.union(more)
+    ends = links.select(F.col("a").alias("rep"), "hub").union(links.select(F.col("b").alias("rep"), "hub"))
+    labels = ends.groupBy("rep").agg(F.min("hub").alias("label"))
+    return rows.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+
+
+def _rest_pairs(large: DataFrame, threshold: int) -> DataFrame:
+    """All alike pairs of different label in large nodes.
+
+    One of such a pair does not have the node's most frequent label; those
+    few are compared with all of the node, dealt out in parts.
+    """
+    of = large.groupBy("node", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("node").agg(F.max(F.struct("k", "label")).alias("m")).select(
+        "node", F.col("m.label").alias("most"))
+    rows = large.join(of, "node").withColumn("parts", F.ceil(F.col("c") / REST).cast("int"))
+    odd = rows.where("label <> most").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("x")
+    all_rows = rows.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")).alias("y")
+    return odd.join(all_rows, (F.col("x.node") == F.col("y.node")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.label") != F.col("y.label"))
+                    & _alike("x", "y", threshold)).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()

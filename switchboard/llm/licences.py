@@ -5,10 +5,10 @@ words. For a template of n shingles, windows of w shingles are laid over the
 text with step s, w - s + 1 >= n, so that every place of the template lies
 wholly in some window. Each window has ``BANDS`` minwise values (bands of one
 row), and retrieves the templates that share one of them. A window that holds
-0.8 of a template's shingles has similarity J >= 0.8 n / (w + 0.2 n) with it,
-at least 0.29 for the classes of (w, s) below, and is retrieved with
-probability 1 - (1 - J)^16 >= 0.996 (above 0.9999 for a whole template in a
-well-filled window). Retrieved windows are verified by exact shingle
+a whole template of n shingles has similarity n / w with it, at least 0.5 for
+the classes of (w, s) below, and is retrieved with probability 1 - (1 - n/w)^8,
+0.996 at least; one that holds 0.8 of the shingles, which is enough to match,
+with 0.96 at least. Retrieved windows are verified by exact shingle
 containment.
 
 Results for odd input: null and empty texts, and texts of fewer than K words,
@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 
 from .bytetext import mix
 
-K, BANDS, CONTAINED = 3, 16, 0.8
+K, BANDS, CONTAINED = 3, 8, 0.8
 #: (window, step, most shingles of a template), smallest first
-CLASSES = ((8, 4, 5), (16, 4, 13), (40, 10, 31), (96, 24, 73), (224, 56, 169))
+CLASSES = ((4, 2, 3), (8, 3, 6), (13, 3, 11), (24, 6, 19), (48, 12, 37), (96, 24, 73))
 
 # License notices as they are commonly written.
 TEMPLATES = {
@@ -51,8 +51,7 @@ _XOR = [int(x) for x in mix(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64
 
 
 def template_words(text: str) -> list[str]:
-    low = re.sub("[A-Z]", lambda m: m[0].lower(), text)
-    return [w for w in re.split(_NOT_WORD, low) if w]
+    return [w for w in re.split(_NOT_WORD, text.lower()) if w]
 
 
 def _shingles(words: Column) -> Column:
@@ -60,8 +59,13 @@ def _shingles(words: Column) -> Column:
     return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(K)]))).otherwise(F.array().cast("array<bigint>"))
 
 
+def _moved(band: int):
+    """The band's hash of a shingle: its 64-bit hash, exclusive-or a constant."""
+    return lambda x: x.bitwiseXOR(F.lit(_XOR[band]))
+
+
 def _least(hashes: Column, band: int) -> Column:
-    return F.array_min(F.transform(hashes, lambda x: x.bitwiseXOR(F.lit(_XOR[band]))))
+    return F.array_min(F.transform(hashes, _moved(band)))
 
 
 def templates(spark, notices: dict[str, tuple[str, ...]]) -> DataFrame:
@@ -79,37 +83,47 @@ def _longs(values: list[int]) -> Column:
     return F.array(*[F.lit(int(v)).cast("bigint") for v in values])
 
 
-def _steps(step: int) -> Column:
-    count = F.ceil(F.size("_sh") / step).cast("int")
-    return F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+def _settled(rows: DataFrame) -> DataFrame:
+    """The same rows, their columns computed once here (a projection above would compute them again at every use)."""
+    return rows.select(F.inline(F.array(F.struct(*rows.columns))))
 
 
-def _window_minima(rows: DataFrame, c: int, step: int) -> DataFrame:
-    """The least values of every step's shingles, by band; a window is some steps."""
-    for b in range(BANDS):
-        rows = rows.withColumn(f"_m{c}_{b}", F.transform(_steps(step), lambda j: _least(F.slice("_sh", j * step + 1, step), b)))  # noqa: B023
-    return rows
+def _windows(window: int, step: int) -> Column:
+    """The steps at which windows begin that hold one of the shingles in _at.
 
+    A window's least value in a band can only equal a template's if the window
+    holds that very shingle, so the bands of other windows need no look.
+    """
+    def around(i: Column) -> Column:
+        low = F.greatest(F.lit(0), F.ceil((i - (window - 1)) / step).cast("int"))
+        high = F.floor(i / step).cast("int")
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.flatten(F.transform("_at", around)))
 
-def _retrieved(j: Column, c: int, blocks: int, of: list[dict]) -> Column:
+
+def _retrieved(j: Column, window: int, step: int, of: list[dict]) -> Column:
     """Whether the window that begins with step j has a band in common with one of the templates."""
     hit = F.lit(False)
     for b in range(BANDS):
-        hit = hit | F.array_min(F.slice(f"_m{c}_{b}", j + 1, blocks)).isin(sorted({t["bands"][b] for t in of}))
+        hit = hit | _least(F.slice("_sh", j * step + 1, window), b).isin(sorted({t["bands"][b] for t in of}))
     return hit
 
 
-def _found(c: int, blocks: int, step: int, t: dict) -> Column:
+def _hits(window: int, step: int, own: list[dict]):
+    return lambda j: _retrieved(j, window, step, own)
+
+
+def _found(c: int, window: int, step: int, t: dict) -> Column:
     """The template's verified places, a struct for each window that retrieved it."""
     sh = _longs(t["shingles"])
 
     def place(j: Column) -> Column:
-        window = F.slice("_sh", j * step + 1, step * blocks)
-        at = F.filter(F.transform(window, lambda x, i: F.when(F.array_contains(sh, x), i + j * step)), lambda i: i.isNotNull())
+        own = F.slice("_sh", j * step + 1, window)
+        at = F.filter(F.transform(own, lambda x, i: F.when(F.array_contains(sh, x), i + j * step)), lambda i: i.isNotNull())
         return F.struct(F.lit(t["license"]).alias("license"), F.array_min(at).alias("begin"), (F.array_max(at) + K).alias("end"),
-                        (F.size(F.array_intersect(window, sh)) / float(t["n"])).alias("contained"))
-    own = F.filter(f"_c{c}", lambda j: _retrieved(j, c, blocks, [t]))
-    return F.filter(F.transform(own, place), lambda m: m["contained"] >= CONTAINED)
+                        (F.size(F.array_intersect(own, sh)) / float(t["n"])).alias("contained"))
+    near = F.filter(f"_c{c}", lambda j: _retrieved(j, window, step, [t]))
+    return F.filter(F.transform(near, place), lambda m: m["contained"] >= CONTAINED)
 
 
 def license_matches(docs: DataFrame, notices: dict[str, tuple[str, ...]] = TEMPLATES) -> DataFrame:
@@ -121,18 +135,21 @@ def license_matches(docs: DataFrame, notices: dict[str, tuple[str, ...]] = TEMPL
     name). The array is empty without match.
     """
     known = [r.asDict() for r in templates(docs.sparkSession, notices).collect()]
-    low = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    rows = docs.withColumn("_words", F.filter(F.split(low, _NOT_WORD), lambda w: w != "")).withColumn("_sh", _shingles(F.col("_words"))).drop("_words")
-    parts = []
-    for c, (w, step, _) in enumerate(CLASSES):
+    low = F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    rows = _settled(docs.withColumn("_words", F.filter(F.split(low, _NOT_WORD), lambda w: w != "")))
+    rows = _settled(rows.withColumn("_sh", _shingles(F.col("_words"))).drop("_words"))
+    seeds = sorted({t["bands"][b] ^ _XOR[b] for t in known for b in range(BANDS)})
+    rows = _settled(rows.withColumn("_at", F.filter(F.transform("_sh", lambda x, i: F.when(x.isin(seeds), i)), lambda i: i.isNotNull())))
+    parts, retrieved = [], {}
+    for c, (window, step, _) in enumerate(CLASSES):
         own = [t for t in known if t["cls"] == c]
         if own:
-            rows = _window_minima(rows, c, step)
-            rows = rows.withColumn(f"_c{c}", F.filter(_steps(step), lambda j: _retrieved(j, c, w // step, own)))  # noqa: B023  (called at once)
-            parts += [_found(c, w // step, step, t) for t in own]
+            retrieved[f"_c{c}"] = F.filter(_windows(window, step), _hits(window, step, own))
+            parts += [_found(c, window, step, t) for t in own]
+    rows = _settled(rows.withColumns(retrieved)) if retrieved else rows
     if not parts:
         return docs.withColumn("_licenses", F.array().cast("array<struct<license:string,begin:int,end:int,contained:double>>"))
-    rows = rows.withColumn("_all", F.array_distinct(F.concat(*parts))).select(*docs.columns, "_all")
+    rows = _settled(rows.withColumn("_all", F.array_distinct(F.concat(*parts))).select(*docs.columns, "_all"))
 
     def better(y: Column, x: Column) -> Column:
         def rank(m: Column) -> Column:

@@ -20,7 +20,7 @@ an empty table gives no rows; repeated rows are documents of their own.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import Scratch
@@ -31,45 +31,50 @@ MOST_DOMAINS = 64
 STEPS, TOLERANCE, STEPS_A_TABLE = 60, 1e-6, 6
 
 
-def _words(text: str) -> Column:
-    blanks = r"[\x20\x09-\x0D]+"
-    return F.filter(F.split(F.translate(F.coalesce(F.col(text).cast("string"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), blanks), lambda w: w != "")
-
-
-def _slot(w: Column) -> Column:
-    return F.pmod(F.xxhash64(w), F.lit(SLOTS)).cast("int")
+def _word_rows(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row a word, its slot in _slot (null for a text without words); lower-cased, split at blanks."""
+    words = F.split(F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))), r"[\x20\x09-\x0D]+")
+    rows = docs.withColumn("_w", F.explode(words)).drop("text")
+    return rows.withColumn("_slot", F.when(F.col("_w") != "", F.pmod(F.xxhash64("_w"), F.lit(SLOTS)).cast("int"))).drop("_w")
 
 
 def word_model(docs: DataFrame, domain: str, domains: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """ln priors (K) and ln P(slot | domain) (K x SLOTS), from all rows of a known domain; K x SLOTS counts come to the driver."""
-    known = docs.where(F.col(domain).cast("string").isin(domains)).select(F.col(domain).cast("string").alias("k"), F.explode(_words("text")).alias("w"))
-    counts = known.groupBy("k", _slot(F.col("w")).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    known = docs.select(F.col(domain).cast("string").alias("k"), "text").where(F.col("k").isin(domains))
+    counts = _word_rows(known).where("_slot is not null").groupBy("k", "_slot").agg(F.count(F.lit(1)).alias("n"))
     table = np.full((len(domains), SLOTS), 0.5)
     at = {k: i for i, k in enumerate(domains)}
     for r in counts.collect():
-        table[at[r["k"]], r["slot"]] += r["n"]
-    rows = {r["k"]: r["n"] for r in docs.where(F.col(domain).cast("string").isin(domains)).groupBy(F.col(domain).cast("string").alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()}
+        table[at[r["k"]], r["_slot"]] += r["n"]
+    rows = {r["k"]: r["n"] for r in known.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
     prior = np.array([rows.get(k, 0) + 1.0 for k in domains])
     return np.log(prior / prior.sum()), np.log(table / table.sum(axis=1, keepdims=True))
 
 
 def posteriors(docs: DataFrame, prior: np.ndarray, table: np.ndarray) -> DataFrame:
-    """``docs`` with _tokens and _p0.._pK-1: the words' mean log-likelihood by domain, times EVIDENCE words at most, softmaxed."""
+    """_row, doc_id, _tokens, _p0.._pK-1 of ``docs``(_row, doc_id, text).
+
+    The words' mean log-likelihood by domain, times EVIDENCE words at most,
+    softmaxed. The words of a text are summed where they are read; the table
+    of SLOTS rows is broadcast, its size being fixed.
+    """
     k = len(prior)
-    rows = docs.withColumn("_slots", F.transform(_words("text"), _slot)).withColumn("_tokens", F.size("_slots").cast("bigint"))
-    # one array of K log-probabilities a slot, as a literal of fixed size
-    lit = F.array(*[F.array(*[F.lit(float(x)) for x in table[:, s]]) for s in range(SLOTS)])
-    zero = F.array(*[F.lit(0.0)] * k)
-    total = F.aggregate("_slots", zero, lambda a, s: F.zip_with(a, F.get(lit, s), lambda x, y: x + y))
+    names = [f"_l{i}" for i in range(k)]
+    small = docs.sparkSession.createDataFrame([(s, *map(float, table[:, s])) for s in range(SLOTS)], "_slot int, " + ", ".join(f"{n} double" for n in names))
+    sums = (_word_rows(docs.select("_row", "doc_id", "text")).join(F.broadcast(small), "_slot", "left").groupBy("_row")
+            .agg(F.first("doc_id").alias("doc_id"), F.count("_slot").alias("_tokens"), *[F.coalesce(F.sum(n), F.lit(0.0)).alias(n) for n in names]))
     scale = F.least(F.lit(1.0), F.lit(EVIDENCE) / F.greatest(F.col("_tokens"), F.lit(1)))
-    rows = rows.withColumn("_l", F.zip_with(total, F.array(*[F.lit(float(x)) for x in prior]), lambda x, y: x * scale + y)).drop("_slots")
-    rows = rows.withColumn("_e", F.transform("_l", lambda x: F.exp(x - F.array_max("_l"))))
-    rows = rows.withColumn("_s", F.aggregate("_e", F.lit(0.0), lambda a, x: a + x))
-    return rows.select(*[c for c in rows.columns if c not in ("_l", "_e", "_s")], *[(F.get("_e", F.lit(i)) / F.col("_s")).alias(f"_p{i}") for i in range(k)])
+    sums = sums.select("_row", "doc_id", "_tokens", *[(F.col(n) * scale + float(prior[i])).alias(n) for i, n in enumerate(names)])
+    top = F.greatest(*names) if k > 1 else F.col(names[0])
+    rel = sums.select("_row", "doc_id", "_tokens", *[F.exp(F.col(n) - top).alias(n) for n in names])
+    total = F.lit(0.0)
+    for n in names:
+        total = total + F.col(n)
+    return rel.select("_row", "doc_id", "_tokens", *[(F.col(n) / total).alias(f"_p{i}") for i, n in enumerate(names)])
 
 
 def mixing_rates(docs: DataFrame, domain: str, targets: dict[str, float], budget: float | None = None) -> DataFrame:
-    """``docs`` with _tokens, _rate and _copies, and _p_<i> posteriors in the sorted order of ``targets``.
+    """One row a row of ``docs``: doc_id, _tokens, _rate, _copies, and _p<i>, the posteriors in the sorted order of ``targets``.
 
     targets: domain -> weight (scaled to sum 1), MOST_DOMAINS at most. budget:
     tokens wanted in all; by default as many as there are. _copies rounds

@@ -48,8 +48,6 @@ PATTERNS = {
     "name": r"(?<![\p{L}])(?:" + "|".join(TITLES) + r")\.? \p{Lu}\p{Ll}+(?:[ -]\p{Lu}\p{Ll}+)?(?!\p{L})",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: what any entity has: a text without is not searched
-HINT = r"[@0-9]|" + "|".join(TITLES)
 
 
 def _kind(m: Column) -> Column:
@@ -218,19 +216,22 @@ def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
     """The rows of ``docs`` with text replaced and _entities: the array of (kind, surrogate) put in, in order of place."""
     scratch = Scratch(docs.sparkSession, "surrogates")
     text = F.col("text").cast("string")
-    matches = F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
     columns = docs.columns
-    marked = docs.withColumn("text", text).withColumn("_matches", F.coalesce(matches, F.array().cast("array<string>")))
-    atoms = marked.where(F.size("_matches") > 0).select(F.explode(F.flatten(F.transform("_matches", _atoms))).alias("a")).select("a.*")
+    may = text.rlike("[@0-9]")  # what any entity has, names apart: a text without is not searched
+    for title in TITLES:
+        may = may | text.contains(title)
+    matches = F.when(may, F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
+    none = F.coalesce(F.size(matches), F.lit(0)) <= 0
+    marked = scratch.keep(docs.where(~none).withColumn("text", text).withColumn("_matches", matches), "marked")
+    atoms = marked.select(F.explode(F.flatten(F.transform("_matches", _atoms))).alias("a")).select("a.*")
     assigned = assign(atoms, key, scratch)
     redrawn = assigned.where("attempt > 0").select("kind", "canon", "attempt")
     # of each text that holds an atom drawn anew: which, and its attempt
-    texts = marked.where(F.size("_matches") > 0).select(F.sha2("text", 256).alias("_sha"), F.explode(F.array_distinct(F.flatten(F.transform("_matches", _atoms)))).alias("a"))
+    texts = marked.select(F.sha2("text", 256).alias("_sha"), F.explode(F.array_distinct(F.flatten(F.transform("_matches", _atoms)))).alias("a"))
     tries = (texts.select("_sha", "a.kind", "a.canon").distinct().join(redrawn, ["kind", "canon"]).groupBy("_sha").agg(
         F.map_from_entries(F.collect_list(F.struct(F.concat_ws("|", "kind", "canon").alias("k"), F.col("attempt")))).alias("_tries")))
     tries = scratch.keep(tries, "tries")
-    hit = marked.where(F.size("_matches") > 0).withColumn("_sha", F.sha2("text", 256)).join(tries, "_sha", "left").drop("_sha")
-    none = marked.where(F.size("_matches") == 0).withColumn("_tries", F.lit(None).cast("map<string,int>"))
+    hit = marked.withColumn("_sha", F.sha2("text", 256)).join(tries, "_sha", "left").drop("_sha")
 
     def attempt(a: Column) -> Column:
         return F.coalesce(F.try_element_at(F.coalesce("_tries", F.create_map().cast("map<string,int>")), F.concat_ws("|", a["kind"], a["canon"])), F.lit(0))
@@ -246,5 +247,5 @@ def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
     pieces = F.split("text", ANY, -1)
     joined = F.array_join(F.transform(pieces, lambda s, i: F.concat(s, F.coalesce(F.get("_entities", i)["surrogate"], F.lit("")))), "")
     done = hit.withColumn("text", joined)
-    untouched = none.withColumn("_entities", F.array().cast("array<struct<kind:string,surrogate:string>>"))
+    untouched = docs.where(none).withColumn("text", text).withColumn("_entities", F.array().cast("array<struct<kind:string,surrogate:string>>"))
     return done.select(*columns, "_entities").unionByName(untouched.select(*columns, "_entities"))

@@ -44,7 +44,7 @@ LANES, TOKENS_AT_ONCE = 512, 3_500_000
 WINDOW, LEARN_LANES, UPDATES, RUN = 32, 768, 150, 1024
 ROUNDS = (0.25, 1.0)  # the share of the training documents up to which each round goes
 RATE = 0.01
-UPDATE = 2048  # tokens an update of the weights is made of at least
+UPDATE = 256  # tokens an update of the weights is made of at least
 END = -0x6E0D_A11E_57EE_D00D  # hash standing for the end mark
 
 _F = np.float32
@@ -236,7 +236,7 @@ class Trainer:
 
     def learn(self, target: np.ndarray, first: np.ndarray) -> None:
         p, mark, k2 = self.p, int(self.v.first[-1]), 2 * HIDDEN
-        lanes = int(np.clip(len(target) // (WINDOW * UPDATES), 16, LEARN_LANES))
+        lanes = int(np.clip(len(target) // (WINDOW * UPDATES), 4, LEARN_LANES))
         n = np.diff(first)
         first = np.unique(np.concatenate([first] + [first[:-1][n > r] + r for r in range(RUN, int(n.max()), RUN)]))
         h = np.zeros((lanes, HIDDEN), _F)
@@ -349,15 +349,15 @@ def _counts(docs: DataFrame) -> DataFrame:
 
 def _vocabulary(counts: DataFrame):
     top = counts.orderBy(F.desc("n"), "tok").limit(FREQUENT).toPandas()
-    short = top[:SHORT]
+    short = top[:SHORT].copy()
     if not (short["tok"] == END).any():
-        short = short[: SHORT - 1]
+        short = short[: SHORT - 1].reset_index(drop=True)
         short.loc[len(short)] = [END, CLASSES, 0]
     own = counts.join(F.broadcast(counts.sparkSession.createDataFrame([(int(t),) for t in short["tok"]], "tok bigint")), "tok", "left_anti")
     rest = np.full(CLASSES + 1, 0.5)
     for r in own.groupBy("cls").agg(F.sum(F.col("n") + 0.5).alias("s")).collect():
         rest[r["cls"]] += r["s"]
-    cls, tok, n = (short[c].to_numpy() for c in ("cls", "tok", "n"))
+    cls, tok, n = (short[c].to_numpy(np.int64) for c in ("cls", "tok", "n"))
     # a class's outputs: the shared one, then its short words; the end mark's class has no other words, but keeps the form
     order = np.lexsort((tok, cls))
     size = np.bincount(cls, minlength=CLASSES + 1) + 1
@@ -370,7 +370,7 @@ def _vocabulary(counts: DataFrame):
     logits = np.log(mass)
     class_logits = np.log(np.add.reduceat(mass, first[:-1]))
     by = np.argsort(tok)
-    by_f = np.argsort(top["tok"].to_numpy())
+    by_f = np.argsort(top["tok"].to_numpy(np.int64))
     v = Vocabulary(tok[by].astype(np.int64), slot[by], first.astype(np.int64), top["tok"].to_numpy(np.int64)[by_f],
                    np.log10(top["n"].to_numpy(np.float64)[by_f] + 0.5), np.log10(rest))
     return v, logits, class_logits

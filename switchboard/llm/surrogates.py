@@ -41,10 +41,10 @@ _EDGE = r"(?<![\p{L}\p{N}._%+-])"
 PATTERNS = {
     "email": _EDGE + r"[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "token": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36})(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|(?<=\d[ .-])\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
     "card": r"(?<![0-9A-Za-z])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![0-9A-Za-z])",
+    "phone": r"(?<![0-9A-Za-z])(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3,4}[ .-]\d{3,4}|\(\d{2,4}\)[ .-]?\d{3,4}[ .-]\d{3,4}|\d{3}-\d{3}-\d{4})(?!\d)",
     "name": r"(?<![\p{L}])(?:" + "|".join(TITLES) + r")\.? \p{Lu}\p{Ll}+(?:[ -]\p{Lu}\p{Ll}+)?(?!\p{L})",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())

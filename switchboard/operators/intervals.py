@@ -5,7 +5,7 @@ AND point.ts <= probe.hi`` only feeds counts in the warehouse queries, so
 what is needed per probe is m = number of matching points. With
 P(k, x) = number of points with key k and ts <= x, m = P(k, hi) - P(k, lo).
 
-Points and both probe ends are put into one frame sorted by
+Points and both probe ends are put into one table sorted by
 (key, ts, kind), points before probe ends at equal ts. A running sum of
 the point weight then gives P at every probe end: per key in a window when
 a sample shows the heaviest key fits one task, otherwise as a global prefix

@@ -60,7 +60,7 @@ def with_global_prefix_sum(df: DataFrame, order_cols: list, out: str, weight: st
     """Add ``out`` = running sum of ``weight`` (1 per row when None) in the
     global order ``order_cols`` (inclusive of the current row).
 
-    Also adds ``_sb_total`` = sum of the weight over the whole frame.
+    Also adds ``_sb_total`` = sum of the weight over the whole table.
     """
     ensure_checkpoint_dir(df.sparkSession)
     n = _num_partitions(df, num_partitions)

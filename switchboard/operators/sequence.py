@@ -1,7 +1,7 @@
 """LAG over (PARTITION BY key ORDER BY ...) that survives hot keys.
 
 A window partitioned by key puts all rows of one key into one task. Here
-the frame is range partitioned on the global order (key, order...), so a
+the table is range partitioned on the global order (key, order...), so a
 key with a third of all rows is spread over many partitions. Inside each
 partition the previous row is a shift of the sorted rows; the first row of
 a partition takes the last row of the nearest non-empty partition before
@@ -106,7 +106,7 @@ def with_previous(df: DataFrame, partition_col: str, order_cols: list, value_col
 
 def _partial_concat(keys: list[str], value: str, sep: str):
     """Join the values of each contiguous key run of a sorted partition; one
-    output frame per input batch (a run may continue into the next batch)."""
+    output DataFrame per input batch (a run may continue into the next batch)."""
     def run(batches):
         pid, cur, parts, seq = None, None, [], 0
         for pdf in batches:

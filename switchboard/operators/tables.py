@@ -47,11 +47,12 @@ def _spread(df: DataFrame) -> Column:
 
 
 def write_date_partitioned(df: DataFrame, path: str, date_col: str, mode: str = "overwrite",
-                           num_partitions: int | None = None, max_records_per_file: int = 5_000_000) -> None:
+                           num_partitions: int | None = None, max_records_per_file: int = 5_000_000,
+                           overwrite: str = "dynamic") -> None:
     """L1: one folder per date value; dynamic overwrite replaces only the
-    dates present in ``df``."""
+    dates present in ``df``, static overwrite the whole table."""
     out = df.repartitionByRange(_n(df, num_partitions), F.col(date_col), _spread(df))
-    (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    (out.write.mode(mode).option("partitionOverwriteMode", overwrite)
      .option("maxRecordsPerFile", max_records_per_file).partitionBy(date_col).parquet(path))
 
 
@@ -142,7 +143,9 @@ def refresh_materialized(view: DataFrame, path: str, key: str, touched: DataFram
     ``key`` (``key_range``), or one folder per key value when ``key_range``
     is None. With ``touched`` (one column: the keys whose base rows changed)
     only the partitions holding those keys are recomputed and overwritten
-    (dynamic overwrite); without it the whole result is rewritten.
+    (dynamic overwrite), and those of them that no row is left for are
+    removed; without it the whole result is rewritten (static overwrite).
+    The files are replaced in place: readers should not run meanwhile.
     """
     if key_range is None:
         part, view_p = key, view
@@ -154,7 +157,17 @@ def refresh_materialized(view: DataFrame, path: str, key: str, touched: DataFram
                                            .distinct())
     if tk is not None:
         view_p = view_p.join(tk, view_p[part].eqNullSafe(tk[part]), "left_semi")
+    if tk is None:
+        write_date_partitioned(view_p, path, part, overwrite="static")
+        return
     write_date_partitioned(view_p, path, part)
+    # touched partitions (as many as folders at most) without a row any more
+    gone = tk.join(view_p.select(F.col(part).alias("_p")).distinct(), F.col(part).eqNullSafe(F.col("_p")), "left_anti")
+    spark = view.sparkSession
+    base = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for r in gone.select(F.coalesce(F.col(part).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))).collect():
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(base, f"{part}={r[0]}"), True)
 
 
 def conformance_audit(df: DataFrame, targets: dict[str, str], epoch_ms_cols: tuple = (),
@@ -181,7 +194,7 @@ def conformance_audit(df: DataFrame, targets: dict[str, str], epoch_ms_cols: tup
 
 
 def key_integrity_audit(checks: list[tuple[str, DataFrame]]) -> DataFrame:
-    """Each check is (name, frame of violating rows); returns one row per
+    """Each check is (name, table of violating rows); returns one row per
     check with its violation count. Use ``duplicate_keys`` / ``orphans``."""
     parts = [df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check_name"), "violations")
              for name, df in checks]
@@ -201,11 +214,13 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 
 
 def layer_reconcile(staged: DataFrame, ods: DataFrame, keys: list[str], measure: str) -> DataFrame:
-    """Per key, rows and sum of ``measure`` on both layers (full outer
-    join of two aggregates) and a status."""
-    s = staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("staged_rows"), F.sum(measure).alias("staged_sum"))
-    o = ods.groupBy(*keys).agg(F.count(F.lit(1)).alias("ods_rows"), F.sum(measure).alias("ods_sum"))
-    j = s.join(o, keys, "full_outer")
+    """Per key (a NULL key is a key), rows and sum of ``measure`` on both
+    layers, tagged and unioned into one aggregate, and a status."""
+    u = (staged.select(*keys, F.col(measure).alias("_s"), F.lit(True).alias("_staged"))
+         .unionByName(ods.select(*keys, F.col(measure).alias("_s"), F.lit(False).alias("_staged"))))
+    side = {"staged": F.col("_staged"), "ods": ~F.col("_staged")}
+    j = u.groupBy(*keys).agg(*[F.nullif(F.count_if(on), F.lit(0)).alias(f"{n}_rows") for n, on in side.items()],
+                             *[F.sum(F.when(on, F.col("_s"))).alias(f"{n}_sum") for n, on in side.items()])
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     status = (F.when(F.col("staged_rows").isNull(), "MISSING_IN_STAGING")
               .when(F.col("ods_rows").isNull(), "MISSING_IN_ODS")

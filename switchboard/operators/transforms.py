@@ -188,7 +188,9 @@ def ivr_sessionize(stg_file_ivr_logs: DataFrame) -> DataFrame:
         F.max_by("key_pressed", F.struct("event_ms", "event_seq")).alias("exit_key"))
     path = ordered_concat(e, ["session_ref", "client_code"], ["event_ms", "event_seq"], "menu_path", PATH_JOIN,
                           "menu_path_full")
-    g = g.join(path, ["session_ref", "client_code"])
+    path = path.select(F.col("session_ref").alias("_ref"), F.col("client_code").alias("_client"), "menu_path_full")
+    # null-safe: an unparsed log line has no session or client, and is kept as a session of its own
+    g = g.join(path, F.col("session_ref").eqNullSafe(F.col("_ref")) & F.col("client_code").eqNullSafe(F.col("_client")))
     return g.select("session_ref", "client_code", X.millis_to_ts("_first").alias("first_event_ts"),
                     X.millis_to_ts("_last").alias("last_event_ts"), "menu_path_full",
                     "hops", F.coalesce(F.col("exit_key") != IVR_TRANSFER_KEY, F.lit(True)).alias("contained_flag"),
@@ -354,10 +356,19 @@ def dim_small_build(codes: DataFrame, code_col: str, sk_col: str) -> DataFrame:
     return with_global_row_number(d, [F.col(code_col)], sk_col).select(sk_col, code_col)
 
 
+def _left_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on keys of which a NULL equals a NULL, as two GROUP BY results of the same keys need."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(r, on, "left").drop(*[f"_r_{k}" for k in keys])
+
+
 def lookup_sk(fact: DataFrame, dim: DataFrame, natural: str, dim_natural: str, sk: str) -> DataFrame:
     """Surrogate-key lookup with UNKNOWN (-1) for misses. The dimension side
-    is deduplicated on its natural key first so the fact cannot fan out."""
-    d = dim.groupBy(F.col(dim_natural).alias("_nk")).agg(F.min(sk).alias("_sk"))
+    is deduplicated on its natural key first so the fact cannot fan out: of
+    several versions the current one counts, else the latest key."""
+    version = F.struct(F.coalesce(F.col("is_current"), F.lit(False)).alias("c"), F.col(sk)) if "is_current" in dim.columns else F.col(sk)
+    d = dim.groupBy(F.col(dim_natural).alias("_nk")).agg(F.max_by(sk, version).alias("_sk"))
     j = fact.join(d, F.col(natural) == F.col("_nk"), "left")
     return j.withColumn(sk, F.coalesce(F.col("_sk"), F.lit(UNKNOWN_SK)).cast("bigint")).drop("_nk", "_sk")
 
@@ -393,16 +404,16 @@ def queue_interval_rollup(ods_call: DataFrame, minutes: int = INTERVAL_MINUTES,
 
 def adherence_daily(schedule_minutes: DataFrame, exception_minutes: DataFrame, worked_minutes: DataFrame,
                     timeoff_minutes: DataFrame) -> DataFrame:
-    """Four per (agent, day) inputs, each pre-aggregated, then full-joined.
+    """Four per (agent, day) inputs, tagged and unioned, summed in one
+    aggregate (a NULL agent or day is one group, as in GROUP BY).
     adherence = 100 * (scheduled - exception) / scheduled."""
-    def agg(df, name):
-        return df.groupBy("agent_sk", "date_key").agg(F.sum("minutes").cast("bigint").alias(name))
     keys = ["agent_sk", "date_key"]
-    j = reduce(lambda a, b: a.join(b, keys, "full_outer"),
-               [agg(schedule_minutes, "scheduled_minutes"), agg(worked_minutes, "worked_minutes"),
-                agg(exception_minutes, "exception_minutes"), agg(timeoff_minutes, "timeoff_minutes")])
-    z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
-    j = j.select(*keys, z("scheduled_minutes"), z("worked_minutes"), z("exception_minutes"), z("timeoff_minutes"))
+    names = ["scheduled_minutes", "worked_minutes", "exception_minutes", "timeoff_minutes"]
+    inputs = [schedule_minutes, worked_minutes, exception_minutes, timeoff_minutes]
+    u = reduce(DataFrame.unionByName, [df.select(*keys, F.col("minutes").cast("bigint").alias("_m"), F.lit(n).alias("_tag"))
+                                       for df, n in zip(inputs, names)])
+    j = u.groupBy(*keys).agg(*[F.coalesce(F.sum(F.when(F.col("_tag") == n, F.col("_m"))), F.lit(0)).cast("bigint").alias(n)
+                               for n in names])
     return j.select("*", X.safe_pct(F.col("scheduled_minutes") - F.col("exception_minutes"),
                                     "scheduled_minutes").alias("adherence_pct"))
 
@@ -446,7 +457,8 @@ def agent_daily(fact_interaction: DataFrame, fact_agent_activity: DataFrame) ->
         F.sum(F.when(st == "TALK", secs).otherwise(0)).cast("bigint").alias("talk_seconds"),
         F.sum(F.when(st == "ACW", secs).otherwise(0)).cast("bigint").alias("acw_seconds"),
         F.sum(F.when(st.like("AUX%"), secs).otherwise(0)).cast("bigint").alias("aux_seconds"))
-    j = i.join(a, ["agent_sk", "date_key"], "full_outer")
+    j = (i.unionByName(a, allowMissingColumns=True).groupBy("agent_sk", "date_key")
+         .agg(*[F.sum(c).alias(c) for c in ("interactions_handled", "handle_seconds_total", "talk_seconds", "acw_seconds", "aux_seconds")]))
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
     return j.select("agent_sk", "date_key", z("interactions_handled"), z("handle_seconds_total"),
                     X.safe_divide("handle_seconds_total", "interactions_handled").alias("avg_handle_seconds"),
@@ -514,7 +526,7 @@ def billing_monthly(fact_billing_line: DataFrame, ods_sla_credit: DataFrame, tel
     b = fact_billing_line.groupBy(*keys).agg(F.sum("line_amount").cast("decimal(14,2)").alias("billed_amount"))
     c = ods_sla_credit.groupBy(*keys).agg(F.sum("credit_amount").cast("decimal(12,2)").alias("sla_credit_amount"))
     t = telco.groupBy(*keys).agg(F.sum("charge_amount").cast("decimal(12,2)").alias("telco_cost_amount"))
-    j = b.join(c, keys, "left").join(t, keys, "left")
+    j = _left_null_safe(_left_null_safe(b, c, keys), t, keys)
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     net = (z("billed_amount") - z("sla_credit_amount") - z("telco_cost_amount")).cast("decimal(14,2)")
     return j.select("client_sk", "program_sk", "billed_amount", "sla_credit_amount", "telco_cost_amount",
@@ -533,7 +545,7 @@ def site_daily(agg_agent_daily: DataFrame, dim_agent: DataFrame, fact_queue_inte
     s = (fact_queue_interval.join(q, F.col("queue_sk") == F.col("_q"))
          .groupBy(F.col("_qs").alias("site_code"), "date_key")
          .agg(F.sum("answered_in_sl").alias("_in"), F.sum("answered").alias("_ans")))
-    j = d.join(s, ["site_code", "date_key"], "left")
+    j = _left_null_safe(d, s, ["site_code", "date_key"])
     return j.select("site_code", "agents_active", "interactions", X.safe_divide("_h", "interactions").alias("avg_handle_seconds"),
                     X.safe_pct("_in", "_ans").alias("sl_pct"), "adherence_pct", "date_key")
 
@@ -541,11 +553,6 @@ def site_daily(agg_agent_daily: DataFrame, dim_agent: DataFrame, fact_queue_inte
 def keyword_counts(texts: DataFrame, text_col: str = "text", key_col: str = "doc_id") -> DataFrame:
     """Lower-cased space-split tokens of every whole text: occurrences and
     documents per keyword. Partial aggregation absorbs very common words."""
-    par = texts.sparkSession.sparkContext.defaultParallelism
-    if texts.rdd.getNumPartitions() < par:
-        # fewer input splits than cores (a few large row groups): spread the
-        # texts so tokenising uses every core; large inputs never take this
-        texts = texts.repartition(par)
     tok = texts.select(key_col, F.explode(F.split(F.lower(F.col(text_col)), " ")).alias("keyword"))
     per_doc = tok.groupBy("keyword", key_col).agg(F.count(F.lit(1)).alias("_n"))
     return per_doc.groupBy("keyword").agg(F.sum("_n").cast("bigint").alias("occurrences"),

@@ -75,7 +75,8 @@ def shrinkage_analysis_corrected(fact_adherence_daily: DataFrame, dim_agent: Dat
         F.sum(F.col("exception_minutes") + F.col("timeoff_minutes")).cast("bigint").alias("shrinkage_minutes"))
     lit = V.shrinkage_analysis(fact_adherence_daily, dim_agent, ods_schedule, dim_shift).select(
         "date_key", "site_code", "schedules", "overnight_shifts")
-    g = sums.join(lit, ["date_key", "site_code"], "left")
+    lit = lit.withColumnsRenamed({"date_key": "_d", "site_code": "_site"})
+    g = sums.join(lit, F.col("date_key").eqNullSafe(F.col("_d")) & F.col("site_code").eqNullSafe(F.col("_site")), "left")
     return g.select("date_key", "site_code", "scheduled_minutes", "worked_minutes", "shrinkage_minutes",
                     X.safe_pct("shrinkage_minutes", "scheduled_minutes").alias("shrinkage_pct"),
                     "schedules", "overnight_shifts")

@@ -15,11 +15,9 @@ from ..sources import bridge as B
 from ..streaming import jobs as S
 from .layer_jobs import _change_feed
 
-STREAM_TIMEOUT_S = 3600
-
-
 def _run(q) -> None:
-    q.awaitTermination(STREAM_TIMEOUT_S)
+    """Wait until the stream has read all there is, however long; raise what ended it early."""
+    q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
 

@@ -37,7 +37,7 @@ class Fixtures:
 
     def with_tables(self, replacements: dict) -> "Fixtures":
         """The same fixtures with some tables replaced by derived (or
-        streaming) frames; bridge builders then run on those."""
+        streaming) DataFrames; bridge builders then run on those."""
         outer = self
 
         class _Replaced(Fixtures):

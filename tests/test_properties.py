@@ -18,7 +18,7 @@ ROWS = st.lists(st.tuples(KEYS, st.integers(0, 40), st.integers(0, 9)), min_size
 SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
 
-def frame(spark, rows):
+def table(spark, rows):
     data = [(i, k, T0 + dt.timedelta(hours=h), v) for i, (k, h, v) in enumerate(rows)]
     return spark.createDataFrame(data, "id long, k string, ts timestamp_ntz, v long")
 
@@ -26,7 +26,7 @@ def frame(spark, rows):
 @SETTINGS
 @given(rows=ROWS, parts=st.integers(1, 7))
 def test_ranged_lag_property(spark, rows, parts):
-    df = frame(spark, rows)
+    df = table(spark, rows)
     got = with_previous(df, "k", ["ts", "id"], "v", "p", num_partitions=parts, strategy="ranged")
     exp = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("ts", "id")))
     assert sorted(map(tuple, got.select("id", "p").collect())) == sorted(map(tuple, exp.select("id", "p").collect()))
@@ -35,7 +35,7 @@ def test_ranged_lag_property(spark, rows, parts):
 @SETTINGS
 @given(rows=ROWS, parts=st.integers(1, 7), buckets=st.integers(1, 6))
 def test_global_ntile_property(spark, rows, parts, buckets):
-    df = frame(spark, rows)
+    df = table(spark, rows)
     got = with_global_ntile(df, buckets, [F.col("v"), F.col("id")], "t", num_partitions=parts)
     exp = df.withColumn("t", F.ntile(buckets).over(Window.orderBy("v", "id")).cast("bigint"))
     assert sorted(map(tuple, got.select("id", "t").collect())) == sorted(map(tuple, exp.select("id", "t").collect()))
@@ -44,7 +44,7 @@ def test_global_ntile_property(spark, rows, parts, buckets):
 @SETTINGS
 @given(rows=ROWS, parts=st.integers(1, 7), width=st.integers(0, 12))
 def test_interval_count_property(spark, rows, parts, width):
-    df = frame(spark, rows)
+    df = table(spark, rows)
     probes = df.select(F.col("id").alias("pid"), "k", F.col("ts").alias("lo"),
                        F.timestamp_add("HOUR", F.lit(width), F.col("ts")).alias("hi"))
     got = count_points_in_windows(df, probes, key="k", ts="ts", lo="lo", hi="hi", carry=["pid"], out="m",
@@ -61,7 +61,7 @@ def test_interval_count_property(spark, rows, parts, width):
 @SETTINGS
 @given(rows=ROWS, parts=st.integers(1, 7))
 def test_ordered_concat_property(spark, rows, parts):
-    df = frame(spark, rows).withColumn("s", F.when(F.col("v") == 0, F.lit(None)).otherwise(F.col("v").cast("string")))
+    df = table(spark, rows).withColumn("s", F.when(F.col("v") == 0, F.lit(None)).otherwise(F.col("v").cast("string")))
     got = ordered_concat(df, ["k"], ["ts", "id"], "s", ",", "path", num_partitions=parts, strategy="ranged")
     exp = ordered_concat(df, ["k"], ["ts", "id"], "s", ",", "path", strategy="window")
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, exp.collect()), key=repr)

@@ -143,14 +143,6 @@ def test_left_join_on_true_branches(spark):
     assert sorted(map(tuple, none.collect())) == [(1, None), (2, None)]
 
 
-def test_org_hierarchy_recursive_cte_equals_join_loop(spark):
-    from switchboard.sources.warehouse import Warehouse
-    wh = Warehouse.fixtures(spark, "/root/testdata/sf0.001")
-    a = wh.run(V.org_hierarchy)
-    b = wh.run(V.org_hierarchy_recursive)
-    assert a.count() == b.count() and a.exceptAll(b).count() == 0
-
-
 def test_attrition_banding(spark):
     agents = spark.createDataFrame([(i, 100 + i, f"a{i}", "S1", "ACTIVE", True) for i in range(1, 11)]
                                    + [(11, 111, "term", "S1", "TERM", True), (12, 112, "old", "S1", "ACTIVE", False)],

@@ -8,14 +8,18 @@ sends each class to a child for each, named after the value found there
 (below the roots a child takes ``GROUP`` coordinates at once, so that classes
 of lower similarity part quickly). Every class of a node is compared with the
 node's hub class, and nodes of at most ``SMALL`` classes are compared
-exhaustively; larger ones whose classes are not all linked to one hub are
-branched again. What is large after ``DEPTH`` levels is compared exhaustively
-but for pairs already connected through a hub, so no node is cut short.
-Candidates that pass a one-bit-sketch test (see ``MAX_BITS``) are confirmed
-on the full shingle sets.
-
-A pair whose classes are linked to one hub needs no comparison for the
-components asked for; nodes of one such label are dropped.
+exhaustively; larger ones whose classes are not all connected are branched
+again. What is large after ``DEPTH`` levels is compared exhaustively but for
+pairs already connected, so no node is cut short. Candidates are those that
+pass two sketch tests: four-bit minwise values (see ``MAX_OFF``) and parity
+bits, of which two sets never differ in more than they differ in shingles, so
+that test loses no pair and is sharp for texts of up to ``PARITY`` shingles.
+They are confirmed on the full shingle sets.
+
+A pair whose classes are already connected by links to hubs needs no
+comparison for the components asked for; nodes of one such component are
+dropped. Each node picks its own hub, so the many nodes that a large group of
+near copies meets in give it many hubs, and few of its classes stay apart.
 
 Recall: a pair of similarity 0.8 shares a root child with probability 0.8 and,
 below it, one of ``BRANCH`` children with 1 - (1 - 0.8^4)^6 = 0.96, two levels
@@ -44,12 +48,15 @@ TREES, ROOT, BRANCH, GROUP = 4, 2, 6, 4
 SMALL, DEPTH = 48, 3
 #: rows of a large node that are compared with one unconnected class at once
 REST = 4096
-#: Of 64 one-bit minwise values, a pair of similarity 0.8 differs in 6.4 on average (sd 2.4); more than
+#: Of 64 four-bit minwise values, a pair of similarity 0.8 differs in 12 on average (sd 3.1); more than
 #: this many is 4.7 deviations away.
-MAX_BITS = 18
+MAX_OFF = 26
+#: parity bits of a set: bit i is the parity of the number of its shingles that hash to i
+PARITY = 512
 #: bits of the filter that spares texts without candidates from being shuffled (1 MB, whatever the input)
 FILTER_BITS = 23
 
+_SIG = [f"s{j}" for j in range(SKETCH // 16)] + [f"p{j}" for j in range(PARITY // 64)]
 _A = B.mix(np.arange(1, SKETCH + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) | np.uint64(1)
 
 
@@ -75,6 +82,9 @@ def _sketch_rows(batch: pa.RecordBatch, k: int) -> pa.RecordBatch:
     rows, full = len(n), np.flatnonzero(n)
     mins = np.zeros((SKETCH, rows), np.uint32)
     sums = np.zeros((2, rows), np.uint64)
+    parity = np.zeros((rows, PARITY // 64), np.uint64)
+    slot = (B.mix(h ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(PARITY)).astype(np.int64)
+    np.bitwise_xor.at(parity.reshape(-1), np.repeat(np.arange(rows), n) * (PARITY // 64) + (slot >> 6), np.uint64(1) << (slot & 63).astype(np.uint64))
     if len(full):
         # rows in runs that stay in cache, however many coordinates are taken
         cuts = [0]
@@ -89,25 +99,28 @@ def _sketch_rows(batch: pa.RecordBatch, k: int) -> pa.RecordBatch:
                 mins[c, part] = np.minimum.reduceat(((x * _A[c]) >> np.uint64(32)).astype(np.uint32), at)
             sums[0, part] = np.add.reduceat(x, at)
             sums[1, part] = np.add.reduceat(B.mix(x), at)
-    odd = (B.mix(mins.astype(np.uint64) + (np.arange(SKETCH, dtype=np.uint64) << np.uint64(32))[:, None]) & np.uint64(1))
-    sig = (odd << np.arange(SKETCH, dtype=np.uint64)[:, None]).sum(axis=0, dtype=np.uint64)
+    four = B.mix(mins.astype(np.uint64) + (np.arange(SKETCH, dtype=np.uint64) << np.uint64(32))[:, None]) & np.uint64(15)
+    four <<= np.uint64(4) * (np.arange(SKETCH, dtype=np.uint64) % np.uint64(16))[:, None]
+    sig = [pa.array(_signed(four[16 * j: 16 * j + 16].sum(axis=0, dtype=np.uint64))) for j in range(SKETCH // 16)]
+    sig += [pa.array(_signed(np.ascontiguousarray(parity[:, j]))) for j in range(PARITY // 64)]
+    sig = pa.StructArray.from_arrays(sig, names=_SIG)
     flat_mins = pa.array(np.ascontiguousarray(mins.T).view(np.int32).ravel())
     lists = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * SKETCH), flat_mins)
     return pa.RecordBatch.from_arrays(
         [batch.column(0).cast(pa.int64()), batch.column(2), pa.array(n.astype(np.int64)), pa.array(_signed(sums[0])),
-         pa.array(_signed(sums[1])), pa.array(_signed(sig)), lists],
+         pa.array(_signed(sums[1])), sig, lists],
         names=["doc_id", "key", "n_shingles", "set1", "set2", "sig", "mins"])
 
 
 def sketches(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, set size, set fingerprint (order-free sums of shingle hashes), one-bit sketch and minwise values."""
+    """doc_id, set size, set fingerprint (order-free sums of shingle hashes), sketch bits and minwise values."""
     def run(batches):
         for b in batches:
             for part in B.slices(b, "text"):
                 yield _sketch_rows(part, k)
     text = F.col("text").cast("string")
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64("doc_id", text).alias("key")).mapInArrow(
-        run, "doc_id bigint, key bigint, n_shingles bigint, set1 bigint, set2 bigint, sig bigint, mins array<int>")
+        run, "doc_id bigint, key bigint, n_shingles bigint, set1 bigint, set2 bigint, sig struct<" + ", ".join(f"{c}: bigint" for c in _SIG) + ">, mins array<int>")
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
@@ -126,10 +139,10 @@ def _hits(batches, threshold: int):
         keep = np.zeros(b.num_rows, bool)
         last, x = None, None
         for i in range(b.num_rows):
-            raw = b.column(2)[i].as_buffer()
-            if last is None or not raw.equals(last):  # hubs come in runs
+            raw = b.column(3)[i].as_buffer()
+            if last is None or not raw.equals(last):  # pairs come in runs of one b
                 last, x = raw, np.frombuffer(raw, np.uint64)
-            y = np.frombuffer(b.column(3)[i].as_buffer(), np.uint64)
+            y = np.frombuffer(b.column(2)[i].as_buffer(), np.uint64)
             small, large = (x, y) if len(x) <= len(y) else (y, x)
             if not len(small):
                 continue
@@ -137,7 +150,7 @@ def _hits(batches, threshold: int):
             at[at == len(large)] = 0
             both = int((large[at] == small).sum())
             keep[i] = 100 * both >= threshold * (len(x) + len(y) - both)
-        yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in (b.column(0), b.column(1), b.column(4))], names=["a", "b", "hub"])
+        yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in (b.column(0), b.column(1))], names=["a", "b"])
 
 
 def _filter_by(df: DataFrame, key: str, keys: DataFrame, bits: int) -> DataFrame:
@@ -157,25 +170,35 @@ def _filter_by(df: DataFrame, key: str, keys: DataFrame, bits: int) -> DataFrame
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame, k: int, threshold: int, scratch: Scratch) -> DataFrame:
-    """The pairs (a, b, hub) whose full sets have 100 |A & B| >= threshold |A | B|."""
-    pairs = scratch.keep(pairs.groupBy("a", "b").agg(F.min("hub").alias("hub")), "pairs")
+    """The pairs (a, b) whose full sets have 100 |A & B| >= threshold |A | B|."""
+    pairs = scratch.keep(pairs.distinct(), "pairs")
     ids = scratch.keep(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
     texts = _filter_by(docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text")),
                        "id", ids, FILTER_BITS)
     sets = scratch.keep(_sets(texts, k).join(ids, "id", "left_semi").dropDuplicates(), "sets")
     one = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
-    both = one.join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b").select("a", "b", "sb", "sa", "hub")
-    out = scratch.keep(both.mapInArrow(lambda it: _hits(it, threshold), "a bigint, b bigint, hub bigint"), "links")
+    both = one.join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b").select("a", "b", "sa", "sb")
+    out = scratch.keep(both.mapInArrow(lambda it: _hits(it, threshold), "a bigint, b bigint"), "links")
     for t in (pairs, ids, sets):
         scratch.drop(t)
     return out
 
 
 def _alike(a: str, b: str, threshold: int) -> Column:
-    """What any pair of that similarity meets (sizes), or all but for chance (one-bit sketches)."""
+    """What any pair of that similarity meets (sizes, parity bits), or all but for chance (four-bit values)."""
     x, y = F.col(f"{a}.n"), F.col(f"{b}.n")
-    near = F.bit_count(F.col(f"{a}.sig").bitwiseXOR(F.col(f"{b}.sig"))) <= MAX_BITS
-    return (F.least(x, y) * 100 >= F.greatest(x, y) * threshold) & near
+    odd = F.lit(0)
+    for j in range(PARITY // 64):
+        odd = odd + F.bit_count(F.col(f"{a}.sig.p{j}").bitwiseXOR(F.col(f"{b}.sig.p{j}")))
+    off = F.lit(0)
+    for j in range(SKETCH // 16):
+        d = F.col(f"{a}.sig.s{j}").bitwiseXOR(F.col(f"{b}.sig.s{j}"))
+        d = d.bitwiseOR(F.shiftright(d, 1))
+        d = d.bitwiseOR(F.shiftright(d, 2))  # the lowest of four bits: any differs (what a sign copies in is masked off)
+        off = off + F.bit_count(d.bitwiseAND(F.lit(0x1111111111111111)))
+    # similarity t means at most (x + y) (1 - t) / (1 + t) shingles that only one set has
+    return ((F.least(x, y) * 100 >= F.greatest(x, y) * threshold) & (odd * (100 + threshold) <= (x + y) * (100 - threshold))
+            & (off <= MAX_OFF))
 
 
 def _children(node: Column, salt: int, count: int, group: int) -> Column:
@@ -206,19 +229,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFra
         part = classes.select("rep", "n", "sig", _children(F.lit(tree), tree, ROOT, 1).alias("node"))
         members = part if members is None else members.union(part)
     members = scratch.keep(members, "members")
-    stars, pairs = [], []
+    stars, pairs, labels = [], [], None
     for depth in range(1, DEPTH + 1):
-        labelled = _labelled(members, stars)
+        labelled = _labelled(members, labels)
         nodes = labelled.groupBy("node").agg(
             F.count(F.lit(1)).alias("c"), F.min("label").alias("lo"), F.max("label").alias("hi"),
-            F.min(F.struct(F.xxhash64("rep").alias("o"), "rep", "n", "sig", "label")).alias("hub")).where("lo < hi").select("node", "c", "hub")
+            F.min(F.struct(F.xxhash64("rep", "node").alias("o"), "rep", "n", "sig", "label")).alias("hub")).where("lo < hi").select("node", "c", "hub")
         mixed = scratch.keep(labelled.join(nodes, "node"), "mixed")
         scratch.drop(members)
-        # every class of a node against the node's hub: what is linked to one hub is connected
+        # every class of a node against the node's hub
         star = mixed.alias("m").where(_alike("m", "hub", threshold) & (F.col("label") != F.col("hub.label"))).select(
-            F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b"), F.col("hub.rep").alias("hub"))
+            F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b"))
         stars.append(_confirm(star, docs, k, threshold, scratch))
-        now = _labelled(mixed.select("node", "rep", "n", "sig", "c"), stars)
+        labels = connected_components(_union(stars), scratch).select(F.col("id").alias("rep"), "label")
+        now = _labelled(mixed.select("node", "rep", "n", "sig", "c"), labels)
         # the classes of small nodes not yet connected, exhaustively
         x, y = now.where(F.col("c") <= SMALL).alias("x"), now.where(F.col("c") <= SMALL).alias("y")
         pairs.append(scratch.keep(x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.label") != F.col("y.label"))
@@ -235,12 +259,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFra
             members = scratch.keep(large.join(classes.select("rep", "mins"), "rep").select(
                 "rep", "n", "sig", _children(F.col("node"), TREES + depth, BRANCH, GROUP).alias("node")).distinct(), "members")
             scratch.drop(large)
-    found = pairs[0]
-    for more in pairs[1:]:
-        found = found.union(more)
-    links = _confirm(found.withColumn("hub", F.lit(None).cast("bigint")), docs, k, threshold, scratch).select("a", "b")
-    for more in stars:
-        links = links.union(more.select("a", "b"))
+    links = _union([_confirm(_union(pairs), docs, k, threshold, scratch), *stars])
     labels = connected_components(links, scratch)
     reps = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
         "set1", "set2", F.coalesce("label", "rep").alias("component_id"), "class_size")
@@ -251,15 +270,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFra
         F.when(own & F.col("doc_id").isNotNull(), F.col("class_size")).otherwise(F.lit(1)).alias("class_size"))
 
 
-def _labelled(rows: DataFrame, stars: list[DataFrame]) -> DataFrame:
-    """``rows`` with label: the smallest hub that the class is linked to (or is), else the class itself."""
-    if not stars:
+def _union(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for more in tables[1:]:
+        out = out.union(more)
+    return out
+
+
+def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``rows`` with label: the class's component by the links to hubs found so far, else the class itself."""
+    if labels is None:
         return rows.withColumn("label", F.col("rep"))
-    links = stars[0]
-    for more in stars[1:]:
-        links = links.union(more)
-    ends = links.select(F.col("a").alias("rep"), "hub").union(links.select(F.col("b").alias("rep"), "hub"))
-    labels = ends.groupBy("rep").agg(F.min("hub").alias("label"))
     return rows.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
 
 

@@ -22,9 +22,9 @@ dropped. Each node picks its own hub, so the many nodes that a large group of
 near copies meets in give it many hubs, and few of its classes stay apart.
 
 Recall: a pair of similarity 0.8 shares a root child with probability 0.8 and,
-below it, one of ``BRANCH`` children with 1 - (1 - 0.8^4)^6 = 0.96, two levels
-below 0.95; with ``TREES`` x ``ROOT`` = 8 root children the pair is met with
-1 - (1 - 0.8 * 0.95)^8 > 0.9999 (0.998 for a sketch that by chance shows 0.7).
+below it, one of ``BRANCH`` children with 1 - (1 - 0.8^4)^6 = 0.96;
+with ``TREES`` x ``ROOT`` = 8 root children the pair is met with
+1 - (1 - 0.8 * 0.96)^8 > 0.9999 (0.998 for a sketch that by chance shows 0.7).
 
 Results for odd input: null, empty and blank texts have no shingles and are
 linked with nothing; rows with a null doc_id are linked with nothing and
@@ -45,7 +45,7 @@ from .scratch import Scratch
 
 SKETCH = 64
 TREES, ROOT, BRANCH, GROUP = 4, 2, 6, 4
-SMALL, DEPTH = 48, 3
+SMALL, DEPTH = 48, 2
 #: rows of a large node that are compared with one unconnected class at once
 REST = 4096
 #: Of 64 four-bit minwise values, a pair of similarity 0.8 differs in 12 on average (sd 3.1); more than
@@ -285,15 +285,21 @@ def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def _rest_pairs(large: DataFrame, threshold: int) -> DataFrame:
-    """All alike pairs of different label in large nodes.
+    """All alike pairs of different label in large nodes, each from the smallest node that both are in.
 
     One of such a pair does not have the node's most frequent label; those
-    few are compared with all of the node, dealt out in parts.
+    few are compared with all of the node, dealt out in parts. A class is in
+    TREES * ROOT * BRANCH ** (DEPTH - 1) nodes at most, so its list of nodes
+    is bounded.
     """
     of = large.groupBy("node", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("node").agg(F.max(F.struct("k", "label")).alias("m")).select(
         "node", F.col("m.label").alias("most"))
-    rows = large.join(of, "node").withColumn("parts", F.ceil(F.col("c") / REST).cast("int"))
-    odd = rows.where("label <> most").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("x")
+    nodes = large.groupBy("rep").agg(F.collect_set("node").alias("nodes"))
+    rows = (large.join(of, "node").join(nodes, "rep").withColumn("odd", F.col("label") != F.col("most"))
+            .withColumn("parts", F.ceil(F.col("c") / REST).cast("int")))
+    odd = rows.where("odd").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("x")
     all_rows = rows.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")).alias("y")
-    return odd.join(all_rows, (F.col("x.node") == F.col("y.node")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.label") != F.col("y.label"))
-                    & _alike("x", "y", threshold)).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+    once = (~F.col("y.odd") | (F.col("x.rep") < F.col("y.rep")))
+    return odd.join(all_rows, (F.col("x.node") == F.col("y.node")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.label") != F.col("y.label")) & once
+                    & _alike("x", "y", threshold) & (F.array_min(F.array_intersect("x.nodes", "y.nodes")) == F.col("x.node"))).select(
+        F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))

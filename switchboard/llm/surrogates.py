@@ -1,13 +1,17 @@
 """Personal data: detected entities get keyed surrogates of the same kind, in DataFrame functions only.
 
-Detected: e-mail addresses, phone numbers, IPv4 addresses, card and account
-numbers, social security numbers, access tokens, and names after a title. A
+Detected: e-mail addresses, phone numbers (international ones with + or 00 in
+any grouping; national ones in American, French, Spanish and German or British
+grouping, with blanks, dots or hyphens), IPv4 addresses, card numbers, IBANs,
+account numbers of 6 to 12 digits after a word for account, social security
+numbers, access tokens, and names after a title. National phone numbers
+written as one run of digits are not told from other numbers. A
 surrogate is drawn from a hash of the secret key, the kind and the entity's
-canonical form (digits of a number, lower-cased address or name), so the same
+canonical form (digits of a number, lower-cased address, IBAN or name), so the same
 entity has the same surrogate everywhere, whatever its spelling; it keeps the
 format character by character (digits, letters of the script, case,
 punctuation), the country code, the top-level domain, whether a card number
-passes its checksum, and a name's title, gender and script. A name's parts are
+or IBAN passes its checksum, and a name's title, gender and script. A name's parts are
 mapped one by one, so "Mr Smith" and "Mr John Smith" still share a name.
 
 Collision check: over the distinct entities of the whole corpus, surrogates
@@ -37,14 +41,43 @@ GIVEN = {("m", "latin"): ("Adam", "Bruno", "Carl", "Daniel", "Emil", "Felix", "H
 SYLLABLES = {"latin": ("ba", "be", "bo", "da", "de", "do", "fa", "ga", "ka", "ko", "la", "le", "lo", "ma", "me", "mo", "na", "ne", "no", "ra", "re", "ro", "sa", "so", "ta", "te", "to", "va", "ve", "vo", "wa", "za"),
              "cyrillic": ("ба", "бе", "бо", "ва", "ве", "во", "га", "го", "да", "де", "до", "жа", "за", "зо", "ка", "ко", "ла", "ле", "ло", "ма", "ме", "мо", "на", "не", "но", "ра", "ре", "ро", "са", "со", "та", "то")}
 
+# IBAN lengths by country, and telephone country codes of one and two digits (all others have three).
+IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+                23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+                28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+COUNTRY = r"^(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+
+
+def _iban_pattern() -> str:
+    """Whole IBANs of their country's length, in one run or in groups of four."""
+    def of(n: int, countries: str) -> str:
+        groups, rest = divmod(n - 4, 4)
+        tail = rf"[ -][0-9A-Z]{{{rest}}}" if rest else ""
+        return rf"(?:{'|'.join(countries.split())})\d{{2}}(?:[0-9A-Z]{{{n - 4}}}|(?:[ -][0-9A-Z]{{4}}){{{groups}}}{tail})"
+    return r"(?<![0-9A-Za-z])(?=[A-Za-z]{2}\d{2})(?i:" + "|".join(of(n, c) for n, c in IBAN_LENGTHS.items()) + r")(?![0-9A-Za-z])"
+
+
+def _phone_pattern() -> str:
+    # at least eight digits; a group after a separator has two digits or more, but the first may have one
+    forms = [r"(?:\+|00(?=[1-9]))(?=(?:[ ./()-]{0,2}\d){8})[1-9]\d{0,2}(?:[ ./-]?\(\d{1,4}\))?(?:[ ./-]\d(?!\d))?(?:\d|[ ./-]\d(?=\d)){5,13}",
+             r"\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3,4}[ .-]\d{3,4}", r"(?:1[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]\d{3,4}"]
+    for s in (" ", r"\.", "-"):
+        forms += [rf"(?:1{s})?\d{{3}}{s}\d{{3}}{s}\d{{4}}", rf"0\d(?:{s}\d{{2}}){{4}}", rf"[6-9]\d{{2}}(?:{s}\d{{2}}){{3}}", rf"[89]\d{s}\d{{3}}(?:{s}\d{{2}}){{2}}"]
+    forms += [r"(?<!\d[ .,-])[6-9]\d{2}(?: \d{3}){2}(?![ .,-]?\d)", *[r"(?<!\d[.,/-])(?=(?:[ /()-]{0,3}\d){9})\(?0\d{1,4}\)?(?: ?[ /-] ?)" + own for own in (r"\d{3,4}[ -]\d{2,5}(?:[ -]\d{2,4})?", r"\d{5,9}")]]
+    return r"(?<![0-9A-Za-z])(?:" + "|".join(f + r"(?!\d)" for f in forms) + ")"
+
+
+_ACCOUNT = r"(?:account|acct|konto|kontonummer|kontonr|kto|compte|cuenta)\.?(?: (?:number|no|nr|nummer|num|número|numéro|n°|nº)\.?)?[:#]? ?#?"
 _EDGE = r"(?<![\p{L}\p{N}._%+-])"
 PATTERNS = {
     "email": _EDGE + r"[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "token": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36})(?![0-9A-Za-z])",
+    "iban": _iban_pattern(),
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
-    "card": r"(?<![0-9A-Za-z])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z])(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3,4}[ .-]\d{3,4}|\(\d{2,4}\)[ .-]?\d{3,4}[ .-]\d{3,4}|\d{3}-\d{3}-\d{4})(?!\d)",
+    "card": r"(?<![0-9A-Za-z])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|3\d{3}[ -]\d{6}[ -]\d{4,5})(?![0-9A-Za-z])",
+    "account": r"(?<![0-9A-Za-z])(?=\d{6,12}(?![0-9A-Za-z]))(?<=(?iu:" + _ACCOUNT + r"))\d{6,12}",
+    "phone": _phone_pattern(),
     "name": r"(?<![\p{L}])(?:" + "|".join(TITLES) + r")\.? \p{Lu}\p{Ll}+(?:[ -]\p{Lu}\p{Ll}+)?(?!\p{L})",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -54,7 +87,8 @@ def _kind(m: Column) -> Column:
     """The kind of a match, told from its own characters."""
     digits = F.length(F.regexp_replace(m, r"\D", ""))
     return (F.when(m.contains("@"), "email").when(m.rlike(r"^\p{L}+\.? \p{Lu}"), "name").when(m.rlike(r"^\d+\.\d+\.\d+\.\d+$"), "ip")
-            .when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn").when(m.rlike(r"^(\d{13,19}|\d{4}([ -]\d{4}){3})$"), "card")
+            .when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn").when(m.rlike(r"^(\d{13,19}|\d{4}([ -]\d{4}){3}|3\d{3}[ -]\d{6}[ -]\d{4,5})$"), "card")
+            .when(m.rlike(r"^[A-Za-z]{2}\d{2}") & m.rlike(f"^(?:{PATTERNS['iban']})$"), "iban").when(m.rlike(r"^(?!00[1-9])\d{6,12}$"), "account")
             .when(m.rlike(r"[A-Za-z]") | (digits >= 32), "token").otherwise("phone"))
 
 
@@ -63,7 +97,10 @@ def _script(m: Column) -> Column:
 
 
 def _canon(kind: Column, m: Column) -> Column:
-    return F.when(kind.isin("phone", "card", "ssn"), F.regexp_replace(m, r"\D", "")).otherwise(F.lower(m))
+    digits = F.regexp_replace(m, r"\D", "")
+    phone = F.when(m.startswith("+"), F.concat(F.lit("+"), digits)).when(m.rlike("^00[1-9]"), F.concat(F.lit("+"), F.substring(digits, F.lit(3), F.length(digits)))).otherwise(digits)
+    return (F.when(kind == "phone", phone).when(kind.isin("card", "ssn", "account"), digits)
+            .when(kind == "iban", F.lower(F.regexp_replace(m, "[ -]", ""))).otherwise(F.lower(m)))
 
 
 def _draw(seed: Column, i, n: int) -> Column:
@@ -99,11 +136,15 @@ def _same_format(m: Column, seed: Column) -> Column:
     return F.array_join(F.transform(_chars(m), lambda c, i: _letters(c, seed, i)), "")
 
 
-def _digits_only(m: Column, seed: Column, skip: Column) -> Column:
-    """Digits redrawn by their number among the digits, from the ``skip``-th on: other spellings get the same digits."""
+def _digits_only(m: Column, seed: Column, skip: Column, before: Column | None = None) -> Column:
+    """Digits redrawn by their number among the digits, from the ``skip``-th on: other spellings get the same digits.
+
+    before: how many of the skipped digits other spellings do not have.
+    """
+    before = F.lit(0) if before is None else before
     start = F.struct(F.lit("").alias("s"), F.lit(0).alias("i"))
     step = lambda a, c: F.when(c.between("0", "9"), F.struct(
-        F.concat(a["s"], F.when(a["i"] < skip, c).otherwise(_draw(seed, a["i"], 10).cast("string"))).alias("s"), (a["i"] + 1).alias("i"))).otherwise(
+        F.concat(a["s"], F.when(a["i"] < skip, c).otherwise(_draw(seed, a["i"] - before, 10).cast("string"))).alias("s"), (a["i"] + 1).alias("i"))).otherwise(
         F.struct(F.concat(a["s"], c).alias("s"), a["i"].alias("i")))
     return F.aggregate(_chars(m), start, step, lambda a: a["s"])
 
@@ -126,6 +167,29 @@ def _card(m: Column, seed: Column) -> Column:
     return F.concat(F.substring(drawn, F.lit(1), F.length(drawn) - 1), last.cast("string"))
 
 
+def _mod97(text: Column) -> Column:
+    """The number that digits and upper-case letters (A = 10 to Z = 35) spell, modulo 97."""
+    step = lambda a, c: F.when(c.between("0", "9"), F.pmod(a * 10 + F.ascii(c) - 48, F.lit(97))).otherwise(F.pmod(a * 100 + F.ascii(c) - 55, F.lit(97)))
+    return F.aggregate(_chars(text), F.lit(0), step)
+
+
+def _iban(m: Column, seed: Column) -> Column:
+    plain = F.upper(F.regexp_replace(m, "[ -]", ""))
+    country, body = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain))
+    drawn = _same_format(body, seed)
+    check = F.lit(98) - _mod97(F.concat(drawn, country, F.lit("00")))
+    passes = _mod97(F.concat(body, F.substring(plain, 1, 4))) == 1
+    given = F.when(passes, check).otherwise(F.pmod(check + 1 + _draw(seed, 99, 96), F.lit(97)))
+    new = F.concat(country, F.lpad(given.cast("string"), 2, "0"), drawn)
+    start = F.struct(F.lit("").alias("s"), F.lit(1).alias("i"))
+
+    def step(a: Column, c: Column) -> Column:
+        own = F.substring(new, a["i"], F.lit(1))
+        return F.when(c.isin(" ", "-"), F.struct(F.concat(a["s"], c).alias("s"), a["i"].alias("i"))).otherwise(
+            F.struct(F.concat(a["s"], F.when(c.between("a", "z"), F.lower(own)).otherwise(own)).alias("s"), (a["i"] + 1).alias("i")))
+    return F.aggregate(_chars(m), start, step, lambda a: a["s"])
+
+
 def _ip(seed: Column) -> Column:
     return F.concat_ws(".", *[(_draw(seed, i, 254) + 1).cast("string") for i in range(4)])
 
@@ -171,9 +235,11 @@ def _atoms(m: Column) -> Column:
 
 def _surrogate(kind: Column, canon: Column, shown: Column, key: str, attempt: Column) -> Column:
     seed = _seed(key, kind, canon, attempt)
-    country = F.when(shown.startswith("+"), F.length(F.regexp_extract(shown, r"^\+(\d{1,3})", 1))).otherwise(0)
+    before = F.when(shown.rlike("^00[1-9]"), 2).otherwise(0)
+    country = F.when(canon.startswith("+"), before + F.length(F.regexp_extract(F.substring(canon, F.lit(2), F.length(canon)), COUNTRY, 0))).otherwise(0)
     return (F.when(kind == "email", _email(shown, key, seed)).when(kind == "ip", _ip(seed)).when(kind == "card", _card(shown, seed))
-            .when(kind == "phone", _digits_only(shown, seed, country)).when(kind == "ssn", _digits_only(shown, seed, F.lit(0)))
+            .when(kind == "phone", _digits_only(shown, seed, country, before)).when(kind.isin("ssn", "account"), _digits_only(shown, seed, F.lit(0)))
+            .when(kind == "iban", _iban(shown, seed))
             .when(kind == "token", _token(shown, seed)).otherwise(_part(kind, canon, key, attempt)))
 
 

@@ -16,7 +16,11 @@ mapped one by one, so "Mr Smith" and "Mr John Smith" still share a name.
 
 Collision check: over the distinct entities of the whole corpus, surrogates
 that two entities share, or that are an entity of the corpus themselves, are
-drawn anew with the next attempt number until there are none. Only entities
+drawn anew with the next attempt number until there are none; so are those in
+which a given name or the local part of an address stayed as it was. Given
+names alone may be another's of the corpus, as they are drawn from a list of
+common ones. Where LATE attempts were in vain (few addresses of one letter
+are free, say), addresses and account numbers get longer. Only entities
 drawn anew go into a table that is joined back; all others need no lookup.
 
 Results for odd input: null texts stay null, texts without entities stay as
@@ -45,9 +49,25 @@ SYLLABLES = {"latin": ("ba", "be", "bo", "da", "de", "do", "fa", "ga", "ka", "ko
 IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
                 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
                 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+#: the attempt from which on short entities get longer
+LATE = 6
 COUNTRY = r"^(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 
 
+def _run(first: str, n: int, step: int = 1) -> str:
+    return "".join(chr(ord(first) + step * i) for i in range(n))
+
+
+#: Letters of the scripts that _letters does not count off: what tells them, and what is drawn instead.
+OTHER_SCRIPTS = (
+    (r"(?=\p{IsGreek})\p{Lu}", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"), (r"\p{IsGreek}", "αβγδεζηθικλμνξοπρστυφχψω"),
+    (r"(?=\p{IsCyrillic})\p{Lu}", _run("А", 32)), (r"\p{IsCyrillic}", _run("а", 32)),
+    (r"\p{IsHan}", _run("一", 256)), (r"\p{IsHiragana}", _run("か", 40)), (r"\p{IsKatakana}", _run("カ", 40)), (r"\p{IsHangul}", _run("가", 399, 28)),
+    (r"\p{IsArabic}", _run("ب", 19)), (r"\p{IsHebrew}", _run("א", 27)), (r"\p{IsDevanagari}", _run("क", 32)), (r"\p{IsThai}", _run("ก", 46)),
+    (r"(?=\p{IsArmenian})\p{Lu}", _run("Ա", 38)), (r"\p{IsArmenian}", _run("ա", 38)), (r"\p{IsGeorgian}", _run("ა", 33)),
+    (r"\p{Lu}", _run("A", 26)), (r"\p{N}", _run("0", 10)))
+
+
 def _iban_pattern() -> str:
     """Whole IBANs of their country's length, in one run or in groups of four."""
     def of(n: int, countries: str) -> str:
@@ -68,9 +88,9 @@ def _phone_pattern() -> str:
 
 
 _ACCOUNT = r"(?:account|acct|konto|kontonummer|kontonr|kto|compte|cuenta)\.?(?: (?:number|no|nr|nummer|num|número|numéro|n°|nº)\.?)?[:#]? ?#?"
-_EDGE = r"(?<![\p{L}\p{N}._%+-])"
+_EDGE = r"(?<![\p{L}\p{M}\p{N}._%+-])"
 PATTERNS = {
-    "email": _EDGE + r"[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": _EDGE + r"[\p{L}\p{M}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "token": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36})(?![0-9A-Za-z])",
     "iban": _iban_pattern(),
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
@@ -115,8 +135,8 @@ def _chars(m: Column) -> Column:
     return F.split(m, "")
 
 
-def _letters(c: Column, seed: Column, i: Column) -> Column:
-    """A character of the same script and case; anything else as it is."""
+def _letters(c: Column, seed: Column, i: Column, others: bool) -> Column:
+    """A letter of the same script and case or a digit; of scripts without a list a Latin letter; anything but letters and numbers as it is."""
     def of(low: str, high: str, base: int, n: int) -> tuple[Column, Column]:
         return c.between(F.lit(low), F.lit(high)), F.char(F.lit(base) + _draw(seed, i, n)) if base < 256 else F.substring(F.lit("".join(chr(base + j) for j in range(n))), _draw(seed, i, n) + 1, F.lit(1))
     out = F.when(c.between("0", "9"), _draw(seed, i, 10).cast("string"))
@@ -125,15 +145,22 @@ def _letters(c: Column, seed: Column, i: Column) -> Column:
         out = out.when(test, value)
     for accented in ("àáâãäçèéêëìíîïñòóôõöùúûüß", "ÀÁÂÃÄÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜ"):
         out = out.when(F.lit(accented).contains(c) & (c != ""), F.substring(F.lit(accented), _draw(seed, i, len(accented)) + 1, F.lit(1)))
-    return out.otherwise(c)
+    if not others:
+        return out.otherwise(c)
+    out = out.when(~c.rlike(r"[\p{L}\p{N}]"), c)
+    pick = lambda pool: F.substring(F.lit(pool), _draw(seed, i, len(pool)) + 1, F.lit(1))
+    for test, pool in OTHER_SCRIPTS:
+        out = out.when(c.rlike(test), pick(pool))
+    return out.otherwise(pick("abcdefghijklmnopqrstuvwxyz"))
 
 
 def _seed(key: str, kind, canon: Column, attempt: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(key), kind, canon, attempt.cast("string")), 256)
 
 
-def _same_format(m: Column, seed: Column) -> Column:
-    return F.array_join(F.transform(_chars(m), lambda c, i: _letters(c, seed, i)), "")
+def _same_format(m: Column, seed: Column, others: bool = False) -> Column:
+    """others: whether there may be letters outside ASCII, Cyrillic and the accented list."""
+    return F.array_join(F.transform(_chars(m), lambda c, i: _letters(c, seed, i, others)), "")
 
 
 def _digits_only(m: Column, seed: Column, skip: Column, before: Column | None = None) -> Column:
@@ -194,16 +221,16 @@ def _ip(seed: Column) -> Column:
     return F.concat_ws(".", *[(_draw(seed, i, 254) + 1).cast("string") for i in range(4)])
 
 
-def _email(m: Column, key: str, seed: Column) -> Column:
+def _email(m: Column, key: str, seed: Column, attempt: Column) -> Column:
     domain = F.substring_index(m, "@", -1)
     host = F.substring(domain, F.lit(1), F.length(domain) - F.length(F.substring_index(domain, ".", -1)) - 1)
     shared = F.sha2(F.concat_ws("|", F.lit(key), F.lit("host"), F.lower(host)), 256)
-    return F.concat(_same_format(F.substring_index(m, "@", 1), seed), F.lit("@"), _same_format(host, shared), F.lit("."), F.substring_index(domain, ".", -1))
+    more = F.when(attempt >= LATE, F.concat(*[_pick(SYLLABLES["latin"], seed, 900 + i) for i in range(3)])).otherwise("")
+    return F.concat(_same_format(F.substring_index(m, "@", 1), seed, True), more, F.lit("@"), _bound(shared, lambda x: _same_format(host, x)), F.lit("."), F.substring_index(domain, ".", -1))
 
 
-def _part(gender_kind: Column, canon: Column, key: str, attempt: Column) -> Column:
+def _part(gender_kind: Column, canon: Column, seed: Column, attempt: Column) -> Column:
     """A name part: kind "given:m", "given:f" or "surname", in the part's script."""
-    seed = _seed(key, gender_kind, canon, attempt)
     cyrillic = canon.rlike(r"\p{IsCyrillic}")
 
     def by_script(f) -> Column:
@@ -233,14 +260,24 @@ def _atoms(m: Column) -> Column:
     return F.when(kind == "name", F.when(given != "", two).otherwise(one)).otherwise(F.array(atom(kind, _canon(kind, m), m)))
 
 
+def _bound(value: Column, f) -> Column:
+    """f(value), with the value computed once however often f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def _surrogate(kind: Column, canon: Column, shown: Column, key: str, attempt: Column) -> Column:
-    seed = _seed(key, kind, canon, attempt)
+    atom = F.struct(kind.alias("kind"), canon.alias("canon"), shown.alias("shown"), attempt.alias("attempt"))
+    return _bound(atom, lambda a: _bound(_seed(key, a["kind"], a["canon"], a["attempt"]), lambda seed: _of_seed(a["kind"], a["canon"], a["shown"], key, a["attempt"], seed)))
+
+
+def _of_seed(kind: Column, canon: Column, shown: Column, key: str, attempt: Column, seed: Column) -> Column:
     before = F.when(shown.rlike("^00[1-9]"), 2).otherwise(0)
     country = F.when(canon.startswith("+"), before + F.length(F.regexp_extract(F.substring(canon, F.lit(2), F.length(canon)), COUNTRY, 0))).otherwise(0)
-    return (F.when(kind == "email", _email(shown, key, seed)).when(kind == "ip", _ip(seed)).when(kind == "card", _card(shown, seed))
-            .when(kind == "phone", _digits_only(shown, seed, country, before)).when(kind.isin("ssn", "account"), _digits_only(shown, seed, F.lit(0)))
+    return (F.when(kind == "email", _email(shown, key, seed, attempt)).when(kind == "ip", _ip(seed)).when(kind == "card", _card(shown, seed))
+            .when(kind == "phone", _digits_only(shown, seed, country, before)).when(kind == "ssn", _digits_only(shown, seed, F.lit(0)))
+            .when(kind == "account", F.concat(_digits_only(shown, seed, F.lit(0)), F.when(attempt >= LATE, F.lpad(_draw(seed, 99, 10000).cast("string"), 4, "0")).otherwise("")))
             .when(kind == "iban", _iban(shown, seed))
-            .when(kind == "token", _token(shown, seed)).otherwise(_part(kind, canon, key, attempt)))
+            .when(kind == "token", _token(shown, seed)).otherwise(_part(kind, canon, seed, attempt)))
 
 
 def _token(m: Column, seed: Column) -> Column:
@@ -253,7 +290,11 @@ def _token(m: Column, seed: Column) -> Column:
 
 
 def assign(atoms: DataFrame, key: str, scratch: Scratch) -> DataFrame:
-    """(kind, canon, attempt, surrogate) for every distinct atom, no two of a kind alike and none an atom itself."""
+    """(kind, canon, attempt, surrogate) for every distinct atom: no two of a kind alike, and none an atom itself.
+
+    A given name may be another atom, but never its own; an address has
+    another local part than its own, if that has a letter or number at all.
+    """
     found = atoms.groupBy("kind", "canon").agg(F.min("shown").alias("shown"))
     now = scratch.keep(_drawn(found.withColumn("attempt", F.lit(0)), key), "assigned")
     while True:
@@ -261,7 +302,7 @@ def assign(atoms: DataFrame, key: str, scratch: Scratch) -> DataFrame:
         own = own.select("kind", "same", "n", F.col("w.canon").alias("winner"))
         real = now.select("kind", F.col("canon").alias("same")).withColumn("real", F.lit(True))
         judged = now.join(own, ["kind", "same"]).join(real, ["kind", "same"], "left")
-        clash = (F.col("n") > 1) & (F.col("canon") != F.col("winner")) | (F.coalesce("real", F.lit(False)) & ~F.col("kind").startswith("given:"))
+        clash = (F.col("n") > 1) & (F.col("canon") != F.col("winner")) | (F.coalesce("real", F.lit(False)) & ~F.col("kind").startswith("given:")) | _stayed()
         judged = scratch.keep(judged.withColumn("clash", clash).select("kind", "canon", "shown", "attempt", "surrogate", "same", "clash"), "judged")
         if not judged.where("clash").limit(1).count():
             scratch.drop(now)
@@ -273,6 +314,13 @@ def assign(atoms: DataFrame, key: str, scratch: Scratch) -> DataFrame:
         now = new
 
 
+def _stayed() -> Column:
+    """Whether the surrogate is the atom itself, or an address with its local part."""
+    local = F.substring_index("canon", "@", 1)
+    address = (F.col("kind") == "email") & (local == F.substring_index("same", "@", 1)) & local.rlike(r"[\p{L}\p{N}]")
+    return (F.col("same") == F.col("canon")) | address
+
+
 def _drawn(atoms: DataFrame, key: str) -> DataFrame:
     out = atoms.withColumn("surrogate", _surrogate(F.col("kind"), F.col("canon"), F.col("shown"), key, F.col("attempt")))
     return out.withColumn("same", _canon(F.col("kind"), F.col("surrogate")))
@@ -303,7 +351,9 @@ def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
         return F.coalesce(F.try_element_at(F.coalesce("_tries", F.create_map().cast("map<string,int>")), F.concat_ws("|", a["kind"], a["canon"])), F.lit(0))
 
     def replaced(m: Column) -> Column:
-        drawn = F.transform(_atoms(m), lambda a: _surrogate(a["kind"], a["canon"], a["shown"], key, attempt(a)))
+        return _bound(F.transform(_atoms(m), lambda a: _surrogate(a["kind"], a["canon"], a["shown"], key, attempt(a))), lambda drawn: shown(m, drawn))
+
+    def shown(m: Column, drawn: Column) -> Column:
         title = F.regexp_extract(m, r"^(\p{L}+\.? )", 1)
         link = F.when(m.rlike(r"^\p{L}+\.? \p{L}+-"), "-").otherwise(" ")
         kind = _kind(m)

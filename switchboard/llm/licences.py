@@ -5,11 +5,14 @@ words. For a template of n shingles, windows of w shingles are laid over the
 text with step s, w - s + 1 >= n, so that every place of the template lies
 wholly in some window. Each window has ``BANDS`` minwise values (bands of one
 row), and retrieves the templates that share one of them. A window that holds
-a whole template of n shingles has similarity n / w with it, at least 0.5 for
-the classes of (w, s) below, and is retrieved with probability 1 - (1 - n/w)^8,
-0.996 at least; one that holds 0.8 of the shingles, which is enough to match,
-with 0.96 at least. Retrieved windows are verified by exact shingle
-containment.
+a whole template of n shingles has similarity n / w with it, 0.39 at least
+for the classes of (w, s) below and 0.49 for those that _classes adds for
+longer templates, however long, and is retrieved with probability
+1 - (1 - n/w)^8: 0.98 and 0.995 at least; one that holds 0.8 of the shingles,
+which is enough to match, with 0.94 at least. A template's class is that of
+its places, repeated shingles counted, as the window must hold them all.
+Retrieved windows are verified by exact shingle containment. A template of
+fewer than K words cannot be looked for: it is an error.
 
 Results for odd input: null and empty texts, and texts of fewer than K words,
 have no match; repeated rows each come back; rows keep their order of
@@ -25,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytetext import mix
+from .licence_texts import TEXTS
 
 K, BANDS, CONTAINED = 3, 8, 0.8
 #: (window, step, most shingles of a template), smallest first
@@ -45,6 +49,8 @@ TEMPLATES = {
     "BSD-3-Clause": ("Licensed under the BSD 3-Clause License.", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
 }
+#: the notices and the usual full texts and headers
+ALL = {name: TEMPLATES.get(name, ()) + TEXTS.get(name, ()) for name in sorted({*TEMPLATES, *TEXTS})}
 
 _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _XOR = [int(x) for x in mix(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)).view(np.int64)]
@@ -68,15 +74,28 @@ def _least(hashes: Column, band: int) -> Column:
     return F.array_min(F.transform(hashes, _moved(band)))
 
 
+def _classes(places: int) -> list[tuple[int, int, int]]:
+    """CLASSES, and as many more as a template of so many shingles needs."""
+    out = list(CLASSES)
+    while out[-1][2] < places:
+        most = out[-1][2] * 3 // 2
+        out.append((most + most // 3 - 1, most // 3, most))
+    return out
+
+
 def templates(spark, notices: dict[str, tuple[str, ...]]) -> DataFrame:
     """license, n, cls, shingles, bands: a table as small as the notices given."""
     rows = [(name, template_words(t)) for name, texts in notices.items() for t in texts]
+    for name, words in rows:
+        if len(words) < K:
+            raise ValueError(f"a template of {name} has fewer than {K} words")
+    classes = _classes(max((len(words) for _, words in rows), default=0) - K + 1)
     t = spark.createDataFrame(rows, "license string, words array<string>").withColumn("shingles", F.array_distinct(_shingles(F.col("words"))))
-    t = t.withColumn("n", F.size("shingles")).where("n > 0")
-    cls = F.lit(None).cast("int")
-    for i, (_, _, most) in reversed(list(enumerate(CLASSES))):
-        cls = F.when(F.col("n") <= most, F.lit(i)).otherwise(cls)
-    return t.withColumn("cls", cls).where("cls is not null").withColumn("bands", F.array(*[_least(F.col("shingles"), b) for b in range(BANDS)]))
+    t = t.withColumn("n", F.size("shingles"))
+    cls = F.lit(len(classes) - 1)
+    for i, (_, _, most) in reversed(list(enumerate(classes[:-1]))):
+        cls = F.when(F.size("words") - (K - 1) <= most, F.lit(i)).otherwise(cls)
+    return t.withColumn("cls", cls).withColumn("bands", F.array(*[_least(F.col("shingles"), b) for b in range(BANDS)]))
 
 
 def _longs(values: list[int]) -> Column:
@@ -121,18 +140,22 @@ def _found(c: int, window: int, step: int, t: dict) -> Column:
         own = F.slice("_sh", j * step + 1, window)
         at = F.filter(F.transform(own, lambda x, i: F.when(F.array_contains(sh, x), i + j * step)), lambda i: i.isNotNull())
         return F.struct(F.lit(t["license"]).alias("license"), F.array_min(at).alias("begin"), (F.array_max(at) + K).alias("end"),
-                        (F.size(F.array_intersect(own, sh)) / float(t["n"])).alias("contained"))
-    near = F.filter(f"_c{c}", lambda j: _retrieved(j, window, step, [t]))
-    return F.filter(F.transform(near, place), lambda m: m["contained"] >= CONTAINED)
+                        (size(j) / float(t["n"])).alias("contained"), size(j).alias("found"))
+
+    def size(j: Column) -> Column:
+        return F.size(F.array_intersect(F.slice("_sh", j * step + 1, window), sh))
+    near = F.filter(f"_c{c}", lambda j: _retrieved(j, window, step, [t]) & (size(j) / float(t["n"]) >= CONTAINED))
+    return F.transform(near, place)
 
 
-def license_matches(docs: DataFrame, notices: dict[str, tuple[str, ...]] = TEMPLATES) -> DataFrame:
+def license_matches(docs: DataFrame, notices: dict[str, tuple[str, ...]] = ALL) -> DataFrame:
     """The rows of ``docs`` with _licenses: an array of (license, begin, end, contained), in order of place.
 
     begin and end (excluded) are word positions that bound the template's
     shingles in the window; contained is the share of them found. Of
-    overlapping matches the fullest stays (then the longest, then the first by
-    name). The array is empty without match.
+    overlapping matches the one of most shingles found stays (then the fullest,
+    the longest, the first by name), so that a whole text goes before a line of
+    it. The array is empty without match.
     """
     known = [r.asDict() for r in templates(docs.sparkSession, notices).collect()]
     low = F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
@@ -141,7 +164,7 @@ def license_matches(docs: DataFrame, notices: dict[str, tuple[str, ...]] = TEMPL
     seeds = sorted({t["bands"][b] ^ _XOR[b] for t in known for b in range(BANDS)})
     rows = _settled(rows.withColumn("_at", F.filter(F.transform("_sh", lambda x, i: F.when(x.isin(seeds), i)), lambda i: i.isNotNull())))
     parts, retrieved = [], {}
-    for c, (window, step, _) in enumerate(CLASSES):
+    for c, (window, step, _) in enumerate(_classes(max((len(template_words(t)) for texts in notices.values() for t in texts), default=0) - K + 1)):
         own = [t for t in known if t["cls"] == c]
         if own:
             retrieved[f"_c{c}"] = F.filter(_windows(window, step), _hits(window, step, own))
@@ -153,7 +176,7 @@ def license_matches(docs: DataFrame, notices: dict[str, tuple[str, ...]] = TEMPL
 
     def better(y: Column, x: Column) -> Column:
         def rank(m: Column) -> Column:
-            return F.struct(-m["contained"], m["begin"] - m["end"], m["license"], m["begin"])
+            return F.struct(-m["found"], -m["contained"], m["begin"] - m["end"], m["license"], m["begin"])
         return (y["begin"] < x["end"]) & (x["begin"] < y["end"]) & (rank(y) < rank(x))
     best = F.filter("_all", lambda x: ~F.exists("_all", lambda y: better(y, x)))
     return rows.withColumn("_licenses", F.array_sort(F.transform(best, lambda m: F.struct(m["begin"].alias("begin"), m["end"].alias("end"), m["license"].alias("license"), m["contained"].alias("contained"))))).drop("_all")

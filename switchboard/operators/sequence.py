@@ -3,10 +3,10 @@
 A window partitioned by key puts all rows of one key into one task. Here
 the table is range partitioned on the global order (key, order...), so a
 key with a third of all rows is spread over many partitions. Inside each
-partition the previous row is a shift of the sorted rows; the first row of
-a partition takes the last row of the nearest non-empty partition before
-it, if that row has the same key. That carry table has one row per
-partition (bounded) and is broadcast.
+(partition, key) LAG is Spark's own window; the first row there takes the
+last row of the same key in the nearest partition before it. Only keys that
+go over a partition's border need that: one row per partition at most
+(bounded), which is broadcast.
 """
 
 from __future__ import annotations
@@ -18,34 +18,7 @@ from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
-_PID, _LOC, _PREV, _FIRST = "_sb_pid", "_sb_loc", "_sb_prev", "_sb_first"
-
-
-def _shift_in_partition(key: str, value: str):
-    def run(batches):
-        last_key, last_val, seen = None, None, 0
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(**{_LOC: pd.Series([], dtype="int64"), _PREV: pdf[value],
-                                    _FIRST: pd.Series([], dtype="bool")})
-                continue
-            k, v = pdf[key], pdf[value]
-            prev_k = k.shift(1)
-            prev_v = v.shift(1)
-            if seen:
-                prev_k.iloc[0] = last_key
-                prev_v.iloc[0] = last_val
-            has_prev = pd.Series(True, index=pdf.index)
-            has_prev.iloc[0] = bool(seen)
-            # NULL keys form one group, as in PARTITION BY
-            same = has_prev & ((prev_k == k) | (prev_k.isna() & k.isna()))
-            prev = prev_v.where(same)
-            loc = pd.RangeIndex(seen + 1, seen + len(pdf) + 1).to_numpy()
-            first = pd.Series(loc == 1, index=pdf.index)
-            last_key, last_val = k.iloc[-1], v.iloc[-1]
-            seen += len(pdf)
-            yield pdf.assign(**{_LOC: loc, _PREV: prev, _FIRST: first})
-    return run
+_PID, _PREV, _FIRST, _LAST = "_sb_pid", "_sb_prev", "_sb_first", "_sb_last"
 
 
 # A key group up to this many rows may be sorted inside one task.
@@ -69,39 +42,31 @@ def with_previous(df: DataFrame, partition_col: str, order_cols: list, value_col
     column). Rows with a NULL key form one group, as in SQL.
 
     strategy: ``window`` - Spark's window partitioned by key (one key's rows
-    in one task); ``ranged`` - range partitions of the global order (hot keys
-    split across tasks); ``auto`` - ``window`` only when a sample shows that
-    the heaviest key stays under ``SINGLE_TASK_GROUP_ROWS``.
+    in one task); ``ranged`` and ``auto`` - range partitions of the global
+    order (hot keys split across tasks), whatever the table's size.
     """
-    if strategy == "auto":
-        heavy = largest_group_estimate(df, partition_col)
-        strategy = "window" if heavy * 2 <= SINGLE_TASK_GROUP_ROWS else "ranged"
+    by = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     if strategy == "window":
-        order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-        w = Window.partitionBy(partition_col).orderBy(*order)
-        return df.withColumn(out, F.lag(value_col).over(w))
+        return df.withColumn(out, F.lag(value_col).over(Window.partitionBy(partition_col).orderBy(*by)))
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col(partition_col).asc_nulls_first()] + [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn(_PID, F.spark_partition_id().cast("bigint")))
-    vtype = df.schema[value_col].dataType
-    schema = T.StructType(ranged.schema.fields + [T.StructField(_LOC, T.LongType(), False),
-                                                  T.StructField(_PREV, vtype, True),
-                                                  T.StructField(_FIRST, T.BooleanType(), False)])
-    local = ranged.mapInPandas(_shift_in_partition(partition_col, value_col), schema).checkpoint(eager=True)
-    # last row of each non-empty partition, then the one before each partition
-    last = local.groupBy(_PID).agg(F.max_by(F.struct(F.col(partition_col).alias("k"), F.col(value_col).alias("v")),
-                                            F.col(_LOC)).alias("_last"))
-    w = Window.orderBy(_PID)  # one row per partition: bounded
-    carry = last.select(_PID, F.lag("_last").over(w).alias("_carry"))
-    j = local.join(F.broadcast(carry), _PID, "left")
+    # checkpointed: a row's partition must be the same wherever it is read
+    ranged = (df.repartitionByRange(n, F.col(partition_col).asc_nulls_first(), *by)
+              .withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True))
+    w = Window.partitionBy(_PID, partition_col).orderBy(*by)
+    local = ranged.withColumns({_PREV: F.lag(value_col).over(w), _FIRST: F.row_number().over(w) == 1,
+                                _LAST: F.lead(F.lit(True), 1, False).over(w) == F.lit(False)})
+    # last row of each (partition, key), then the one before each partition of the same key
+    wk = Window.partitionBy("_sb_k").orderBy("_sb_p")
+    carry = (local.where(_LAST).select(F.col(_PID).alias("_sb_p"), F.col(partition_col).alias("_sb_k"), F.col(value_col).alias("_sb_v"))
+             .select("_sb_p", "_sb_k", F.lag("_sb_v").over(wk).alias("_sb_carry"), F.row_number().over(wk).alias("_sb_i"))
+             .where("_sb_i > 1").select("_sb_p", "_sb_k", "_sb_carry"))
     # null-safe: NULL keys form one group, as in PARTITION BY
-    from_prev_part = F.when(F.col("_carry").isNotNull() & F.col("_carry.k").eqNullSafe(F.col(partition_col)),
-                            F.col("_carry.v"))
-    prev = F.when(F.col(_FIRST), from_prev_part).otherwise(F.col(_PREV))
-    return j.withColumn(out, prev).drop(_PID, _LOC, _PREV, _FIRST, "_carry")
+    same = (F.col(_PID) == F.col("_sb_p")) & F.col(partition_col).eqNullSafe(F.col("_sb_k"))
+    j = local.join(F.broadcast(carry), same, "left")
+    return j.withColumn(out, F.when(F.col(_FIRST), F.col("_sb_carry")).otherwise(F.col(_PREV))).drop(
+        _PID, _PREV, _FIRST, _LAST, "_sb_p", "_sb_k", "_sb_carry")
 
 
 def _partial_concat(keys: list[str], value: str, sep: str):

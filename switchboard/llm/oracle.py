@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express, written from the contracts."""
 
+from .oracle_codes import OP11, OP12, OP13
+
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _SPACED = r"[^\x20\x09-\x0D]+"
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -67,4 +69,4 @@ SELECT conv_id, n AS n_turns, n_copies, array_to_string([
   '<|im_start|>' || replace(coalesce(x.r, 'unknown'), '<|', '< |') || chr(10) || replace(coalesce(x.t, ''), '<|', '< |') || '<|im_end|>' || chr(10)
   FOR x IN turns], '') AS chat FROM kept"""
 
-ORACLE = {"op1_minhash_near_dedup": OP1, "op4_benchmark_decontamination": OP4, "op6_embedding_near_dedup": OP6, "op8_chat_formatting": OP8}
+ORACLE = {"op11_vector_codes": OP11, "op12_merkle_manifest": OP12, "op13_quality_rules": OP13, "op1_minhash_near_dedup": OP1, "op4_benchmark_decontamination": OP4, "op6_embedding_near_dedup": OP6, "op8_chat_formatting": OP8}

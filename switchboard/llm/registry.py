@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle
+from .codes import compressed_codes
 from .conversations import render_chats
 from .decontaminate import contaminated_spans
 from .licences import license_matches
+from .merkle import verified_manifest
 from .minhash import near_duplicates
 from .mixing import mixing_rates
 from .quality import quality_scores
 from .recurrent import language_model_scores
+from .rules import quality_rules
 from .surrogates import pseudonymize
 from .toxicity import toxicity_scores
 from .vectors import similar_vectors
@@ -89,11 +92,27 @@ def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", F.size("_entities").cast("bigint").alias("n_entities"), "text")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, _ = compressed_codes(_table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return verified_manifest(_table(spark, sf_dir, "documents"), _crc(5) == 0, {"text": lowered})
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules(_table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    return found.select("doc_id", *[f"_rules.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_minhash_near_dedup, op4_benchmark_decontamination, op5_lm_scoring,
         op9_quality_classifier, op10_toxicity, op6_embedding_near_dedup, op8_chat_formatting,
-        op2_license_scan, op3_source_mixing, op7_pii_surrogates)
+        op2_license_scan, op3_source_mixing, op7_pii_surrogates,
+        op11_vector_codes, op12_merkle_manifest, op13_quality_rules)
 }
 
 

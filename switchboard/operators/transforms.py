@@ -5,7 +5,7 @@ rules below that it does not fix are chosen here and named in each
 docstring. Every transform is a DataFrame function (no driver loops, no
 collect); per-key "latest row" logic is a max-by aggregate so that partial
 aggregation absorbs hot keys, and per-key sequences (SCD-2) use the
-range-partitioned LAG of ``operators.sequence``.
+two-level windows of ``operators.timeline``.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from .ordered import with_global_row_number
-from .sequence import ordered_concat, with_previous
+from .timeline import ordered_concat, with_next, with_previous
 
 # --- fixed values chosen here ----------------------------------------------
 OP_RANK = {"I": 0, "U": 1, "D": 2}          # at equal change time a delete wins
@@ -99,15 +99,15 @@ def scd2_build(changes: DataFrame, key: str, tracked: list[str], ts: str, tiebre
     A row opens a version when its tracked values differ from the previous
     row of the key (LAG on a row signature); ``eff_to_ts`` is the next
     version's ``eff_from_ts`` (NULL for the current one). history id =
-    sha2(key|eff_from microseconds). Both the LAG and the "next version" use
-    the range-partitioned sequence operator, so one key with a huge history
-    is split across tasks.
+    sha2(key|eff_from microseconds). Both the LAG and the "next version" run
+    in two levels (``timeline``), so one key with a huge history is split
+    across tasks.
     """
     base = changes.select(key, *tracked, F.col(ts).alias("eff_from_ts"), F.col(tiebreak).alias("_tb"),
                           _signature(tracked).alias("_sig"))
-    with_prev = with_previous(base, key, ["eff_from_ts", "_tb"], "_sig", "_prev_sig")
+    with_prev = with_previous(base, [key], "eff_from_ts", ["_tb"], "_sig", "_prev_sig")
     versions = with_prev.where(F.col("_prev_sig").isNull() | (F.col("_prev_sig") != F.col("_sig"))).drop("_prev_sig", "_sig")
-    nxt = with_previous(versions, key, [F.col("eff_from_ts").desc(), F.col("_tb").desc()], "eff_from_ts", "eff_to_ts")
+    nxt = with_next(versions, [key], "eff_from_ts", ["_tb"], "eff_from_ts", "eff_to_ts")
     micros = X.epoch_micros("eff_from_ts")
     return nxt.select(
         F.sha2(F.concat_ws("|", F.col(key).cast("string"), micros.cast("string")), 256).alias(id_col),
@@ -175,16 +175,16 @@ def call_durations(stg_tel_call: DataFrame, stg_tel_call_segment: DataFrame) ->
 def ivr_sessionize(stg_file_ivr_logs: DataFrame) -> DataFrame:
     """IVR events -> one row per session: first/last event, full menu
     path in event order, hops, exit key; contained = the last key is not
-    the operator transfer key. The path is built by ``ordered_concat``: a
-    session that a sample cannot prove small is concatenated in partial runs
-    inside range partitions, so no task gathers all of its events."""
+    the operator transfer key. The path is built by ``ordered_concat``: the
+    events of an hour first, then the hours, so no task gathers all events of a
+    session."""
     e = stg_file_ivr_logs
     g = e.groupBy("session_ref", "client_code").agg(
         F.min("event_ms").alias("_first"), F.max("event_ms").alias("_last"),
         F.count(F.lit(1)).alias("hops"),
         F.max_by("key_pressed", F.struct("event_ms", "event_seq")).alias("exit_key"))
-    path = ordered_concat(e, ["session_ref", "client_code"], ["event_ms", "event_seq"], "menu_path", PATH_JOIN,
-                          "menu_path_full")
+    path = ordered_concat(e, ["session_ref", "client_code"], "event_ms", ["event_seq"], "menu_path", PATH_JOIN,
+                          "menu_path_full", width=3_600_000)
     path = path.select(F.col("session_ref").alias("_ref"), F.col("client_code").alias("_client"), "menu_path_full")
     # null-safe: an unparsed log line has no session or client, and is kept as a session of its own
     g = g.join(path, F.col("session_ref").eqNullSafe(F.col("_ref")) & F.col("client_code").eqNullSafe(F.col("_client")))

@@ -29,10 +29,10 @@ def first_contact_resolution_corrected(fact_interaction: DataFrame) -> DataFrame
               .select("customer_ref", "date_key", "program_sk", F.col("end_ts").alias("lo"),
                       X.add_days_exact("end_ts", V.FCR_WINDOW_DAYS).alias("hi")))
     m = count_points_in_windows(points, probes, key="customer_ref", ts="ts", lo="lo", hi="hi",
-                                carry=["date_key", "program_sk"], out="repeats")
+                                carry=["date_key", "program_sk"], out="repeats", copies="n")
     g = m.groupBy("date_key", "program_sk").agg(
-        F.count(F.lit(1)).alias("resolved_interactions"),
-        F.count(F.when(F.col("repeats") == 0, 1)).alias("fcr_count"))
+        F.sum("n").cast("bigint").alias("resolved_interactions"),
+        F.sum(F.when(F.col("repeats") == 0, F.col("n")).otherwise(0)).cast("bigint").alias("fcr_count"))
     return g.select("date_key", "program_sk", "resolved_interactions", "fcr_count",
                     (X.safe_divide("fcr_count", "resolved_interactions") * F.lit(100.0)).alias("fcr_pct"))
 

@@ -1,11 +1,10 @@
-"""LAG by range partitions keeps every value and does not depend on size."""
+"""LAG in two levels keeps every value and does not depend on size."""
 import datetime as dt
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from switchboard.operators import sequence
-from switchboard.operators.sequence import with_previous
+from switchboard.operators.timeline import with_previous
 
 
 def test_big_integers_and_far_timestamps_keep_their_values(spark):
@@ -15,14 +14,16 @@ def test_big_integers_and_far_timestamps_keep_their_values(spark):
     w = Window.partitionBy("k").orderBy("id")
     for value in ("v", "ts"):
         want = df.withColumn("p", F.lag(value).over(w))
-        got = with_previous(df, "k", ["id"], value, "p", num_partitions=9)
+        got = with_previous(df, ["k"], "id", [], value, "p", width=9)
         assert got.schema["p"].dataType == want.schema["p"].dataType
         assert {r["id"]: r["p"] for r in got.collect()} == {r["id"]: r["p"] for r in want.collect()}
 
 
-def test_no_size_switch(spark, monkeypatch):
-    def sampled(*a, **b):
-        raise AssertionError("the path depends on a sample")
-    monkeypatch.setattr(sequence, "largest_group_estimate", sampled)
+def test_no_job_before_the_result_is_asked_for(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2)], "k string, id bigint")
-    assert {r["id"]: r["p"] for r in with_previous(df, "k", [F.col("id").desc()], "id", "p").collect()} == {2: None, 1: 2}
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lag-plan", "plan only")
+    plan = with_previous(df, ["k"], "id", [], "id", "p", width=1)
+    assert not tracker.getJobIdsForGroup("lag-plan")
+    spark.sparkContext.setJobGroup("", "")
+    assert {r["id"]: r["p"] for r in plan.collect()} == {1: None, 2: 1}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from switchboard.operators.intervals import count_points_in_windows
 from switchboard.operators.ordered import (with_global_ntile, with_global_percent_rank,
                                            with_global_row_number)
-from switchboard.operators.sequence import with_previous
+from switchboard.operators.timeline import ordered_concat, with_previous
 
 
 def skewed(spark, n=3000, seed=3):
@@ -50,27 +50,26 @@ def test_global_percent_rank_matches_window(spark):
 
 def test_ranged_lag_matches_window_with_hot_key(spark):
     df = skewed(spark)
-    got = with_previous(df, "k", ["ts", "id"], "ts", "prev", num_partitions=9, strategy="ranged")
+    got = with_previous(df, ["k"], "ts", ["id"], "ts", "prev")
     exp = df.withColumn("prev", F.lag("ts").over(Window.partitionBy("k").orderBy("ts", "id")))
     assert got.select("id", "prev").exceptAll(exp.select("id", "prev")).count() == 0
     assert got.count() == df.count()
 
 
-def test_auto_lag_picks_window_for_small_groups(spark):
+def test_lag_does_not_depend_on_the_bucket_width(spark):
     df = skewed(spark)
-    got = with_previous(df, "k", ["ts", "id"], "ts", "prev")
     exp = df.withColumn("prev", F.lag("ts").over(Window.partitionBy("k").orderBy("ts", "id")))
-    assert got.select("id", "prev").exceptAll(exp.select("id", "prev")).count() == 0
+    for width in (60, 86400 * 400):
+        got = with_previous(df, ["k"], "ts", ["id"], "ts", "prev", width=width)
+        assert got.select("id", "prev").exceptAll(exp.select("id", "prev")).count() == 0
 
 
 def test_interval_counts_match_brute_force(spark):
     df = skewed(spark, n=1200)
     probes = df.select(F.col("id").alias("pid"), "k", F.col("ts").alias("lo"),
                        F.timestamp_add("HOUR", F.lit(36), F.col("ts")).alias("hi"))
-    got = count_points_in_windows(df, probes, key="k", ts="ts", lo="lo", hi="hi", carry=["pid"], out="m",
-                                  num_partitions=6, strategy="ranged")
-    got_w = count_points_in_windows(df, probes, key="k", ts="ts", lo="lo", hi="hi", carry=["pid"], out="m",
-                                    strategy="window")
+    got = count_points_in_windows(df, probes, key="k", ts="ts", lo="lo", hi="hi", carry=["pid"], out="m")
+    got_w = count_points_in_windows(df, probes, key="k", ts="ts", lo="lo", hi="hi", carry=["pid"], out="m", width=7 * 86400)
     rows = df.collect()
     expected = {}
     for p in rows:
@@ -88,22 +87,33 @@ def test_interval_counts_with_duplicate_points(spark):
     probes = spark.createDataFrame([(1, "c", t0, t0 + dt.timedelta(hours=2)), (2, "c", t0, t0 + dt.timedelta(hours=2)),
                                     (3, "c", t0 + dt.timedelta(hours=1), t0 + dt.timedelta(hours=6)), (4, None, t0, t0)],
                                    "pid long, k string, lo timestamp_ntz, hi timestamp_ntz")
-    for strategy in ("ranged", "window", "auto"):
-        got = count_points_in_windows(df, probes, key="k", ts="ts", lo="lo", hi="hi", carry=["pid"], out="m",
-                                      num_partitions=4, strategy=strategy)
+    for width in (600, 3600, 86400):
+        got = count_points_in_windows(df, probes, key="k", ts="ts", lo="lo", hi="hi", carry=["pid"], out="m", width=width)
         assert {r["pid"]: r["m"] for r in got.collect()} == {1: 50, 2: 50, 3: 1, 4: 0}
+    repeated = probes.drop("pid")
+    got = count_points_in_windows(df, repeated, key="k", ts="ts", lo="lo", hi="hi", carry=["k"], out="m")
+    assert sorted(r["m"] for r in got.collect()) == [0, 1, 50, 50]
 
 
-def test_ordered_concat_ranged_matches_collect(spark):
-    from switchboard.operators.sequence import ordered_concat
-    df = skewed(spark, n=2000).select(F.coalesce("k", F.lit("none")).alias("k"), F.lit("c").alias("c"), "ts", "id",
+def test_ordered_concat_matches_collect(spark):
+    df = skewed(spark, n=2000).select("k", F.lit("c").alias("c"), "ts", "id",
                                       F.when(F.col("id") % 13 == 0, F.lit(None)).when(F.col("id") % 17 == 0, F.lit(""))
                                       .otherwise(F.col("v").cast("string")).alias("s"))
-    a = ordered_concat(df, ["k", "c"], ["ts", "id"], "s", " > ", "path", num_partitions=7, strategy="ranged")
-    b = ordered_concat(df, ["k", "c"], ["ts", "id"], "s", " > ", "path", strategy="window")
+    a = ordered_concat(df, ["k", "c"], "ts", ["id"], "s", " > ", "path")
+    rows = F.array_sort(F.collect_list(F.struct("ts", "id", "s")))
+    b = df.groupBy("k", "c").agg(F.array_join(F.transform(rows, lambda x: x["s"]), " > ").alias("path"))
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
 
 
+def test_hot_key_is_many_groups(spark):
+    from switchboard.operators import timeline
+    df = skewed(spark, n=6000)
+    hot = df.where(F.col("k") == "HOT")
+    assert hot.count() > 6000 // 3 - 50   # about a third of all rows
+    groups = hot.groupBy(timeline.bucket(df, "ts").alias("b")).count().agg(F.max("count").alias("m"), F.count("*").alias("n")).first()
+    assert groups["n"] > 50 and groups["m"] < hot.count() / 10
+
+
 def test_hot_key_is_split_across_range_partitions(spark):
     df = skewed(spark, n=6000)
     assert df.where(F.col("k") == "HOT").count() > 6000 // 3 - 50   # about a third of all rows

@@ -30,7 +30,7 @@ SIGNATURES = {
                                "current_queue_id bigint, role_on_program string",
     "vw_agent_scorecard": "agent_sk bigint, full_name string, site_code string, job_grade string, total_interactions bigint, "
                           "daily_records bigint, sum_adherence double, sum_aht double",
-    "vw_attrition_risk": "agent_sk bigint, agent_id bigint, full_name string, site_code string, adherence_90d decimal(.,6), "
+    "vw_attrition_risk": "agent_sk bigint, agent_id bigint, full_name string, site_code string, adherence_90d decimal(.,9), "
                          "notice_events bigint, attrition_risk string",
     "vw_queue_sla_attainment": "queue_code string, media_type string, date_key bigint, sl_pct double, "
                                "sl_target decimal(.,4), attainment string",

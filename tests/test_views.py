@@ -130,17 +130,42 @@ def test_repeat_contact_window_matches_brute_force_on_fixture(spark):
     assert got == expected
 
 
-def test_left_join_on_true_branches(spark):
-    left = spark.createDataFrame([(1,), (2,)], "a long")
-    right = spark.createDataFrame([(10,), (20,), (30,)], "b long")
+def test_left_join_on_true_on_a_grid(spark):
+    left = spark.createDataFrame([(1,), (2,), (2,), (None,)], "a long")
+    right = spark.createDataFrame([(10,), (20,), (20,), (None,)], "b long")
     empty = spark.createDataFrame([], "b long")
-    small = V.left_join_on_true(left, right)
-    assert small.count() == 6
-    assert "BroadcastNestedLoopJoin" in small._jdf.queryExecution().executedPlan().toString()
-    big = V.left_join_on_true(left, right, max_broadcast_rows=2)
-    assert big.count() == 6 and sorted(map(tuple, big.collect())) == sorted(map(tuple, small.collect()))
-    none = V.left_join_on_true(left, empty)
-    assert sorted(map(tuple, none.collect())) == [(1, None), (2, None)]
+    pairs = V.left_join_on_true(left, right)
+    key = lambda rows: sorted(map(tuple, rows), key=repr)
+    assert key(pairs.collect()) == key((a["a"], b["b"]) for a in left.collect() for b in right.collect())
+    plan = pairs._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert key(V.left_join_on_true(left, empty).collect()) == key((a["a"], None) for a in left.collect())
+    assert V.left_join_on_true(empty, right).collect() == []
+
+
+def test_hierarchy_guards(spark):
+    """Depth over the guard, orphans, cycles and a root without a child."""
+    chain = [(i, i - 1 if i > 1 else None) for i in range(1, 11)]
+    rows = chain + [(20, 99), (21, 20), (30, 31), (31, 30), (40, None), (41, 41)]
+    df = spark.createDataFrame([(i, p, f"c{i}", f"n{i}", "T", "S") for i, p in rows],
+                               "org_unit_id long, parent_unit_id long, unit_code string, unit_name string, unit_type string, site_code string")
+    for depth in (0, 1, 2, 3, 6, 8):
+        got = {r["org_unit_id"]: (r["root_unit_id"], r["depth"], r["path_names"]) for r in V.org_hierarchy(df, depth).collect()}
+        want = {i: (1, i - 1, " > ".join(f"n{k}" for k in range(1, i + 1))) for i in range(1, min(10, depth + 1) + 1)} | {40: (40, 0, "n40")}
+        assert got == want
+
+
+def test_attrition_orders_by_nine_places(spark):
+    """Two means that agree to six places fall into different bands."""
+    agents = spark.createDataFrame([(i, i, f"a{i}", "S1", "ACTIVE", True) for i in range(1, 6)],
+                                   "agent_sk long, agent_id long, full_name string, site_code string, status string, is_current boolean")
+    days = [(5, f"{50 + (k == 0) * 0.01:.2f}") for k in range(30000)] + [(4, f"{50 + (k == 0) * 0.01:.2f}") for k in range(20000)]
+    days += [(1, "10.00"), (2, "20.00"), (3, "90.00")]
+    adh = spark.createDataFrame(days, "agent_sk long, p string").select("agent_sk", F.col("p").cast("decimal(5,2)").alias("adherence_pct"))
+    none = spark.createDataFrame([], "agent_id long")
+    weekly = spark.createDataFrame([], "agent_sk long")
+    out = {r["agent_sk"]: r["adherence_90d"] for r in V.attrition_risk(adh, none, weekly, agents).collect()}
+    assert out[5] < out[4] and round(out[5], 6) == round(out[4], 6)
 
 
 def test_attrition_banding(spark):

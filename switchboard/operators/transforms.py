@@ -1,4 +1,4 @@
-"""Layer transforms: staging -> ods -> dm.
+"""Layer transforms: staging -> ods -> dm (T1-T42; T6 is in ``operators.changelog``).
 
 The reference fixes only the source and target tables of these jobs; the
 rules below that it does not fix are chosen here and named in each
@@ -20,7 +20,6 @@ from .ordered import with_global_row_number
 from .timeline import ordered_concat, with_next, with_previous
 
 # --- fixed values chosen here ----------------------------------------------
-OP_RANK = {"I": 0, "U": 1, "D": 2}          # at equal change time a delete wins
 MILLIS_THRESHOLD = 100_000_000_000          # a "seconds" value above this is millis
 SL_THRESHOLD_SECONDS = 20
 INTERVAL_MINUTES = 30
@@ -63,31 +62,6 @@ def promote_partition_string(m) -> Column:
     return F.to_date(F.concat(X.col(m), F.lit("-01")), "yyyy-MM-dd")
 
 
-def cdc_delta_merge(current: DataFrame, changes: DataFrame, keys: list[str], payload: list[str],
-                    change_col: str = "change_ms", extract_col: str = "extract_ts",
-                    op_col: str = "op") -> DataFrame:
-    """Apply a change feed (op I/U/D, change time in ms) to the current table.
-
-    Current rows carry ``last_change_ts``; base and changes are unioned and the
-    latest version per key wins (order: change time, then extract date, then
-    I < U < D). Keys whose latest version is a delete are dropped. The
-    "latest" is a max-by aggregate, so partial aggregation keeps one row per
-    key per task before the shuffle.
-    """
-    cur = current.select(*keys, *payload, X.epoch_millis("last_change_ts").alias("_ms"),
-                         F.lit(None).cast("date").alias("_x"), F.lit("U").alias("_op"))
-    chg = changes.select(*keys, *payload, F.col(change_col).alias("_ms"), F.col(extract_col).alias("_x"),
-                         F.col(op_col).alias("_op"))
-    u = cur.unionByName(chg)
-    op = F.col("_op")
-    rank = F.when(op == "D", OP_RANK["D"]).when(op == "U", OP_RANK["U"]).otherwise(OP_RANK["I"])
-    order = F.struct(F.col("_ms"), F.col("_x"), rank)
-    latest = (u.groupBy(*keys).agg(F.max_by(F.struct(*payload, "_ms", "_op"), order).alias("_v"))
-              .select(*keys, *[F.col(f"_v.{c}").alias(c) for c in payload], "_v._ms", "_v._op"))
-    return (latest.where(F.col("_op") != "D")
-            .select(*keys, *payload, X.millis_to_ts("_ms").alias("last_change_ts")))
-
-
 def _signature(cols: list[str]) -> Column:
     return F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in cols])
 

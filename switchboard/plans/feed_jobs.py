@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..operators import changelog
 from ..operators import transforms as T
 from ..operators.tables import scratch_path
 from ..sources import bridge as B
@@ -33,9 +34,8 @@ def pipe_delta_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "stg_tkt_worklog_delta")
     landed.write.option("sep", "|").option("header", "false").partitionBy("extract_ts").csv(path)
     feed = feeds.read_pipe_delta(spark, path, "stg_tkt_worklog_delta")
-    empty = spark.createDataFrame([], "worklog_id long, ticket_id long, agent_id long, minutes_logged long, "
-                                      "log_ms long, note string, last_change_ts timestamp_ntz")
-    merged = T.cdc_delta_merge(empty, feed, ["worklog_id"], ["ticket_id", "agent_id", "minutes_logged", "log_ms", "note"])
+    payload = ["ticket_id", "agent_id", "minutes_logged", "log_ms", "note"]
+    merged = changelog.current(changelog.merge(None, feed, ["worklog_id"], payload), ["worklog_id"], payload)
     return merged.select("worklog_id", "ticket_id", "agent_id", "minutes_logged", X.millis_to_ts("log_ms").alias("log_ts"),
                          "note", "last_change_ts")
 

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..operators import transforms as T
+from ..operators.changelog import ChangeLog
+from ..operators.tables import scratch_path
 from ..sources import bridge as B
 from ..sources.warehouse import Warehouse
 from . import views as V
@@ -84,15 +86,13 @@ def promote_partition_string(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- T6-T9: merge, history, upsert, snapshot ---------------------------------
 
 def cdc_delta_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two increments: the first half of the month seeds the table, the second
-    half is merged into it."""
+    """Two increments of a stored change log: the first half of the month, then the second."""
     feed = _change_feed(_fx(spark, sf_dir))
     cut = F.lit(dt.date(2024, 1, 15))
-    empty = feed.where(F.lit(False)).select("user_id", "event_type", "value",
-                                            X.millis_to_ts("change_ms").alias("last_change_ts"))
-    payload = ["event_type", "value"]
-    first = T.cdc_delta_merge(empty, feed.where(F.col("extract_ts") < cut), ["user_id"], payload)
-    return T.cdc_delta_merge(first, feed.where(F.col("extract_ts") >= cut), ["user_id"], payload)
+    log = ChangeLog(spark, scratch_path(spark, "cdc_delta_merge"), ["user_id"], ["event_type", "value"])
+    log.append(feed.where(F.col("extract_ts") < cut), 0)
+    log.append(feed.where(F.col("extract_ts") >= cut), 1)
+    return log.current()
 
 
 def scd2_build(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.changelog import ChangeLog
 from ..operators.tables import scratch_path
 from ..sources import bridge as B
 from ..streaming import jobs as S
@@ -36,7 +37,7 @@ def cdc_merge_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = _change_feed(fx.with_tables({"events": fx.stream("events")}))
     target, ck = scratch_path(spark, "cdc_merge_stream"), scratch_path(spark, "cdc_merge_stream_ck")
     _run(S.cdc_merge_stream(changes, ["user_id"], ["event_type", "value"], target, ck))
-    return spark.read.parquet(target).select("user_id", "event_type", "value", "last_change_ts")
+    return ChangeLog(spark, target, ["user_id"], ["event_type", "value"]).current()
 
 
 SESSION_GAP = "30 minutes"

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .plans import access as A
+from .plans import change_jobs as CJ
 from .plans import corrected as C
 from .plans import feed_jobs as FJ
 from .plans import layer_jobs as J
@@ -107,7 +108,7 @@ for _t in A.SCAN_PREDICATES:
     QUERIES[f"scan_count_{_t}"] = _scan(_t)
 
 
-for _name, _fn in {**J.JOBS, **TJ.TABLE_JOBS, **SJ.STREAM_JOBS, **FJ.FEED_JOBS}.items():
+for _name, _fn in {**J.JOBS, **TJ.TABLE_JOBS, **SJ.STREAM_JOBS, **FJ.FEED_JOBS, **CJ.CHANGE_JOBS}.items():
     QUERIES[_name] = (lambda f: (lambda spark, sf_dir: _compare(f(spark, sf_dir))))(_fn)
 
 
@@ -118,4 +119,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     from .oracle import ORACLE
     from .oracle_layers import ORACLE_LAYERS
-    return {k: v for k, v in {**ORACLE, **ORACLE_LAYERS}.items() if k in QUERIES}
+    from .oracle_ods import ORACLE_ODS
+    return {k: v for k, v in {**ORACLE, **ORACLE_LAYERS, **ORACLE_ODS}.items() if k in QUERIES}

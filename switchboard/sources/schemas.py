@@ -239,6 +239,18 @@ def empty(spark, table: str):
     return spark.createDataFrame([], schema(table))
 
 
+def ntz_schema(table: str):
+    """The declared schema with TIMESTAMP as TIMESTAMP_NTZ (UTC), as the library's tables carry it."""
+    from pyspark.sql.types import StructField, StructType, TimestampNTZType, TimestampType
+    return StructType([StructField(f.name, TimestampNTZType() if isinstance(f.dataType, TimestampType) else f.dataType) for f in schema(table)])
+
+
+def conform(df, table: str):
+    """The declared columns of ``table`` in their order, cast to their types; a column that is missing is an error."""
+    from pyspark.sql import functions as F
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ntz_schema(table)])
+
+
 def partition_columns(table: str) -> list[str]:
     """Folder partition columns as written by the table jobs: the date column,
     or ``<col>__bucket`` for integer-range partitioning."""

@@ -7,8 +7,8 @@ same results up to date from file streams:
 * S1 ``queue_hourly_stream`` - V16 as a watermarked 1-hour window
   aggregation; each micro-batch upserts the touched (queue, hour) groups
   into a date-partitioned table (dynamic overwrite of touched dates only);
-* S2 ``cdc_merge_stream`` - T6 per micro-batch: the batch is merged into
-  the current table, rewriting only the hash buckets of the touched keys;
+* S2 ``cdc_merge_stream`` - T6: each micro-batch is an increment of a change
+  log with tombstones, merged when it is read;
 * S3 ``session_stream`` - gap-based sessions (``session_window``) per
   customer, upserted by (customer, session start).
 
@@ -25,12 +25,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import exprs as X
-from ..operators import transforms as T
+from ..operators.changelog import ChangeLog
 from ..operators.tables import BUCKET_SUFFIX, DATE_KEY_RANGE, range_bucket
 from ..session import ensure_checkpoint_dir
 
-KEY_BUCKETS = 64
-
 
 def _exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -82,48 +80,20 @@ def queue_hourly_stream(fact_queue_interval: DataFrame, target: str, checkpoint:
 
 def cdc_merge_stream(changes: DataFrame, keys: list[str], payload: list[str], target: str, checkpoint: str,
                      available_now: bool = True) -> StreamingQuery:
-    """Apply a change feed micro-batch by micro-batch (T6 per batch).
+    """A change feed as increments of the change log at ``target`` (T6), one a micro-batch.
 
-    The target is partitioned by a hash bucket of the key; a batch reads and
-    rewrites only the buckets its keys fall into.
+    A micro-batch is written as its number's increment and rewrites nothing; a
+    replayed one replaces itself. Deletes are kept, so a late update does not
+    bring a row back. Readers take ``ChangeLog(...).current()``; compaction is
+    a job of its own.
     """
-    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(KEY_BUCKETS)).cast("int")
-
-    def write(batch: DataFrame, _epoch: int) -> None:
-        spark = batch.sparkSession
-        ensure_checkpoint_dir(spark)
-        batch = batch.withColumn("_bucket", bucket)
-        touched = batch.select("_bucket").distinct()
-        if _exists(spark, target):
-            current = spark.read.parquet(target).join(touched, "_bucket", "left_semi").drop("_bucket")
-        else:
-            current = batch.where(F.lit(False)).select(*keys, *payload,
-                                                       X.millis_to_ts("change_ms").alias("last_change_ts"))
-        merged = T.cdc_delta_merge(current, batch.drop("_bucket"), keys, payload).withColumn("_bucket", bucket)
-        # cut the read of the target before overwriting its buckets
-        merged = merged.checkpoint(eager=True)
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("_bucket").parquet(target))
-        _clear_emptied_buckets(spark, target, touched, merged)
+    def write(batch: DataFrame, epoch: int) -> None:
+        ChangeLog(batch.sparkSession, target, keys, payload).append(batch, epoch)
 
     w = changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if available_now else w).start()
 
 
-def _clear_emptied_buckets(spark: SparkSession, target: str, touched: DataFrame, merged: DataFrame) -> None:
-    """Buckets touched by the batch whose every key was deleted: remove them
-    (dynamic overwrite leaves partitions absent from the output alone).
-    Bounded by the bucket count."""
-    emptied = touched.join(merged.select("_bucket").distinct(), "_bucket", "left_anti").collect()
-    if not emptied:
-        return
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(target)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for r in emptied:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"_bucket={r['_bucket']}"), True)
-
-
 def session_stream(events: DataFrame, key: str, ts: str, gap: str, target: str, checkpoint: str,
                    watermark: str = "1 hour", available_now: bool = True,
                    output_mode: str = "append") -> StreamingQuery:

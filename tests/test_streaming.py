@@ -3,7 +3,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from switchboard.operators import transforms as T
+from switchboard.operators import changelog
 from switchboard.operators.tables import scratch_path
 from switchboard.plans import views as V
 from switchboard.sources import bridge as B
@@ -58,8 +58,7 @@ def test_cdc_merge_stream_over_three_batches(spark):
     q = S.cdc_merge_stream(changes, ["user_id"], ["event_type", "value"], target, ck)
     q.awaitTermination(600)
     assert q.exception() is None
-    got = spark.read.parquet(target).select("user_id", "event_type", "value", "last_change_ts")
-    empty = spark.createDataFrame([], "user_id long, event_type string, value double, last_change_ts timestamp_ntz")
-    exp = T.cdc_delta_merge(empty, _change_feed(fx), ["user_id"], ["event_type", "value"])
+    got = changelog.ChangeLog(spark, target, ["user_id"], ["event_type", "value"]).current()
+    exp = changelog.current(changelog.merge(None, _change_feed(fx), ["user_id"], ["event_type", "value"]), ["user_id"], ["event_type", "value"])
     assert got.count() == exp.count() and got.exceptAll(exp).count() == 0
     assert os.path.isdir(_local(target))

@@ -6,28 +6,6 @@ from pyspark.sql import functions as F
 from switchboard.operators import transforms as T
 
 
-def feed(spark, rows):
-    return spark.createDataFrame(rows, "id long, a string, op string, change_ms long, extract_ts date")
-
-
-def test_cdc_merge_latest_wins_and_deletes_drop(spark):
-    d = dt.date(2024, 1, 1)
-    ch = feed(spark, [(1, "x", "I", 10, d), (1, "y", "U", 20, d), (2, "p", "I", 10, d), (2, None, "D", 30, d),
-                      (3, "q", "U", 5, d), (3, "r", "D", 5, d)])
-    empty = spark.createDataFrame([], "id long, a string, last_change_ts timestamp_ntz")
-    out = {r["id"]: r["a"] for r in T.cdc_delta_merge(empty, ch, ["id"], ["a"]).collect()}
-    assert out == {1: "y"}          # 2 deleted later; 3: delete wins a tie
-
-
-def test_cdc_merge_is_idempotent(spark):
-    d = dt.date(2024, 1, 1)
-    ch = feed(spark, [(1, "x", "I", 10, d), (2, "y", "U", 20, d)])
-    empty = spark.createDataFrame([], "id long, a string, last_change_ts timestamp_ntz")
-    once = T.cdc_delta_merge(empty, ch, ["id"], ["a"])
-    twice = T.cdc_delta_merge(once, ch, ["id"], ["a"])
-    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
-
-
 def test_scd2_versions_do_not_overlap(spark):
     t0 = dt.datetime(2024, 1, 1)
     rows = [(1, "A", t0 + dt.timedelta(days=i), i) for i in range(6)]

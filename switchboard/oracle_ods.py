@@ -79,4 +79,58 @@ SELECT p_partkey AS rate_card_id, p_partkey % 25 AS program_id, p_brand AS servi
        CASE WHEN p_partkey % 3 = 0 THEN DATE '2001-10-02' ELSE DATE '2001-10-01' END AS snapshot_date
 FROM part LEFT JOIN stands s ON s.card = p_partkey"""
 
+# ---- histories --------------------------------------------------------------------
+
+_LINE = "(l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey * 10 + l_suppkey % 10"
+
+
+def _runs(states: str, keys: str, attributes: list[str], id_col: str, here: str = "TRUE") -> str:
+    """CTEs and SELECT: runs of equal states of states(keys, t, attributes)."""
+    was = " OR ".join(f"{a} IS DISTINCT FROM lag({a}) OVER w" for a in [*attributes, "here"])
+    ident = " || '|' || ".join(f"CAST({k} AS VARCHAR)" for k in keys.split(", "))
+    return f"""told AS (SELECT *, {here} AS here FROM {states}),
+starts AS (SELECT *, row_number() OVER w = 1 OR {was} AS opens FROM told WINDOW w AS (PARTITION BY {keys} ORDER BY t)),
+runs AS (SELECT *, lead(t) OVER (PARTITION BY {keys} ORDER BY t) AS eff_to_ts FROM starts WHERE opens)
+SELECT sha256({ident} || '|' || CAST(epoch_us(t) AS VARCHAR)) AS {id_col}, {keys}, {', '.join(attributes)}, t AS eff_from_ts, eff_to_ts,
+       eff_to_ts IS NULL AS is_current, CAST(year(t) AS BIGINT) AS eff_from_year FROM runs WHERE here"""
+
+
+_MASTER = {"employee_no": "'E' || CAST(o_custkey AS VARCHAR)", "org_unit_id": "o_custkey % 40", "job_grade": "o_orderpriority",
+           "employment_type": "CASE WHEN o_custkey % 3 = 0 THEN 'PART' ELSE 'FULL' END",
+           "status": "CASE WHEN o_orderkey % 50 <> 0 THEN o_orderstatus END"}
+_EVENT = {"org_unit_id": "CASE WHEN l_linenumber % 4 IN (0, 2) AND l_suppkey % 9 <> 0 THEN {'v': l_suppkey % 40} END",
+          "status": "CASE l_linenumber % 4 WHEN 1 THEN {'v': 'TERM'} WHEN 2 THEN {'v': 'ACTIVE'} END"}
+
+SQL["agent_history"] = f"""WITH said AS (
+  SELECT o_custkey AS agent_id, CAST(o_orderdate AS DATE)::TIMESTAMP AS t, 0 AS r, o_orderkey AS tie, {', '.join(f"{{'v': {v}}} AS {k}" for k, v in _MASTER.items())} FROM orders
+  UNION ALL BY NAME
+  SELECT l_partkey % 1500 AS agent_id, l_shipdate AS t, 1 AS r, {_LINE} AS tie, {', '.join(f"{v} AS {k}" for k, v in _EVENT.items())} FROM lineitem),
+known AS (SELECT agent_id, t, {', '.join(f"last_value({a} IGNORE NULLS) OVER w AS {a}" for a in _MASTER)}, row_number() OVER (PARTITION BY agent_id, t ORDER BY r DESC, tie DESC) AS n
+          FROM said WINDOW w AS (PARTITION BY agent_id ORDER BY t, r, tie ROWS UNBOUNDED PRECEDING)),
+states AS (SELECT agent_id, t, {', '.join(f"{a}.v AS {a}" for a in _MASTER)} FROM known WHERE n = 1),
+{_runs('states', 'agent_id', list(_MASTER), 'agent_history_id')}"""
+
+
+def _intervals(keys: dict[str, str], attributes: dict[str, str], every: int, id_col: str, once: str = "") -> str:
+    """Openings and the ends of what holds then, by one window a key."""
+    names = ", ".join(keys)
+    return f"""rows AS (SELECT {', '.join(f"{v} AS {k}" for k, v in {**keys, **attributes}.items())}, {_LINE} AS id, l_shipdate AS t0,
+      CASE WHEN l_partkey % {every} = 0 THEN l_shipdate + to_days(CAST(CASE WHEN l_quantity = 7 THEN -1 ELSE l_quantity * 20 END AS INTEGER)) END AS t1 FROM lineitem{once}),
+good AS (SELECT * FROM rows WHERE t1 IS NULL OR t1 > t0),
+acts AS (SELECT {names}, t0 AS t, 1 AS kind, id, {{'id': id, {', '.join(f"'{a}': {a}" for a in attributes)}}} AS opened FROM good
+         QUALIFY row_number() OVER (PARTITION BY {names}, t0 ORDER BY id DESC, {', '.join(f'{a} DESC' for a in attributes)}) = 1
+         UNION ALL SELECT {names}, t1, 0, id, NULL FROM good WHERE t1 IS NOT NULL),
+holds AS (SELECT *, last_value(opened IGNORE NULLS) OVER (PARTITION BY {names} ORDER BY t, kind, id ROWS UNBOUNDED PRECEDING) AS cur FROM acts),
+states AS (SELECT {names}, t, max(kind) AS kind, {', '.join(f"any_value(opened.{a}) FILTER (WHERE kind = 1) AS {a}" for a in attributes)}
+           FROM holds WHERE kind = 1 OR cur.id = id GROUP BY {names}, t),
+{_runs('states', names, list(attributes), id_col, 'kind = 1')}"""
+
+
+SQL["agent_skill_history"] = f"""WITH h AS (WITH {_intervals({'agent_id': 'l_suppkey', 'skill_id': 'l_partkey % 20'},
+    {'proficiency': 'CAST(l_linenumber AS BIGINT)', 'certified': "l_returnflag = 'R'"}, 3, 'agent_skill_history_id',
+    ' QUALIFY row_number() OVER (PARTITION BY id ORDER BY CAST(t0 AS DATE) DESC, agent_id DESC, skill_id DESC, proficiency DESC, certified DESC, t0 DESC, t1 DESC NULLS LAST) = 1')})
+SELECT h.*, n.n_name AS skill_code FROM h LEFT JOIN nation n ON n.n_nationkey = h.skill_id AND n.n_nationkey < 18"""
+SQL["agent_assignment_history"] = "WITH " + _intervals({'agent_id': 'l_suppkey', 'program_id': 'l_partkey % 25'},
+    {'queue_id': 'l_orderkey % 100', 'role_on_program': 'l_returnflag'}, 2, 'assignment_history_id')
+
 ORACLE_ODS = SQL

@@ -18,6 +18,7 @@ from .plans import access as A
 from .plans import change_jobs as CJ
 from .plans import corrected as C
 from .plans import feed_jobs as FJ
+from .plans import history_jobs as HJ
 from .plans import layer_jobs as J
 from .plans import stream_jobs as SJ
 from .plans import table_jobs as TJ
@@ -108,7 +109,7 @@ for _t in A.SCAN_PREDICATES:
     QUERIES[f"scan_count_{_t}"] = _scan(_t)
 
 
-for _name, _fn in {**J.JOBS, **TJ.TABLE_JOBS, **SJ.STREAM_JOBS, **FJ.FEED_JOBS, **CJ.CHANGE_JOBS}.items():
+for _name, _fn in {**J.JOBS, **TJ.TABLE_JOBS, **SJ.STREAM_JOBS, **FJ.FEED_JOBS, **CJ.CHANGE_JOBS, **HJ.HISTORY_JOBS}.items():
     QUERIES[_name] = (lambda f: (lambda spark, sf_dir: _compare(f(spark, sf_dir))))(_fn)
 
 

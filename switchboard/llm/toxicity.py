@@ -11,12 +11,15 @@ every text is scored whole.
 
 Results for odd input: null, empty and blank texts have no feature and get
 the model's base score; without labelled rows of both kinds every score is 0;
-repeated rows are scored each; a null doc_id is scored and not held out.
+repeated rows are scored each; a null doc_id is scored and not held out; a
+text of any length is scored whole; a score at the threshold is toxic; other
+columns, whatever their names, are passed through.
 """
 
 from __future__ import annotations
 
 import re
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +32,8 @@ from .labelled import labelled_sample
 
 SAMPLE, LONGEST = 4000, 65_536
 SLOTS, PIECES = 1 << 20, (4, 5)
+#: bytes of text whose features are made at once on the driver
+AT_ONCE = 1 << 20
 LEAST_DOCS, LEAST_CHI2, STEPS, L1, FAIR = 4, 12.0, 800, 1e-4, 1.0
 
 # Identity terms by language, each list of one kind of word so that swapped sentences stay well-formed.
@@ -94,39 +99,94 @@ def _swapped(text: str) -> list[tuple[str, str]]:
     return out
 
 
+def _in_turn(texts: list[bytes]):
+    """(first number, texts) in runs of about ``AT_ONCE`` bytes: features take tens of bytes a byte of text."""
+    i = 0
+    while i < len(texts):
+        j, size = i, 0
+        while j < len(texts) and (j == i or size + len(texts[j]) <= AT_ONCE):
+            size += len(texts[j])
+            j += 1
+        yield i, texts[i:j]
+        i = j
+
+
+class _Pairs:
+    """The swapped sentences' features: a pair that is there n times is held once, with weight n."""
+
+    def __init__(self, index: np.ndarray):
+        self.index, self.number, self.weight, self.parts = index, {}, [], []
+        self.waiting: list[tuple[str, str]] = []
+        self.size = 0
+
+    def add(self, text: str) -> None:
+        for pair in _swapped(text):
+            key = blake2b("\0".join(pair).encode(), digest_size=16).digest()
+            at = self.number.setdefault(key, len(self.weight))
+            if at < len(self.weight):
+                self.weight[at] += 1
+                continue
+            self.weight.append(1)
+            self.waiting.append(pair)
+            self.size += 2 * len(pair[0])
+            if self.size > AT_ONCE:
+                self._take()
+
+    def _take(self) -> None:
+        first = len(self.weight) - len(self.waiting)
+        for side, sign in ((0, -1.0), (1, 1.0)):
+            row, col = _present(B.flat(pa.array([p[side] for p in self.waiting])), self.index)
+            self.parts.append((row + first, col, np.full(len(row), sign)))
+        self.waiting, self.size = [], 0
+
+    def arrays(self):
+        """(pair, feature, -1 of the sentence or 1 of the swapped one, weight of each pair)"""
+        if self.waiting:
+            self._take()
+        row, col, sign = (np.concatenate(x) for x in zip(*self.parts))
+        return row, col, sign, np.array(self.weight, np.float64)
+
+
 def fit(sample: list[tuple[bytes, int]]):
-    """(slots, weights, bias), None where a label is missing."""
+    """(slots, weights, bias), None where a label is missing.
+
+    Two passes over the texts, a run at a time: counts of each slot choose the
+    features, then only these are kept.
+    """
     y = np.array([v for _, v in sample], np.float64)
     if len(set(y.tolist())) < 2:
         return None
-    texts = [t.decode("utf-8", "replace") for t, _ in sample]
-    pairs = [p for t in texts for p in _swapped(t)]
-    rows, cols = [], []
-    for i in range(0, len(texts), 200):
-        r, c = _present(B.flat(pa.array(texts[i: i + 200])), None)
-        rows.append(r + i)
-        cols.append(c)
-    rows, cols = np.concatenate(rows), np.concatenate(cols)
-    a = np.bincount(cols, y[rows], SLOTS)
-    b = np.bincount(cols, 1 - y[rows], SLOTS)
+    texts = [t for t, _ in sample]
+    a, both, terms = np.zeros(SLOTS), np.zeros(SLOTS), set()
+    for i, part in _in_turn(texts):
+        r, c = _present(B.flat(pa.array([t.decode("utf-8", "replace") for t in part])), None)
+        a += np.bincount(c, y[i + r], SLOTS)
+        both += np.bincount(c, minlength=SLOTS)
+        for t in part:
+            terms.update(_TERM.findall(t.decode("utf-8", "replace")))
+    b = both - a
     pos, neg = y.sum(), (1 - y).sum()
     total = pos + neg
-    both = a + b
     with np.errstate(divide="ignore", invalid="ignore"):
         chi2 = total * (a * (neg - b) - b * (pos - a)) ** 2 / (pos * neg * both * (total - both))
     chosen = np.flatnonzero((both >= min(LEAST_DOCS, pos)) & ~(chi2 < LEAST_CHI2) & (both < total))
-    if pairs:  # the terms' own features stay in, so that the penalty can act on them
-        chosen = np.union1d(chosen, np.unique(_present(B.flat(pa.array(sorted({t for p in pairs for s in p for t in _TERM.findall(s)}))), None)[1]))
+    if terms:  # the terms' own features stay in, so that the penalty can act on them
+        terms |= {x for t in terms for x in _SWAP[t.lower()]}
+        chosen = np.union1d(chosen, np.unique(_present(B.flat(pa.array(sorted(terms))), None)[1]))
     index = np.full(SLOTS, -1, np.int64)
     index[chosen] = np.arange(len(chosen))
-    keep = index[cols] >= 0
-    rows, cols = rows[keep], index[cols[keep]]
+    held, swaps = [], _Pairs(index)
+    for i, part in _in_turn(texts):
+        r, c = _present(B.flat(pa.array([t.decode("utf-8", "replace") for t in part])), index)
+        held.append((r + i, c))
+        for t in part:
+            swaps.add(t.decode("utf-8", "replace"))
+    rows, cols = (np.concatenate(x) for x in zip(*held))
     weight = np.where(y == 1, 0.5 / pos, 0.5 / neg)
+    pairs = bool(swaps.weight)
     if pairs:
-        one = _present(B.flat(pa.array([p[0] for p in pairs])), index)
-        two = _present(B.flat(pa.array([p[1] for p in pairs])), index)
-        prow, pcol = np.concatenate([one[0], two[0]]), np.concatenate([one[1], two[1]])
-        sign = np.concatenate([-np.ones(len(one[0])), np.ones(len(two[0]))])
+        prow, pcol, sign, times = swaps.arrays()
+        times /= times.sum()
     n = len(chosen)
     w, bias, v, vb, t = np.zeros(n), 0.0, np.zeros(n), 0.0, 1.0
 
@@ -135,7 +195,7 @@ def fit(sample: list[tuple[bytes, int]]):
         s = 0.25 * weight * (np.bincount(rows, x[cols], len(y)) + x0)
         out = np.bincount(cols, s[rows], n)
         if pairs:
-            out = out + FAIR * np.bincount(pcol, sign * np.bincount(prow, sign * x[pcol], len(pairs))[prow], n) / len(pairs)
+            out = out + FAIR * np.bincount(pcol, sign * (times * np.bincount(prow, sign * x[pcol], len(times)))[prow], n)
         return out, s.sum()
     d, d0 = np.ones(n), 1.0
     for _ in range(30):  # power iteration
@@ -147,8 +207,8 @@ def fit(sample: list[tuple[bytes, int]]):
         d = weight * (1 / (1 + np.exp(-s)) - y)
         g, gb = np.bincount(cols, d[rows], n), d.sum()
         if pairs:
-            change = np.bincount(prow, sign * v[pcol], len(pairs))
-            g = g + FAIR * np.bincount(pcol, sign * change[prow], n) / len(pairs)
+            change = times * np.bincount(prow, sign * v[pcol], len(times))
+            g = g + FAIR * np.bincount(pcol, sign * change[prow], n)
         new = v - step * g
         new = np.sign(new) * np.maximum(np.abs(new) - step * L1, 0)
         new_b = vb - step * gb
@@ -167,12 +227,18 @@ def scores(model, f: B.Flat) -> np.ndarray:
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs``(doc_id, text, ...) with all their columns, and _held_out, _score, _predicted.
+    """The rows of ``docs``(doc_id, text, ...) with all their columns, and _held_out, _score, _predicted (which replace
+    columns of these names).
 
     Learns from ``labels``(doc_id, toxic) where ``held_out`` (over doc_id) is false.
     """
     model = fit(labelled_sample(docs, labels, "toxic", ~held_out, SAMPLE, LONGEST))
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    own = ("_held_out", "_score", "_predicted")
+    carried = [c for c in docs.columns if c not in own]
+    beside = [c for c in carried if c != "text"]
+    taken = docs.select(F.struct(*[F.col(f"`{c}`") for c in beside]).alias("_row"), F.col("text").cast("string").alias("text"),
+                        F.coalesce(held_out, F.lit(False)).alias("_held_out"))
 
     def run(batches):
         m = sent.value
@@ -185,6 +251,6 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, held_out: Column, thresh
                 score = np.zeros(part.num_rows) if m is None else scores(m, B.flat(part.column(part.schema.get_field_index("text"))))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score)], names=[*part.schema.names, "_score"])
 
-    taken = docs.withColumn("text", F.col("text").cast("string")).withColumn("_held_out", F.coalesce(held_out, F.lit(False)))
     schema = T.StructType([*taken.schema.fields, T.StructField("_score", T.DoubleType())])
-    return taken.mapInArrow(run, schema).withColumn("_predicted", (F.col("_score") >= threshold).cast("int"))
+    return taken.mapInArrow(run, schema).select(*[F.col("text") if c == "text" else F.col(f"_row.`{c}`") for c in carried],
+                                                "_held_out", "_score", (F.col("_score") >= threshold).cast("int").alias("_predicted"))

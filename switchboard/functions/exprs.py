@@ -84,6 +84,28 @@ def safe_pct(num, den) -> Column:
     return safe_divide(num, F.nullif(col(den), F.lit(0))) * F.lit(100.0)
 
 
+def _nearest(num: Column, den: Column) -> Column:
+    """num / den to the nearest whole number (halves up) in whole-number arithmetic, NULL on a zero divisor."""
+    n, d = num.cast("decimal(38,0)") * 2 + den.cast("decimal(38,0)"), den.cast("decimal(38,0)") * 2
+    whole = F.floor(F.try_divide(n - F.pmod(n, F.nullif(d, F.lit(0))), d))
+    return F.when(den > 0, whole)
+
+
+def ratio0(num: Column, den: Column, kind: str) -> Column:
+    """num hundredths / den as a two-place decimal, halves up; NULL when den is not positive or the type too narrow."""
+    return (_nearest(num, den).cast("decimal(36,2)") / 100).cast("decimal(36,2)").try_cast(kind)
+
+
+def ratio2(num: Column, den: Column, kind: str) -> Column:
+    """num / den as a two-place decimal, halves up, without a double in between."""
+    return ratio0(num * 100, den, kind)
+
+
+def pct2(num: Column, den: Column) -> Column:
+    """100 * num / den as DECIMAL(5,2)."""
+    return ratio0(num * 10000, den, "decimal(5,2)")
+
+
 def extract_or_null(s, pattern: str, group: int = 1) -> Column:
     """REGEXP_EXTRACT returns NULL on no match; Spark returns ''."""
     return F.nullif(F.regexp_extract(col(s), pattern, group), F.lit(""))

@@ -20,6 +20,7 @@ from .plans import corrected as C
 from .plans import feed_jobs as FJ
 from .plans import history_jobs as HJ
 from .plans import layer_jobs as J
+from .plans import mart_jobs as MJ
 from .plans import stream_jobs as SJ
 from .plans import table_jobs as TJ
 from .plans import layered as L
@@ -109,7 +110,7 @@ for _t in A.SCAN_PREDICATES:
     QUERIES[f"scan_count_{_t}"] = _scan(_t)
 
 
-for _name, _fn in {**J.JOBS, **TJ.TABLE_JOBS, **SJ.STREAM_JOBS, **FJ.FEED_JOBS, **CJ.CHANGE_JOBS, **HJ.HISTORY_JOBS}.items():
+for _name, _fn in {**J.JOBS, **TJ.TABLE_JOBS, **SJ.STREAM_JOBS, **FJ.FEED_JOBS, **CJ.CHANGE_JOBS, **HJ.HISTORY_JOBS, **MJ.MART_JOBS}.items():
     QUERIES[_name] = (lambda f: (lambda spark, sf_dir: _compare(f(spark, sf_dir))))(_fn)
 
 
@@ -120,5 +121,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     from .oracle import ORACLE
     from .oracle_layers import ORACLE_LAYERS
+    from .oracle_marts import ORACLE_MARTS
     from .oracle_ods import ORACLE_ODS
-    return {k: v for k, v in {**ORACLE, **ORACLE_LAYERS, **ORACLE_ODS}.items() if k in QUERIES}
+    return {k: v for k, v in {**ORACLE, **ORACLE_LAYERS, **ORACLE_ODS, **ORACLE_MARTS}.items() if k in QUERIES}

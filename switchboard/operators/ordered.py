@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,13 +100,7 @@ def with_global_ntile(df: DataFrame, buckets: int, order_cols: list, out: str,
                       num_partitions: int | None = None) -> DataFrame:
     """NTILE(buckets) OVER (ORDER BY order_cols) without a single-partition window."""
     r = with_global_row_number(df, order_cols, "_sb_rn", num_partitions)
-    rn, total = F.col("_sb_rn"), F.col(_TOT)
-    base = F.floor(total / buckets)
-    rem = total % buckets
-    big = (base + 1) * rem  # rows held by the first ``rem`` larger buckets
-    tile = (F.when(rn <= big, F.floor((rn - 1) / (base + 1)) + 1)
-            .otherwise(rem + F.floor((rn - big - 1) / F.greatest(base, F.lit(1))) + 1))
-    return r.withColumn(out, tile.cast("bigint")).drop("_sb_rn", _TOT)
+    return r.withColumn(out, ntile_of(F.col("_sb_rn"), F.col(_TOT), buckets)).drop("_sb_rn", _TOT)
 
 
 def with_global_percent_rank(df: DataFrame, value: str, tiebreak: list, out: str,
@@ -122,3 +116,41 @@ def with_global_percent_rank(df: DataFrame, value: str, tiebreak: list, out: str
     j = r.join(firsts, r[value].eqNullSafe(firsts[value]), "inner").drop(firsts[value])
     pr = F.when(F.col(_TOT) <= 1, F.lit(0.0)).otherwise((F.col("_sb_rank") - 1) / (F.col(_TOT) - 1))
     return j.withColumn(out, pr.cast("double")).drop("_sb_rn", "_sb_rank", _TOT)
+
+
+def with_stepped_row_number(df: DataFrame, steps: list[Column], order_cols: list, out: str = "rn") -> DataFrame:
+    """ROW_NUMBER() OVER (ORDER BY order_cols) as one lazy plan: no range partitions, no checkpoint, no job before it is read.
+
+    ``steps`` are ever finer keys that the order goes through one after another (say the whole part of a value, the
+    value, a block of the tiebreak): a row's number is the rows of smaller first keys, plus those of the same first and a
+    smaller second key, and so on, plus its place within the last. Each is a window over counts within the key before,
+    so a window holds as many rows as a key has next keys; the first step's key should have few values. Also adds
+    ``_sb_total``, the number of rows.
+    """
+    names = [f"_sb_s{i}" for i in range(len(steps))]
+    # a struct, in which a NULL equals a NULL and comes first
+    x = df.withColumns({n: F.struct(c) for n, c in zip(names, steps)})
+    place = F.row_number().over(Window.partitionBy(*names).orderBy(*order_cols))
+    numbered = x.withColumn(out, place.cast("bigint"))
+    counts = x.groupBy(*names).agg(F.count(F.lit(1)).alias("_sb_n"))
+    ahead = None
+    for i in range(len(names)):
+        level = counts.groupBy(*names[: i + 1]).agg(F.sum("_sb_n").alias("_sb_n"))
+        inside = Window.partitionBy(*names[:i]) if i else Window.partitionBy()
+        before = inside.orderBy(names[i]).rowsBetween(Window.unboundedPreceding, -1)
+        cols = [*names[: i + 1], F.coalesce(F.sum("_sb_n").over(before), F.lit(0)).alias(f"_sb_a{i}")]
+        level = level.select(*cols, *([F.sum("_sb_n").over(inside).alias(_TOT)] if not i else []))
+        ahead = level if ahead is None else ahead.join(level, names[:i])
+    joined = numbered.join(ahead, names)
+    total = joined
+    for i in range(len(names)):
+        total = total.withColumn(out, F.col(out) + F.col(f"_sb_a{i}"))
+    return total.drop(*names, *[f"_sb_a{i}" for i in range(len(names))])
+
+
+def ntile_of(row_number: Column, total: Column, buckets: int) -> Column:
+    """NTILE(buckets) from a row number and the number of rows."""
+    base, rem = F.floor(total / buckets), total % buckets
+    big = (base + 1) * rem  # rows held by the first ``rem`` larger buckets
+    return (F.when(row_number <= big, F.floor((row_number - 1) / (base + 1)) + 1)
+            .otherwise(rem + F.floor((row_number - big - 1) / F.greatest(base, F.lit(1))) + 1)).cast("bigint")

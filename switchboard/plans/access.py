@@ -15,6 +15,9 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.tables import scratch_path
+from ..operators.zonemap import read_zoned, write_zoned
+
 
 def xjoin_staging(stg_fin_invoice: DataFrame, stg_fin_invoice_line: DataFrame) -> DataFrame:
     """Invoice header x line on invoice_id."""
@@ -42,41 +45,40 @@ def xjoin_dm(fact_interaction: DataFrame, dim_agent: DataFrame, dim_program: Dat
     return f.join(a, "agent_sk").join(p, "program_sk").select("interaction_id", "full_name", "program_name")
 
 
-# --- fixed values of the scan-comparison spec (must equal the reference) ---
-SCAN_PREDICATES = {
-    "fact_interaction": "date_key BETWEEN 20240101 AND 20240201 AND channel = 'VOICE'",
-    "fact_agent_activity": "agent_sk = 1",
-    "fact_queue_interval": "queue_sk = 1",
-    "fact_billing_line": "client_sk = 1 AND program_sk = 1",
-    "fact_csat_survey": "program_sk = 1",
-    "agg_agent_daily": "agent_sk = 1",
-    "agg_billing_monthly": "client_sk = 1 AND program_sk = 1",
-    "stg_tel_call": "load_date = '2026-06-02'",
+# --- fixed values of the scan-comparison spec (must equal the reference): column -> (lowest, highest) ---
+SCAN_CONDITIONS = {
+    "fact_interaction": {"date_key": (20240101, 20240201), "channel": ("VOICE", "VOICE")},
+    "fact_agent_activity": {"agent_sk": (1, 1)},
+    "fact_queue_interval": {"queue_sk": (1, 1)},
+    "fact_billing_line": {"client_sk": (1, 1), "program_sk": (1, 1)},
+    "fact_csat_survey": {"program_sk": (1, 1)},
+    "agg_agent_daily": {"agent_sk": (1, 1)},
+    "agg_billing_monthly": {"client_sk": (1, 1), "program_sk": (1, 1)},
+    "stg_tel_call": {"load_date": (dt.date(2026, 6, 2), dt.date(2026, 6, 2))},
 }
 
-
-def _predicate(table: str):
-    return {
-        "fact_interaction": (F.col("date_key").between(20240101, 20240201)) & (F.col("channel") == "VOICE"),
-        "fact_agent_activity": F.col("agent_sk") == 1,
-        "fact_queue_interval": F.col("queue_sk") == 1,
-        "fact_billing_line": (F.col("client_sk") == 1) & (F.col("program_sk") == 1),
-        "fact_csat_survey": F.col("program_sk") == 1,
-        "agg_agent_daily": F.col("agent_sk") == 1,
-        "agg_billing_monthly": (F.col("client_sk") == 1) & (F.col("program_sk") == 1),
-        "stg_tel_call": F.col("load_date") == F.lit(dt.date(2026, 6, 2)),
-    }[table]
+#: files that a scanned table is written in, at least
+LEAST_FILES = 8
 
 
 def scan_count(table: str):
-    """One row with COUNT(*) of the table and COUNT(*) under the predicate.
+    """COUNT(*) of the table and, in a scan of its own, COUNT(*) under the predicate.
 
-    One pass: the filtered count is a conditional count in the same
-    aggregate, so the table is scanned once.
+    The table is written clustered by the predicate's columns as the layout declares, with a zone map. The filtered
+    scan opens only the files whose zones meet the predicate: ``pruned`` says that it opened fewer than the full one,
+    by the file names that the rows of each scan come from.
     """
     def run(df: DataFrame) -> DataFrame:
-        pred = _predicate(table)
-        return df.agg(F.count(F.lit(1)).alias("full_count"),
-                      F.count(F.when(pred, F.lit(1))).alias("filtered_count"))
+        spark = df.sparkSession
+        path = scratch_path(spark, f"scan-{table}")
+        conditions = SCAN_CONDITIONS[table]
+        clusters = list(reversed(conditions))  # channel before date_key, as fact_interaction is clustered
+        write_zoned(df, path, clusters, num_partitions=max(LEAST_FILES, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+        found = read_zoned(spark, path, conditions)
+        file = F.col("_metadata.file_path")
+        full = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("full_count"), F.count_distinct(file).alias("_all"))
+        part = found.rows.agg(F.count(F.lit(1)).alias("filtered_count"), F.count_distinct(file).alias("_some"))
+        # one row each
+        return full.crossJoin(F.broadcast(part)).select("full_count", "filtered_count", (F.col("_some") < F.col("_all")).alias("pruned"))
     run.__name__ = f"scan_count_{table}"
     return run

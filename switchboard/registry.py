@@ -106,7 +106,7 @@ def _scan(table: str):
     return run
 
 
-for _t in A.SCAN_PREDICATES:
+for _t in A.SCAN_CONDITIONS:
     QUERIES[f"scan_count_{_t}"] = _scan(_t)
 
 
@@ -123,4 +123,5 @@ def oracle_sql() -> dict[str, str]:
     from .oracle_layers import ORACLE_LAYERS
     from .oracle_marts import ORACLE_MARTS
     from .oracle_ods import ORACLE_ODS
-    return {k: v for k, v in {**ORACLE, **ORACLE_LAYERS, **ORACLE_ODS, **ORACLE_MARTS}.items() if k in QUERIES}
+    from .oracle_views import ORACLE_VIEWS
+    return {k: v for k, v in {**ORACLE, **ORACLE_VIEWS, **ORACLE_LAYERS, **ORACLE_ODS, **ORACLE_MARTS}.items() if k in QUERIES}

@@ -398,7 +398,8 @@ def fact_billing_line(fx: Fixtures) -> DataFrame:
 def stg_tel_call(fx: Fixtures) -> DataFrame:
     return fx("orders").select(
         F.col("o_orderkey").alias("call_id"), (F.col("o_custkey") % 50).alias("queue_id"),
-        epoch_seconds("o_orderdate").alias("start_epoch"), F.to_date("o_orderdate").alias("load_date"))
+        epoch_seconds("o_orderdate").alias("start_epoch"),
+        F.date_sub(F.lit("2026-06-02").cast("date"), (F.col("o_orderkey") % 90).cast("int")).alias("load_date"))
 
 
 BUILDERS.update({f.__name__: f for f in (stg_fin_invoice_line, fact_billing_line, stg_tel_call)})

@@ -228,10 +228,31 @@ def layer_of(table: str) -> str:
     return "staging" if table.startswith("stg_") else "ods" if table.startswith("ods_") else "dm"
 
 
+# --- fixed values: column descriptions of the staging layer, by how a column's time is kept ---
+SECONDS, MILLIS = "epoch SECONDS (legacy)", "epoch MILLISECONDS (legacy)"
+NOT_SECONDS, ORACLE_TEXT = "!! name says seconds, VALUES ARE MILLIS !!", "Oracle string YYYYMMDDHH24MISS (legacy)"
+
+
+def description(table: str, column: str, kind: str) -> str | None:
+    """The description of a column: staging tables say how they keep times; other columns have none."""
+    if not table.startswith("stg_"):
+        return None
+    if kind == "bigint":
+        if column.endswith("_ts_sec"):
+            return NOT_SECONDS
+        if column.endswith("_ms"):
+            return MILLIS
+        if column.endswith(("_ts", "_epoch")):
+            return SECONDS
+    return ORACLE_TEXT if kind == "string" and column.endswith("_dt") else None
+
+
 def schema(table: str):
-    """Declared StructType of a table (parsed by Spark from the DDL string)."""
-    from pyspark.sql.types import StructType
-    return StructType.fromDDL(COLUMNS[table])
+    """Declared StructType of a table (parsed by Spark from the DDL string); a described column has it as its ``comment``,
+    which tables written with the schema keep."""
+    from pyspark.sql.types import StructField, StructType
+    told = [(f, description(table, f.name, f.dataType.simpleString())) for f in StructType.fromDDL(COLUMNS[table])]
+    return StructType([StructField(f.name, f.dataType, f.nullable, {"comment": d} if d else None) for f, d in told])
 
 
 def empty(spark, table: str):

@@ -48,3 +48,33 @@ def test_databases_created(spark):
     names = schemas.create_databases(spark, prefix="sbtest_")
     have = {r[0] for r in spark.sql("SHOW DATABASES").collect()}
     assert set(names) <= have
+
+
+def test_column_descriptions_are_kept_by_the_tables(spark, tmp_path):
+    from collections import Counter
+    told = Counter(f.metadata["comment"] for t in schemas.COLUMNS for f in schemas.schema(t) if "comment" in f.metadata)
+    assert told == {schemas.SECONDS: 34, schemas.MILLIS: 28, schemas.NOT_SECONDS: 2, schemas.ORACLE_TEXT: 4}
+    def written(table):
+        one = spark.createDataFrame([tuple([None] * len(schemas.schema(table)))], schemas.schema(table))
+        one.write.parquet(f"{tmp_path}/{table}")
+        return spark.read.parquet(f"{tmp_path}/{table}")
+    back = written("stg_fin_invoice")
+    assert back.schema["issued_ts_sec"].metadata["comment"] == schemas.NOT_SECONDS and "comment" not in back.schema["invoice_id"].metadata
+    assert written("stg_crm_contract").schema["start_dt"].metadata["comment"] == schemas.ORACLE_TEXT
+    assert not any(f.metadata for f in written("dim_agent").schema)
+    back.createOrReplaceTempView("described")
+    shown = {r["col_name"]: r["comment"] for r in spark.sql("DESCRIBE described").collect()}
+    assert shown["due_ts_sec"] == schemas.NOT_SECONDS
+
+
+def test_views_run_nothing_until_they_are_read(spark):
+    import inspect
+    wh = Warehouse.fixtures(spark, SF)
+    for view in VIEW_NAMES.values():
+        for p in inspect.signature(view).parameters.values():
+            if p.default is inspect.Parameter.empty:
+                wh[p.name]  # reading the files' schemas is the warehouse's, not the views'
+    spark.sparkContext.setJobGroup("register", "views")
+    register_views(spark, wh)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("register")
+    spark.sparkContext.setJobGroup("", "")

@@ -121,3 +121,16 @@ def test_hot_key_is_split_across_range_partitions(spark):
     sizes = [r["n"] for r in ranged.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
     hot_parts = ranged.where(F.col("k") == "HOT").select(F.spark_partition_id()).distinct().count()
     assert hot_parts >= 2 and max(sizes) <= 2 * (6000 / 8)
+
+
+def test_stepped_row_number_matches_window(spark):
+    from switchboard.operators.ordered import ntile_of, with_stepped_row_number
+    df = skewed(spark, n=900).withColumn("v", F.when(F.col("id") % 50 != 0, F.col("v")))
+    spark.sparkContext.setJobGroup("stepped", "plan")
+    got = with_stepped_row_number(df, [F.floor(F.col("v") / 3), F.col("v"), F.floor(F.col("id") / 100)], [F.col("v"), F.col("id")], "rn")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("stepped")
+    spark.sparkContext.setJobGroup("", "")
+    w = Window.orderBy("v", "id")
+    exp = df.withColumns({"rn": F.row_number().over(w).cast("bigint"), "t": F.ntile(7).over(w).cast("bigint")})
+    out = got.withColumn("t", ntile_of(F.col("rn"), F.col("_sb_total"), 7)).drop("_sb_total").select(*exp.columns)
+    assert out.count() == 900 and out.exceptAll(exp).count() == 0

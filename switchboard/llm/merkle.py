@@ -8,8 +8,8 @@ child's slot (32 bytes): to know the root after a leaf has changed, hashing is
 taken up from the state before its slot with the new digest and the siblings
 to its right; what stands to its left is never read again, and so on upwards.
 
-The tree is made in cells of ``CELL`` = ARITY ** 3 consecutive leaves: a cell is
-one group of a Spark job and holds three levels of the tree, the cells' tops are
+The tree is made in cells of ARITY ** LEVELS consecutive leaves: a cell is one
+group of a Spark job and holds LEVELS levels of the tree, the cells' tops are
 the leaves of the next stage, so a source with a third of all rows is very many
 groups and the number of stages grows with the logarithm of the rows. Places
 within a source come from range partitions, each of which adds what its
@@ -42,8 +42,8 @@ from pyspark.sql import functions as F
 from . import sha256 as S
 from .scratch import Scratch
 
+#: children of a parent; levels of the tree that a cell holds
 ARITY, LEVELS = 16, 3
-CELL = ARITY ** LEVELS
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 #: keys of a tree: whether the source is null, the source
 KEYS = ["_none", "_source"]
@@ -89,10 +89,10 @@ def fold_level(digests: np.ndarray, states: np.ndarray, at: np.ndarray, new: np.
     return S.finished(state, end - at // ARITY * ARITY)
 
 
-def _heights(size: int, n: int) -> list[int]:
+def _heights(size: int, n: int, levels: int) -> list[int]:
     """The sizes of the levels that a cell of ``size`` leaves in a tree of ``n`` keeps, from below, its top not included."""
     out = []
-    while len(out) < LEVELS and (n > CELL or size > 1):
+    while len(out) < levels and (n > ARITY ** levels or size > 1):
         out.append(size)
         size = -(-size // ARITY)
     return out
@@ -102,27 +102,29 @@ def _bytes(column) -> np.ndarray:
     return np.frombuffer(b"".join(bytes(x) for x in column), np.uint8).reshape(len(column), 32)
 
 
-def _grow(rows: pd.DataFrame) -> pd.DataFrame:
-    """A cell's row, from its leaves."""
-    rows = rows.sort_values("pos")
-    level, n = _bytes(rows["digest"]), int(rows["n"].iloc[0])
-    digests, states = [], []
-    for _ in _heights(len(level), n):
-        before, above = midstates(level)
-        digests.append(level)
-        states.append(before)
-        level = above
-    one = rows.iloc[0]
-    return pd.DataFrame({"_none": [bool(one["_none"])], "_source": [one["_source"]], "cell": [int(one["cell"])], "size": [len(rows)], "n": [n],
-                         "digests": [b"".join(x.tobytes() for x in digests)], "states": [b"".join(x.tobytes() for x in states)], "top": [level[0].tobytes()]})
+def _grow(levels: int):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        """A cell's row, from its leaves."""
+        rows = rows.sort_values("pos")
+        level, n = _bytes(rows["digest"]), int(rows["n"].iloc[0])
+        digests, states = [], []
+        for _ in _heights(len(level), n, levels):
+            before, above = midstates(level)
+            digests.append(level)
+            states.append(before)
+            level = above
+        one = rows.iloc[0]
+        return pd.DataFrame({"_none": [bool(one["_none"])], "_source": [one["_source"]], "cell": [int(one["cell"])], "size": [len(rows)], "n": [n],
+                             "digests": [b"".join(x.tobytes() for x in digests)], "states": [b"".join(x.tobytes() for x in states)], "top": [level[0].tobytes()]})
+    return run
 
 
 class _Cell:
     """A cell as kept: its levels' digests and states, and the path from its top to its tree's root."""
 
-    def __init__(self, row):
+    def __init__(self, row, levels: int):
         self.levels, lo = [], 0
-        sizes = _heights(int(row["size"]), int(row["n"]))
+        sizes = _heights(int(row["size"]), int(row["n"]), levels)
         digests, states = (np.frombuffer(bytes(row[c]), np.uint8).reshape(-1, 32) for c in ("digests", "states"))
         for size in sizes:
             self.levels.append((digests[lo: lo + size], states[lo: lo + size]))
@@ -177,31 +179,34 @@ class _Cell:
         return digest[of]
 
 
-def _child_paths(cells: pd.DataFrame, paths: pd.DataFrame) -> pd.DataFrame:
-    """The paths of a cell's leaves: (keys, pos, path)."""
-    if not len(cells) or not len(paths):
-        return pd.DataFrame({"_none": pd.Series(dtype="bool"), "_source": pd.Series(dtype="object"), "pos": pd.Series(dtype="int64"), "path": pd.Series(dtype="object")})
-    row = cells.iloc[0].copy()
-    row["path"] = paths["path"].iloc[0]
-    cell = _Cell(row)
-    size = int(row["size"])
-    return pd.DataFrame({"_none": [bool(row["_none"])] * size, "_source": [row["_source"]] * size,
-                         "pos": int(row["cell"]) * CELL + np.arange(size), "path": [cell.path(i) for i in range(size)]})
+def _child_paths(levels: int):
+    def run(cells: pd.DataFrame, paths: pd.DataFrame) -> pd.DataFrame:
+        """The paths of a cell's leaves: (keys, pos, path)."""
+        if not len(cells) or not len(paths):
+            return pd.DataFrame({"_none": pd.Series(dtype="bool"), "_source": pd.Series(dtype="object"), "pos": pd.Series(dtype="int64"), "path": pd.Series(dtype="object")})
+        row = cells.iloc[0].copy()
+        row["path"] = paths["path"].iloc[0]
+        cell, size = _Cell(row, levels), int(row["size"])
+        return pd.DataFrame({"_none": [bool(row["_none"])] * size, "_source": [row["_source"]] * size,
+                             "pos": int(row["cell"]) * ARITY ** levels + np.arange(size), "path": [cell.path(i) for i in range(size)]})
+    return run
 
 
 _FOLDED = ("id", "doc_id", "leaf", "subroot", "proof_sha256", "folded_root")
 
 
-def _fold(rows: pa.Table, cells: pa.Table) -> pa.Table:
-    """Arrow tables, so that a doc_id keeps its type beside nulls."""
-    got = cells.to_pylist() if rows.num_rows else []
-    if not got:
-        return pa.table({"id": pa.array([], pa.int64()), "doc_id": rows["doc_id"].slice(0, 0), **{c: pa.array([], pa.string()) for c in _FOLDED[2:]}})
-    cell, at = _Cell(got[0]), rows["pos"].to_numpy() % CELL
-    roots = cell.roots(at, _bytes(rows["new"].to_pylist()))
-    return pa.table({"id": rows["id"], "doc_id": rows["doc_id"], "leaf": pa.array([x.hex() for x in rows["leaf"].to_pylist()], pa.string()),
-                     "subroot": pa.array([got[0]["subroot"].hex()] * rows.num_rows, pa.string()),
-                     "proof_sha256": pa.array(cell.proofs(at), pa.string()), "folded_root": pa.array([x.tobytes().hex() for x in roots], pa.string())})
+def _fold(levels: int):
+    def run(rows: pa.Table, cells: pa.Table) -> pa.Table:
+        """Arrow tables, so that a doc_id keeps its type beside nulls."""
+        got = cells.to_pylist() if rows.num_rows else []
+        if not got:
+            return pa.table({"id": pa.array([], pa.int64()), "doc_id": rows["doc_id"].slice(0, 0), **{c: pa.array([], pa.string()) for c in _FOLDED[2:]}})
+        cell, at = _Cell(got[0], levels), rows["pos"].to_numpy() % ARITY ** levels
+        roots = cell.roots(at, _bytes(rows["new"].to_pylist()))
+        return pa.table({"id": rows["id"], "doc_id": rows["doc_id"], "leaf": pa.array([x.hex() for x in rows["leaf"].to_pylist()], pa.string()),
+                         "subroot": pa.array([got[0]["subroot"].hex()] * rows.num_rows, pa.string()),
+                         "proof_sha256": pa.array(cell.proofs(at), pa.string()), "folded_root": pa.array([x.tobytes().hex() for x in roots], pa.string())})
+    return run
 
 
 def _places(rows: DataFrame, order: list, scratch: Scratch) -> DataFrame:
@@ -224,20 +229,20 @@ def _renewed(df: DataFrame) -> DataFrame:
 class _Trees:
     """The trees over nodes (keys, pos, n, digest): a table of cells a stage."""
 
-    def __init__(self, nodes: DataFrame, scratch: Scratch):
-        self.scratch, self.stages = scratch, []
+    def __init__(self, nodes: DataFrame, scratch: Scratch, levels: int):
+        self.scratch, self.stages, self.levels, self.size = scratch, [], levels, ARITY ** levels
         most = nodes.agg(F.max("n")).first()[0] or 0
         while most:
-            dealt = nodes.select(*KEYS, "pos", "n", "digest", F.floor(F.col("pos") / CELL).cast("bigint").alias("cell"))
-            cells = scratch.keep(dealt.groupBy(*KEYS, "cell").applyInPandas(_grow, _CELL), "cells")
+            dealt = nodes.select(*KEYS, "pos", "n", "digest", F.floor(F.col("pos") / self.size).cast("bigint").alias("cell"))
+            cells = scratch.keep(dealt.groupBy(*KEYS, "cell").applyInPandas(_grow(levels), _CELL), "cells")
             self.stages.append(cells)
-            most = -(-most // CELL) if most > CELL else 0
-            nodes = cells.where(F.col("n") > CELL).select(*KEYS, F.col("cell").alias("pos"), F.ceil(F.col("n") / CELL).cast("bigint").alias("n"), F.col("top").alias("digest"))
+            most = -(-most // self.size) if most > self.size else 0
+            nodes = cells.where(F.col("n") > self.size).select(*KEYS, F.col("cell").alias("pos"), F.ceil(F.col("n") / self.size).cast("bigint").alias("n"), F.col("top").alias("digest"))
 
     def tops(self) -> DataFrame:
         out = None
         for cells in self.stages:
-            one = cells.where(F.col("n") <= CELL).select(*KEYS, F.col("top").alias("subroot"))
+            one = cells.where(F.col("n") <= self.size).select(*KEYS, F.col("top").alias("subroot"))
             out = one if out is None else out.union(one)
         return out
 
@@ -245,12 +250,12 @@ class _Trees:
         """The cells of the leaves with their paths, ``above``(keys, path) being the paths of the trees' roots."""
         ready = None
         for cells in reversed(self.stages):
-            last = cells.where(F.col("n") <= CELL).select(*KEYS, "cell").join(above, KEYS)
+            last = cells.where(F.col("n") <= self.size).select(*KEYS, "cell").join(above, KEYS)
             paths = last if ready is None else last.unionByName(ready)
             if cells is self.stages[0]:
                 return cells.join(paths, [*KEYS, "cell"])
             at = [*KEYS, "cell"]
-            found = cells.groupBy(*at).cogroup(_renewed(paths).groupBy(*at)).applyInPandas(_child_paths, f"_none boolean, _source string, pos bigint, path {_PATH}")
+            found = cells.groupBy(*at).cogroup(_renewed(paths).groupBy(*at)).applyInPandas(_child_paths(self.levels), f"_none boolean, _source string, pos bigint, path {_PATH}")
             ready = self.scratch.keep(found, "paths").withColumnRenamed("pos", "cell")
 
 
@@ -261,8 +266,8 @@ def _field(docs: DataFrame, name: str) -> Column:
 class Manifest:
     """The trees of ``docs``; ``extra`` columns (name -> Column over docs) are kept with each leaf."""
 
-    def __init__(self, docs: DataFrame, **extra: Column):
-        self.scratch = Scratch(docs.sparkSession, "merkle")
+    def __init__(self, docs: DataFrame, levels: int = LEVELS, **extra: Column):
+        self.scratch, self.levels = Scratch(docs.sparkSession, "merkle"), levels
         fields = [_field(docs, c) for c in FIELDS]
         source = fields[FIELDS.index("source")].cast("string")
         order = [F.asc_nulls_first("doc_id"), "leaf", *[F.asc_nulls_first(k) for k in extra]]
@@ -271,13 +276,13 @@ class Manifest:
         placed = _places(leaves, order, self.scratch).withColumn("id", F.monotonically_increasing_id())
         #: one row a document: id (any), keys, doc_id, leaf (32 bytes), extra columns, pos and n within the source
         self.leaves = self.scratch.keep(placed, "places")
-        self._trees = _Trees(self.leaves.withColumnRenamed("leaf", "digest"), self.scratch)
+        self._trees = _Trees(self.leaves.withColumnRenamed("leaf", "digest"), self.scratch, levels)
         self._top = None
         if self._trees.stages:
             subroots = self.scratch.keep(self._trees.tops(), "subroots")
             ranked = subroots.select(F.lit(False).alias("_none"), F.lit("").alias("_source"), F.col("_none").alias("none"), F.col("_source").alias("source"), "subroot")
             self._sources = self.scratch.keep(_places(ranked, [F.desc("none"), "source"], self.scratch), "sources")
-            self._top = _Trees(self._sources.withColumnRenamed("subroot", "digest"), self.scratch)
+            self._top = _Trees(self._sources.withColumnRenamed("subroot", "digest"), self.scratch, levels)
 
     def root(self) -> str | None:
         """The data set's root, None of an empty table."""
@@ -290,7 +295,8 @@ class Manifest:
     def cells(self) -> DataFrame:
         """The cells of the sources' trees: what is kept, the path from each cell's top to the data set's root, and the subroot."""
         none = self._top.tops().select(*KEYS, F.array().cast(_PATH).alias("path"))
-        paths = self._top.cells(none).groupBy(*KEYS, "cell").applyInPandas(lambda c: _child_paths(c, c), f"_none boolean, _source string, pos bigint, path {_PATH}")
+        run = _child_paths(self.levels)
+        paths = self._top.cells(none).groupBy(*KEYS, "cell").applyInPandas(lambda c: run(c, c), f"_none boolean, _source string, pos bigint, path {_PATH}")
         paths = self.scratch.keep(paths, "tops").select("pos", "path")
         named = self._sources.select("pos", F.col("none").alias("_none"), F.col("source").alias("_source"), "subroot")
         above = named.join(paths, "pos").drop("pos")
@@ -303,15 +309,15 @@ class Manifest:
         if not self._top:
             return self.leaves.select("id", "doc_id", *[F.lit(None).cast("string").alias(c) for c in _FOLDED[2:]])
         at = [*KEYS, "cell"]
-        dealt = self.leaves.select("id", "doc_id", *KEYS, "pos", "leaf", F.coalesce(new, "leaf").alias("new"), F.floor(F.col("pos") / CELL).cast("bigint").alias("cell"))
+        dealt = self.leaves.select("id", "doc_id", *KEYS, "pos", "leaf", F.coalesce(new, "leaf").alias("new"), F.floor(F.col("pos") / ARITY ** self.levels).cast("bigint").alias("cell"))
         cells = _renewed(self.scratch.keep(self.cells(), "folding"))
         return dealt.groupBy(*at).cogroup(cells.groupBy(*at)).applyInArrow(
-            _fold, f"id bigint, doc_id {kind}, leaf string, subroot string, proof_sha256 string, folded_root string")
+            _fold(self.levels), f"id bigint, doc_id {kind}, leaf string, subroot string, proof_sha256 string, folded_root string")
 
 
-def verified_manifest(docs: DataFrame, tampered: Column, changed: dict[str, Column]) -> DataFrame:
+def verified_manifest(docs: DataFrame, tampered: Column, changed: dict[str, Column], levels: int = LEVELS) -> DataFrame:
     """doc_id, leaf, subroot, root, proof_sha256, folded_root, verified of every document, those where ``tampered`` holds with the fields ``changed``."""
     fields = [changed.get(c, _field(docs, c)) for c in FIELDS]
-    made = Manifest(docs, other=F.when(tampered, leaf_digest(fields)))
+    made = Manifest(docs, levels, other=F.when(tampered, leaf_digest(fields)))
     root = F.lit(made.root()).cast("string")
     return made.fold("other").select("doc_id", "leaf", "subroot", root.alias("root"), "proof_sha256", "folded_root", (F.col("folded_root") == root).alias("verified"))

@@ -155,8 +155,15 @@ def license_matches(docs: DataFrame, notices: dict[str, tuple[str, ...]] = ALL)
     shingles in the window; contained is the share of them found. Of
     overlapping matches the one of most shingles found stays (then the fullest,
     the longest, the first by name), so that a whole text goes before a line of
-    it. The array is empty without match.
+    it. The array is empty without match. A column _licenses of ``docs`` is replaced.
     """
+    beside = [c for c in docs.columns if c not in ("text", "_licenses")]
+    found = _matched(docs.select(F.struct(*[F.col(f"`{c}`") for c in beside]).alias("_row"), "text"), notices)
+    return found.select(*[F.col("text") if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns if c != "_licenses"], "_licenses")
+
+
+def _matched(docs: DataFrame, notices: dict[str, tuple[str, ...]]) -> DataFrame:
+    """``license_matches`` of docs(_row, text)."""
     known = [r.asDict() for r in templates(docs.sparkSession, notices).collect()]
     low = F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
     rows = _settled(docs.withColumn("_words", F.filter(F.split(low, _NOT_WORD), lambda w: w != "")))

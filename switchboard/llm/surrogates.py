@@ -327,7 +327,15 @@ def _drawn(atoms: DataFrame, key: str) -> DataFrame:
 
 
 def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
-    """The rows of ``docs`` with text replaced and _entities: the array of (kind, surrogate) put in, in order of place."""
+    """The rows of ``docs`` with text replaced and _entities (in place of a column of that name): the array of (kind, surrogate)
+    put in, in order of place."""
+    beside = [c for c in docs.columns if c not in ("text", "_entities")]
+    done = _replaced(docs.select(F.struct(*[F.col(f"`{c}`") for c in beside]).alias("_row"), "text"), key)
+    return done.select(*[F.col("text") if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns if c != "_entities"], "_entities")
+
+
+def _replaced(docs: DataFrame, key: str) -> DataFrame:
+    """``pseudonymize`` of docs(_row, text)."""
     scratch = Scratch(docs.sparkSession, "surrogates")
     text = F.col("text").cast("string")
     columns = docs.columns

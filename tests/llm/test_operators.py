@@ -20,12 +20,13 @@ from switchboard.llm.surrogates import pseudonymize
 from switchboard.llm.toxicity import _swapped, fit, toxicity_scores
 from switchboard.llm.vectors import similar_vectors
 
-DOCS = "doc_id bigint, text string, key string, label string, node int, _tokens int, lang string"
+OWN = ("_row", "_words", "_sh", "_at", "_all", "_c0", "_matches", "_tries", "_sha", "_kind", "_score", "_text")
+DOCS = "doc_id bigint, text string, key string, label string, node int, _tokens int, lang string, " + ", ".join(f"{c} int" for c in OWN)
 
 
 def docs(spark, rows):
     """doc_id and text, with other columns whose names operators use themselves."""
-    return spark.createDataFrame([(i, t, "k", "l", 1, 2, "en") for i, t in rows], DOCS)
+    return spark.createDataFrame([(i, t, "k", "l", 1, 2, "en", *range(len(OWN))) for i, t in rows], DOCS)
 
 
 def words(rng, n):

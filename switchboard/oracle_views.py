@@ -32,6 +32,10 @@ seen AS (SELECT date_key, site_code, list(agent_sk) AS agents, list(agent_sk ||
 known AS (SELECT date_key, site_code, interactions, CAST(list_unique(agents) AS BIGINT) AS active_agents, CAST(list_unique(pairs) AS BIGINT) AS agent_channel_pairs FROM seen)
 SELECT *, TRUE AS approx_agents_ok, TRUE AS approx_pairs_ok FROM known""")
 
+VIEWS_SQL["active_agents_by_site"] = with_bridge(["fact_interaction", "dim_agent"], """
+SELECT site_code, count(DISTINCT agent_sk) AS active_agents, count(DISTINCT (agent_sk, channel)) AS agent_channel_pairs, count(*) AS interactions, TRUE AS agents_close, TRUE AS pairs_close
+FROM fact_interaction JOIN dim_agent USING (agent_sk) GROUP BY site_code""")
+
 VIEWS_SQL["csat_rollup"] = with_bridge(["fact_csat_survey", "dim_program"], """,
 per_program AS (SELECT program_sk, count(*) AS n, sum(csat_score) AS points, count(*) FILTER (WHERE nps_score >= 9) AS fans FROM fact_csat_survey GROUP BY program_sk)
 SELECT client_id, program_code, CAST(sum(n) AS BIGINT) AS surveys, CAST(sum(points) AS BIGINT) AS sum_csat, CAST(sum(fans) AS BIGINT) AS promoter_count

@@ -53,4 +53,12 @@ def session_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target).select("user_id", "session_start", "session_end", "events")
 
 
-STREAM_JOBS = {f.__name__: f for f in (queue_hourly_stream, cdc_merge_stream, session_stream)}
+def session_stream_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default (append) mode: sessions that the watermark has passed, each written once, its state dropped."""
+    fx = B.Fixtures(spark, sf_dir)
+    target, ck = scratch_path(spark, "session_stream_closed"), scratch_path(spark, "session_stream_closed_ck")
+    _run(S.session_stream(fx.stream("events").select("user_id", "ts"), "user_id", "ts", SESSION_GAP, target, ck))
+    return spark.read.parquet(target).select("user_id", "session_start", "session_end", "events")
+
+
+STREAM_JOBS = {f.__name__: f for f in (queue_hourly_stream, cdc_merge_stream, session_stream, session_stream_closed)}

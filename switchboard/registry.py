@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .operators.tables import scratch_path
 from .plans import access as A
 from .plans import change_jobs as CJ
 from .plans import corrected as C
@@ -70,9 +71,27 @@ def active_agents_ndv_checked(fact_interaction: DataFrame, dim_agent: DataFrame)
                     ok("_ap", "agent_channel_pairs").alias("approx_pairs_ok"))
 
 
+def active_agents_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2's sketches stored by day and site, rolled up to sites, beside exact counts: within a tenth (and one)."""
+    wh = Warehouse.fixtures(spark, sf_dir)
+    path = scratch_path(spark, "agent-sketches")
+    wh.run(V.active_agents_sketches).write.parquet(path)
+    rolled = V.active_agents_over(spark.read.parquet(path), "site_code")
+    f = wh["fact_interaction"].select("agent_sk", "channel").join(wh["dim_agent"].select("agent_sk", "site_code"), "agent_sk")
+    exact = f.groupBy(F.col("site_code").alias("_s")).agg(F.count_distinct("agent_sk").alias("active_agents"),
+                                                          F.count_distinct("agent_sk", "channel").alias("agent_channel_pairs"))
+    close = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.col(b) * 0.1 + 1
+    return rolled.join(exact, F.col("site_code").eqNullSafe(F.col("_s"))).select(
+        "site_code", "active_agents", "agent_channel_pairs", "interactions", close("approx_active_agents", "active_agents").alias("agents_close"),
+        close("approx_agent_channel_pairs", "agent_channel_pairs").alias("pairs_close"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "org_hierarchy": _view(V.org_hierarchy),
     "active_agents_ndv": _view(active_agents_ndv_checked),
+    # the view itself; its sketches agree with no other engine's bit for bit, so it has no oracle
+    "active_agents_ndv_view": _view(V.active_agents_ndv),
+    "active_agents_by_site": active_agents_by_site,
     "csat_rollup": _view(V.csat_rollup),
     "call_driver_regex": _view(V.call_driver_regex),
     "repeat_contact_window": _view(V.repeat_contact_window),

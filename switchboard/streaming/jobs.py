@@ -46,10 +46,15 @@ def _upsert_partitions(batch: DataFrame, target: str, keys: list[str], partition
     ensure_checkpoint_dir(spark)
     batch = batch.persist()  # read twice below; recomputable from the stream's batch
     try:
+        # as many partitions as the batch falls into; their names filter the read of the target at its folders
+        touched = [r[0] for r in batch.select(partition_col).distinct().collect()]
+        if not touched:
+            return
         merged = batch
         if _exists(spark, target):
-            touched = batch.select(partition_col).distinct()
-            old = spark.read.parquet(target).join(touched, partition_col, "left_semi")
+            named = [t for t in touched if t is not None]
+            within = F.col(partition_col).isin(named) if named else F.lit(False)
+            old = spark.read.schema(batch.schema).parquet(target).where(within | F.col(partition_col).isNull() if None in touched else within)
             old = old.join(batch.select(*keys), keys, "left_anti").select(*batch.columns)
             merged = batch.unionByName(old)
         merged = merged.checkpoint(eager=True)

@@ -62,3 +62,22 @@ def test_cdc_merge_stream_over_three_batches(spark):
     exp = changelog.current(changelog.merge(None, _change_feed(fx), ["user_id"], ["event_type", "value"]), ["user_id"], ["event_type", "value"])
     assert got.count() == exp.count() and got.exceptAll(exp).count() == 0
     assert os.path.isdir(_local(target))
+
+
+def test_sessions_in_append_mode_over_several_files(spark):
+    """A session is written once, when the watermark has passed it; late events of it are dropped; state goes with it."""
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    m = lambda x: t0 + dt.timedelta(minutes=x)
+    files = [[("a", m(0)), ("a", m(10)), ("b", m(5))], [("a", m(200)), ("b", m(20))], [("c", m(400))], [("a", m(12)), ("c", m(900))]]
+    root = scratch_path(spark, "append_in")
+    for i, rows in enumerate(files):
+        spark.createDataFrame(rows, "k string, ts timestamp_ntz").coalesce(1).write.parquet(f"{root}/part{i}")
+    target, ck = scratch_path(spark, "append_t"), scratch_path(spark, "append_ck")
+    q = S.session_stream(_stream(spark, root, spark.read.parquet(f"{root}/part0").schema), "k", "ts", "30 minutes", target, ck)
+    q.awaitTermination(600)
+    assert q.exception() is None
+    got = sorted((r["k"], r["session_start"], r["session_end"], r["events"]) for r in spark.read.parquet(target).collect())
+    assert got == [("a", m(0), m(40), 2), ("a", m(200), m(230), 1), ("b", m(5), m(50), 2), ("c", m(400), m(430), 1)]
+    rows = [s.numRowsTotal for p in q.recentProgress for s in p.stateOperators]
+    assert rows[-1] <= 2 and max(rows) < 5  # of five sessions in all

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from switchboard import registry
+from switchboard.plans.mart_jobs import TARGETS as MART_TARGETS
 from tools.check_oracle import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
@@ -36,14 +37,21 @@ INVENTORY = {
     "pipe_delta_feed", "json_feed_chat", "csv_feed_survey", "log_feed_ivr",
     # corrected variants of the fan-out views
     "first_contact_resolution_corrected", "program_margin_corrected", "shrinkage_analysis_corrected",
+    # merged change feeds, histories, full-width builds, deltas, sketches, closed sessions
+    "ods_timesheet_merge", "ods_payroll_adjustment_merge", "ods_sla_credit_merge", "ods_callback_request_merge", "ods_shift_swap_merge",
+    "ods_ticket_worklog_merge", "ods_attrition_event_merge", "ods_rate_card_merge", "agent_history", "agent_skill_history",
+    "agent_assignment_history", "refresh_by_delta", "active_agents_by_site", "session_stream_closed", "active_agents_ndv_view",
+    *[f"build_{t}" for t in MART_TARGETS],
 }
+#: sketch values agree with no other engine's bit for bit; ``active_agents_by_site`` holds them against exact counts
+NO_ORACLE = {"active_agents_ndv_view"}
 
 
 def test_no_silent_skip():
     q, o = registry.queries(), registry.oracle_sql()
     assert set(q) <= set(entry.queries())
     assert INVENTORY <= set(q), sorted(INVENTORY - set(q))
-    assert set(o) == set(q), sorted(set(q) ^ set(o))
+    assert set(o) == set(q) - NO_ORACLE, sorted(set(q) ^ set(o))
 
 
 def test_entry_runs(spark):
@@ -66,7 +74,7 @@ SPARK_TO_DUCK = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "d
                  "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]

@@ -55,7 +55,7 @@ def read_zoned(spark: SparkSession, path: str, conditions: dict[str, tuple]) ->
             meet = meet & F.coalesce((F.col(f"{c}__some") > 0) & (F.col(f"{c}__hi") >= F.lit(lo)) & (F.col(f"{c}__lo") <= F.lit(hi)), F.lit(False))
     files = zones.select("file", meet.alias("meet")).collect()
     kept = [r["file"] for r in files if r["meet"]]
-    rows = spark.read.option("basePath", path).parquet(*kept) if kept else spark.read.parquet(path).limit(0)
+    rows = spark.read.option("basePath", path).parquet(*kept) if kept else spark.read.parquet(path).where(F.lit(False))
     for c, (lo, hi) in conditions.items():
         rows = rows.where(F.col(c).between(F.lit(lo), F.lit(hi)))
     return Zoned(rows, len(kept), len(files))

@@ -56,6 +56,8 @@ def test_zone_map_opens_few_files_of_a_clustered_table_and_all_of_a_plain_one(sp
     assert found.total == 10 and found.kept <= 2
     assert found.rows.count() == df.where("a between 42 and 43 and b <= 3").count()
     assert Z.read_zoned(spark, path, {"a": (500, 600)})[1:] == (0, 10) and Z.read_zoned(spark, path, {"a": (500, 600)}).rows.count() == 0
+    nothing = Z.read_zoned(spark, path, {"a": (500, 600)}).rows.agg(F.count_distinct("_metadata.file_path").alias("n")).first()
+    assert nothing["n"] == 0
     assert Z.read_zoned(spark, path, {"c": (5, 9)}).rows.count() == df.where("c between 5 and 9").count()
     dealt = scratch_path(spark, "dealt")
     df.repartition(10).write.parquet(dealt)

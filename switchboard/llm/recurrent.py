@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from . import bytetext as B
 from .scratch import Scratch
 
-#: words with outputs of their own; words whose counts are sent to every task (both bounded, whatever the corpus)
-SHORT, FREQUENT = 1024, 65_536
+#: words with outputs of their own; words whose counts are sent to every task, at most (both bounded, whatever the corpus)
+SHORT, FREQUENT = 1024, 131_072
 CLASSES, HIDDEN = 64, 16
 #: documents scored side by side; tokens a task holds at once (besides the rest of one Arrow batch)
 LANES, TOKENS_AT_ONCE = 512, 3_500_000
@@ -347,8 +347,27 @@ def _counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "tok bigint, cls int, n bigint").groupBy("tok").agg(F.max("cls").alias("cls"), F.sum("n").alias("n"))
 
 
+def _most_frequent(counts: DataFrame, most: int):
+    """The words whose counts lie above the highest bound that at most ``most`` words pass, most frequent first.
+
+    The bound comes from a histogram of counts, one row an interval of a
+    64th of a doubling, so the driver gets at most some thousand rows and then
+    the words themselves, however many partitions hold them. Words about the
+    bound that stand in one interval are all in or all out.
+    """
+    interval = F.floor(F.log2(F.col("n").cast("double")) * 64).cast("int")
+    bound, words = None, 0
+    for r in sorted(counts.groupBy(interval.alias("i")).agg(F.count(F.lit(1)).alias("words")).collect(), key=lambda r: -r["i"]):
+        words += r["words"]
+        if words > most:
+            break
+        bound = r["i"]
+    none = F.lit(False) if bound is None else interval >= bound
+    return counts.where(none).toPandas().sort_values(["n", "tok"], ascending=[False, True], ignore_index=True)
+
+
 def _vocabulary(counts: DataFrame):
-    top = counts.orderBy(F.desc("n"), "tok").limit(FREQUENT).toPandas()
+    top = _most_frequent(counts, FREQUENT)
     short = top[:SHORT].copy()
     if not (short["tok"] == END).any():
         short = short[: SHORT - 1].reset_index(drop=True)

@@ -288,18 +288,23 @@ def _rest_pairs(large: DataFrame, threshold: int) -> DataFrame:
     """All alike pairs of different label in large nodes, each from the smallest node that both are in.
 
     One of such a pair does not have the node's most frequent label; those
-    few are compared with all of the node, dealt out in parts. A class is in
+    are compared with all of the node. Both sides are dealt into parts of
+    about REST rows, each part of the one meeting each of the other in a
+    group of its own, so that no group grows with the node. A class is in
     TREES * ROOT * BRANCH ** (DEPTH - 1) nodes at most, so its list of nodes
     is bounded.
     """
-    of = large.groupBy("node", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("node").agg(F.max(F.struct("k", "label")).alias("m")).select(
-        "node", F.col("m.label").alias("most"))
+    of = large.groupBy("node", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("node").agg(
+        F.max(F.struct("k", "label")).alias("m"), F.sum("k").alias("total")).select("node", F.col("m.label").alias("most"), (F.col("total") - F.col("m.k")).alias("few"))
     nodes = large.groupBy("rep").agg(F.collect_set("node").alias("nodes"))
     rows = (large.join(of, "node").join(nodes, "rep").withColumn("odd", F.col("label") != F.col("most"))
-            .withColumn("parts", F.ceil(F.col("c") / REST).cast("int")))
-    odd = rows.where("odd").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("x")
-    all_rows = rows.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")).alias("y")
+            .withColumn("parts", F.ceil(F.col("c") / REST).cast("int")).withColumn("odd_parts", F.ceil(F.col("few") / REST).cast("int")))
+    dealt = lambda salt, parts: F.pmod(F.xxhash64(F.lit(salt), "rep"), F.col(parts)).cast("int")
+    every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+    odd = rows.where("odd").withColumn("part", every("parts")).withColumn("odd_part", dealt(1, "odd_parts")).alias("x")
+    all_rows = rows.withColumn("part", dealt(0, "parts")).withColumn("odd_part", every("odd_parts")).alias("y")
     once = (~F.col("y.odd") | (F.col("x.rep") < F.col("y.rep")))
-    return odd.join(all_rows, (F.col("x.node") == F.col("y.node")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.label") != F.col("y.label")) & once
+    return odd.join(all_rows, (F.col("x.node") == F.col("y.node")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.odd_part") == F.col("y.odd_part"))
+                    & (F.col("x.label") != F.col("y.label")) & once
                     & _alike("x", "y", threshold) & (F.array_min(F.array_intersect("x.nodes", "y.nodes")) == F.col("x.node"))).select(
         F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))

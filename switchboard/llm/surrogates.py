@@ -20,7 +20,7 @@ drawn anew with the next attempt number until there are none; so are those in
 which a given name or the local part of an address stayed as it was. Given
 names alone may be another's of the corpus, as they are drawn from a list of
 common ones. Where LATE attempts were in vain (few addresses of one letter
-are free, say), addresses and account numbers get longer. Only entities
+are free, say), addresses, account, telephone and social security numbers get longer. Only entities
 drawn anew go into a table that is joined back; all others need no lookup.
 
 Results for odd input: null texts stay null, texts without entities stay as
@@ -273,9 +273,10 @@ def _surrogate(kind: Column, canon: Column, shown: Column, key: str, attempt: Co
 def _of_seed(kind: Column, canon: Column, shown: Column, key: str, attempt: Column, seed: Column) -> Column:
     before = F.when(shown.rlike("^00[1-9]"), 2).otherwise(0)
     country = F.when(canon.startswith("+"), before + F.length(F.regexp_extract(F.substring(canon, F.lit(2), F.length(canon)), COUNTRY, 0))).otherwise(0)
+    more = F.when(attempt >= LATE, F.lpad(_draw(seed, 99, 10000).cast("string"), 4, "0")).otherwise("")
     return (F.when(kind == "email", _email(shown, key, seed, attempt)).when(kind == "ip", _ip(seed)).when(kind == "card", _card(shown, seed))
-            .when(kind == "phone", _digits_only(shown, seed, country, before)).when(kind == "ssn", _digits_only(shown, seed, F.lit(0)))
-            .when(kind == "account", F.concat(_digits_only(shown, seed, F.lit(0)), F.when(attempt >= LATE, F.lpad(_draw(seed, 99, 10000).cast("string"), 4, "0")).otherwise("")))
+            .when(kind == "phone", F.concat(_digits_only(shown, seed, country, before), more)).when(kind == "ssn", F.concat(_digits_only(shown, seed, F.lit(0)), more))
+            .when(kind == "account", F.concat(_digits_only(shown, seed, F.lit(0)), more))
             .when(kind == "iban", _iban(shown, seed))
             .when(kind == "token", _token(shown, seed)).otherwise(_part(kind, canon, seed, attempt)))
 

@@ -70,21 +70,27 @@ def _homes(radius: float):
 
 
 def _forest(hit: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
-    """Enough of the links to connect what they connect."""
-    parent: dict[int, int] = {}
-
-    def root(v: int) -> int:
-        while parent.setdefault(v, v) != v:
-            parent[v] = parent[parent[v]]
-            v = parent[v]
-        return v
+    """Enough of the links to connect what they connect: a search by breadth from side to side, each row and column once."""
     out = []
-    for i in np.flatnonzero(hit.any(axis=1)):
-        for j in np.flatnonzero(hit[i]):
-            a, b = root(int(left[i])), root(int(right[j]))
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-                out.append((int(left[i]), int(right[j])))
+    rows, columns = hit.any(axis=1), hit.any(axis=0)  # those not reached yet
+    for start in np.flatnonzero(rows):
+        if not rows[start]:
+            continue
+        rows[start] = False
+        at = np.array([start])
+        while len(at):
+            new = np.flatnonzero(columns)
+            links = hit[np.ix_(at, new)]
+            met = links.any(axis=0)
+            new, by = new[met], at[links[:, met].argmax(axis=0)]
+            columns[new] = False
+            out += zip(left[by].tolist(), right[new].tolist())
+            other = np.flatnonzero(rows)
+            links = hit[np.ix_(other, new)]
+            met = links.any(axis=1)
+            at, by = other[met], new[links[met].argmax(axis=1)] if len(new) else new
+            rows[at] = False
+            out += zip(left[at].tolist(), right[by].tolist())
     return out
 
 

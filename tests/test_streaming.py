@@ -81,3 +81,16 @@ def test_sessions_in_append_mode_over_several_files(spark):
     assert got == [("a", m(0), m(40), 2), ("a", m(200), m(230), 1), ("b", m(5), m(50), 2), ("c", m(400), m(430), 1)]
     rows = [s.numRowsTotal for p in q.recentProgress for s in p.stateOperators]
     assert rows[-1] <= 2 and max(rows) < 5  # of five sessions in all
+
+
+def test_a_partition_with_all_rows_is_written_by_many_tasks(spark):
+    """Dates outside the declared range share one bucket; no task takes all of its rows."""
+    target = scratch_path(spark, "one_bucket")
+    df = spark.range(4000).select((F.col("id") % 50).alias("k"), F.col("id").alias("n"), F.lit(-1).cast("bigint").alias("b"))
+    S._upsert_partitions(df, target, ["k", "n"], "b")
+    again = df.where("n < 1000").withColumn("k", F.col("k") + 0)
+    S._upsert_partitions(again, target, ["k", "n"], "b")
+    got = spark.read.parquet(target)
+    assert got.count() == 4000 and got.select("n").distinct().count() == 4000
+    sizes = [r["count"] for r in got.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 3000

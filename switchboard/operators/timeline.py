@@ -27,6 +27,9 @@ from ..functions import exprs as X
 #: seconds (units of the order column when that is a number) of a bucket
 WIDTH = 3600
 
+#: rows of a key up to which one task takes them in one window
+LONG = 1_000_000
+
 _K, _B = "_tl_key", "_tl_bucket"
 
 
@@ -40,6 +43,17 @@ def bucket(df: DataFrame, col: str, width: int = WIDTH) -> Column:
     return X.floor_div(F.col(col).cast("bigint"), width)
 
 
+def long_keys(df: DataFrame, keys: list[str], limit: int = LONG) -> DataFrame:
+    """The keys (NULLs too) that more than ``limit`` rows of ``df`` have: one of ``limit`` rows at most, so it may be broadcast."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tl_n")).where(F.col("_tl_n") > limit).select(*[F.col(k).alias(f"_tl_l{i}") for i, k in enumerate(keys)])
+
+
+def split_long(df: DataFrame, keys: list[str], long: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` whose key is not one of ``long`` (made by ``long_keys``), and the others."""
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_tl_l{i}")) for i, k in enumerate(keys)])
+    return df.join(F.broadcast(long), same, "left_anti"), df.join(F.broadcast(long), same, "left_semi")
+
+
 def _keyed(df: DataFrame, keys: list[str], ts: str, width: int) -> DataFrame:
     return df.withColumns({_K: F.struct(*keys), _B: F.struct(bucket(df, ts, width))})
 

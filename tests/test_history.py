@@ -70,3 +70,36 @@ def test_history_plans_run_no_job(spark):
     scd2_build(df, "k", ["attr"], "ts", "tb")
     assert not spark.sparkContext.statusTracker().getJobIdsForGroup("history-plan")
     spark.sparkContext.setJobGroup("", "")
+
+
+def _same(a, b):
+    return sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+
+
+def test_short_and_long_keys_have_the_same_versions(spark):
+    rnd = random.Random(11)
+    rows = []
+    for _ in range(300):  # ids repeat, also within a key and at one time
+        f = rnd.randrange(0, 40)
+        rows.append((rnd.choice([1, 1, 1, 1, 2, 3, None]), rnd.randrange(0, 60), at(f) if rnd.random() > 0.05 else None, rnd.choice([None, at(f + rnd.randrange(-3, 20))]),
+                     rnd.choice(["x", "y", None]), rnd.choice([1, None])))
+    df = spark.createDataFrame(rows, "k long, i long, f timestamp_ntz, t timestamp_ntz, v string, w long")
+    short, long, both = [H.interval_history(df, ["k"], "i", "f", "t", ["v", "w"], "id", 3600 * 5, limit) for limit in (1000, 0, 60)]
+    assert short.count() > 30 and _same(short, long) and _same(short, both)
+    seen = [H.observations(df.dropDuplicates(["i"]), ["k"], F.col(c), r, "i", {"v": H.stated(F.col("v")), "w": H.stated_if(F.col("w") == 1, F.col("i"))}) for r, c in enumerate("ft")]
+    short, long, both = [H.merged_history(seen, ["k"], ["v", "w"], "id", 3600 * 5, limit) for limit in (1000, 0, 20)]
+    assert short.count() > 30 and _same(short, long) and _same(short, both)
+
+
+def _shuffles(df):
+    """Shuffles that ran, in the plan as AQE left it."""
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return sum(line.lstrip(" :+-*(0123456789)").startswith("Exchange") for line in final.splitlines())
+
+
+def test_rows_of_short_keys_are_shuffled_once(spark):
+    df = spark.createDataFrame([(i % 7, i, at(i % 50), at(i % 50 + 9), "xy"[i % 2]) for i in range(200)], "k long, i long, f timestamp_ntz, t timestamp_ntz, v string")
+    assert _shuffles(H.interval_history(df, ["k"], "i", "f", "t", ["v"], "id")) <= 2  # the counts of the keys, the rows
+    seen = H.observations(df, ["k"], F.col("f"), 0, "i", {"v": H.stated(F.col("v"))})
+    assert _shuffles(H.merged_history([seen], ["k"], ["v"], "id")) <= 2

@@ -154,7 +154,8 @@ def agent_skill_history(stg_hr_agent_skill: DataFrame, stg_hr_skill: DataFrame)
     cols = ["agent_id", "skill_id", "proficiency", "certified", "effective_ts", "expiry_ts"]
     rows = stg_hr_agent_skill.groupBy("agent_skill_id").agg(F.max(F.struct("load_date", *cols)).alias("v")).select("agent_skill_id", "v.*")
     rows = rows.withColumns({"_from": X.seconds_to_ts("effective_ts"), "_to": X.seconds_to_ts("expiry_ts")})
-    h = interval_history(rows, ["agent_id", "skill_id"], "agent_skill_id", "_from", "_to", ["proficiency", "certified"], "agent_skill_history_id")
+    h = interval_history(rows, ["agent_id", "skill_id"], "agent_skill_id", "_from", "_to", ["proficiency", "certified"], "agent_skill_history_id",
+                         counted=stg_hr_agent_skill)
     codes = stg_hr_skill.groupBy(F.col("skill_id").alias("_sid")).agg(F.max_by("skill_code", "load_date").alias("skill_code"))
     return h.join(codes, F.col("skill_id") == F.col("_sid"), "left")
 

@@ -98,11 +98,12 @@ def carry_forward(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str],
 
 
 def as_of(facts: DataFrame, versions: DataFrame, on: dict[str, str], fact_ts: str, version_ts: str, take: dict[str, str],
-          tiebreak: list[str] | None = None, width: int = WIDTH) -> DataFrame:
+          tiebreak: list[str] | None = None, width: int = WIDTH, limit: int = LONG) -> DataFrame:
     """``facts`` with the columns ``take`` (version column -> new column) of the version in force at ``fact_ts``: the
     one of the same key (``on``: fact column -> version column) with the latest ``version_ts`` at or before it (ties:
     the largest ``tiebreak``). NULL where there is none, as for NULL keys and times. A fact is one row however many
-    versions there are, and no pair of a fact and a version is formed.
+    versions there are, and no pair of a fact and a version is formed. A key of up to ``limit`` facts and versions is one
+    window, shuffled once; only longer ones are cut in buckets.
     """
     keys = [f"_ao_k{i}" for i in range(len(on))]
     told = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*on.values(), version_ts]])
@@ -110,7 +111,11 @@ def as_of(facts: DataFrame, versions: DataFrame, on: dict[str, str], fact_ts: st
                                     F.struct(*(tiebreak or list(take))).alias("_ao_tie"), F.struct(*take).alias("_ao_v"))
     f = facts.select(*[F.col(c).alias(k) for k, c in zip(keys, on)], F.col(fact_ts).alias("_ao_t"), F.lit(1).alias("_ao_kind"),
                      F.struct(*[F.col(f"`{c}`") for c in facts.columns]).alias("_ao_f"))
-    u = carry_forward(v.unionByName(f, allowMissingColumns=True), keys, "_ao_t", ["_ao_kind", "_ao_tie"], {"_ao_v": "_ao_at"}, width)
+    u = v.unionByName(f, allowMissingColumns=True)
+    short, long = split_long(u, keys, long_keys(u, keys, limit))
+    so_far = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in ("_ao_t", "_ao_kind", "_ao_tie")]).rowsBetween(Window.unboundedPreceding, 0)
+    u = short.withColumn("_ao_at", F.last("_ao_v", ignorenulls=True).over(so_far)).unionByName(
+        carry_forward(long, keys, "_ao_t", ["_ao_kind", "_ao_tie"], {"_ao_v": "_ao_at"}, width))
     return u.where(F.col("_ao_kind") == 1).select("_ao_f.*", *[F.col(f"_ao_at.{c}").alias(out) for c, out in take.items()])
 
 

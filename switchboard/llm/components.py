@@ -2,10 +2,12 @@
 
 Each round every vertex takes the smallest label among its own, its
 neighbours' and its label's label; rounds needed grow with the logarithm of
-the longest chain. Labels stay in tables; only the number of changed rows
-comes to the driver. A vertex with very many links is no hot task: links are
+the longest chain. Labels stay in tables; only whether rows changed comes to
+the driver. A vertex with very many links is no hot task: links are
 aggregated before they are shuffled, and the joins against one row a vertex
-can be split.
+can be split. Every vertex has a link to itself in the table of links, so a
+round reads that table once and the labels twice: each table read and each
+stage is a plan and broadcasts that the driver makes, whatever their rows.
 """
 
 from __future__ import annotations
@@ -22,16 +24,17 @@ def connected_components(links: DataFrame, scratch: Scratch) -> DataFrame:
     Repeated links, links to itself and both directions are allowed; links
     with a null end are ignored.
     """
-    ok = links.where("a is not null and b is not null and a <> b").select("a", "b")
-    edges = scratch.keep(ok.union(ok.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = scratch.keep(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("label")), "labels")
+    ok = links.where("a is not null and b is not null and a <> b")
+    ways = F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in ("ab", "ba", "aa", "bb")])
+    edges = scratch.keep(ok.select(F.explode(ways).alias("e")).select("e.*").distinct(), "edges")
+    labels = scratch.keep(edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("label")), "labels")
     while True:
-        near = (edges.join(labels, edges.b == labels.id).groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near")))
-        low = labels.join(near, "id").select("id", F.col("label").alias("was"), F.least("label", "near").alias("low"))
+        low = edges.join(labels, edges.b == labels.id).groupBy(F.col("a").alias("id")).agg(
+            F.max(F.when(F.col("a") == F.col("b"), F.col("label"))).alias("was"), F.min("label").alias("low"))
         jump = labels.select(F.col("id").alias("low"), F.col("label").alias("far"))
         new = scratch.keep(low.join(jump, "low", "left")
                            .select("id", F.least("low", F.coalesce("far", "low")).alias("label"), "was"), "labels")
-        moved = new.where("label < was").limit(1).count()
+        moved = not new.where("label < was").isEmpty()
         scratch.drop(labels)
         labels = new.drop("was")
         labels._scratch_path = new._scratch_path

@@ -172,7 +172,7 @@ def _filter_by(df: DataFrame, key: str, keys: DataFrame, bits: int) -> DataFrame
 def _confirm(pairs: DataFrame, docs: DataFrame, k: int, threshold: int, scratch: Scratch) -> DataFrame:
     """The pairs (a, b) whose full sets have 100 |A & B| >= threshold |A | B|."""
     pairs = scratch.keep(pairs.distinct(), "pairs")
-    ids = scratch.keep(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
+    ids = scratch.keep(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
     texts = _filter_by(docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text")),
                        "id", ids, FILTER_BITS)
     sets = scratch.keep(_sets(texts, k).join(ids, "id", "left_semi").dropDuplicates(), "sets")
@@ -202,12 +202,12 @@ def _alike(a: str, b: str, threshold: int) -> Column:
 
 
 def _children(node: Column, salt: int, count: int, group: int) -> Column:
-    """``count`` child nodes, each for ``group`` coordinates that the node's hash picks and the values found there."""
+    """Array of ``count`` child nodes, each for ``group`` coordinates that the node's hash picks and the values found there."""
     kids = []
     for j in range(count):
         at = [F.pmod(F.xxhash64(F.lit((salt * 64 + j) * 16 + g), node), F.lit(SKETCH)).cast("int") + 1 for g in range(group)]
         kids.append(F.xxhash64(F.lit(salt), F.lit(j), node, *[F.element_at("mins", i) for i in at]))
-    return F.explode(F.array_distinct(F.array(*kids)))
+    return F.array_distinct(F.array(*kids))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFrame:
@@ -224,11 +224,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFra
     classes = scratch.keep(rows.where("n_shingles > 0 and doc_id is not null").groupBy("set1", "set2").agg(
         F.min_by(F.struct("doc_id", "n_shingles", "sig", "mins"), "doc_id").alias("r"), F.count(F.lit(1)).alias("class_size"))
         .select("set1", "set2", F.col("r.doc_id").alias("rep"), F.col("r.n_shingles").alias("n"), "r.sig", "r.mins", "class_size"), "classes")
-    members = None
-    for tree in range(TREES):
-        part = classes.select("rep", "n", "sig", _children(F.lit(tree), tree, ROOT, 1).alias("node"))
-        members = part if members is None else members.union(part)
-    members = scratch.keep(members, "members")
+    roots = F.concat(*[_children(F.lit(tree), tree, ROOT, 1) for tree in range(TREES)])
+    members = scratch.keep(classes.select("rep", "n", "sig", F.explode(roots).alias("node")), "members")
     stars, pairs, labels = [], [], None
     for depth in range(1, DEPTH + 1):
         labelled = _labelled(members, labels)
@@ -251,13 +248,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFra
         still = large.groupBy("node").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("node", "lo")
         large = scratch.keep(large.join(still, "node"), "large")
         scratch.drop(mixed)
-        if not large.limit(1).count():
+        if large.isEmpty():
             break
         if depth == DEPTH:
             pairs.append(scratch.keep(_rest_pairs(large, threshold), "pairs"))
         else:
             members = scratch.keep(large.join(classes.select("rep", "mins"), "rep").select(
-                "rep", "n", "sig", _children(F.col("node"), TREES + depth, BRANCH, GROUP).alias("node")).distinct(), "members")
+                "rep", "n", "sig", F.explode(_children(F.col("node"), TREES + depth, BRANCH, GROUP)).alias("node")).distinct(), "members")
             scratch.drop(large)
     links = _union([_confirm(_union(pairs), docs, k, threshold, scratch), *stars])
     labels = connected_components(links, scratch)

@@ -2,8 +2,10 @@
 import itertools
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from switchboard.llm import minhash, recurrent, surrogates, vectors
+from switchboard.llm.components import connected_components
 from switchboard.llm.scratch import Scratch
 from test_operators import components
 
@@ -63,3 +65,32 @@ def test_numbers_of_a_full_format_come_to_an_end(spark, monkeypatch):
         new = [r["same"] for r in got if r["kind"] == kind]
         assert len(new) == len(set(new)) == 80 and not set(new) & {r["canon"] for r in got}
     assert all(r["surrogate"].startswith("+352 ") for r in got if r["kind"] == "phone")
+
+
+def _jobs(spark, group, run):
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        out = run()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        sc.setLocalProperty("spark.job.description", None)
+    return out, len(sc.statusTracker().getJobIdsForGroup(group))
+
+
+def test_components_take_few_jobs_a_round(spark):
+    """A job is a plan and broadcasts that the driver makes and holds; links are read once a round, labels twice."""
+    links = [(i, i + 1) for i in range(40)] + [(100, 200 + i) for i in range(300)] + [(7, 7), (None, 5), (900, 901), (901, 900)]
+    df = spark.createDataFrame(links, "a bigint, b bigint")
+    got, jobs = _jobs(spark, f"components-{id(df)}", lambda: connected_components(df, Scratch(spark, "test")))
+    want = {i: 0 for i in range(41)} | {100: 100, 900: 900, 901: 900} | {200 + i: 100 for i in range(300)}
+    assert sorted((r["id"], r["label"]) for r in got.collect()) == sorted(want.items())
+    assert jobs <= 36
+
+
+def test_no_name_part_is_lower_cased_by_the_optimizer(spark):
+    """lower() of a literal is folded on the driver, which loads ICU's tables for it; syllables are in lower case as they are."""
+    part = spark.range(1).select(surrogates._part(F.lit("given:m"), F.lit("ann"), F.sha2(F.col("id").cast("string"), 256), F.lit(0)).alias("p"))
+    assert "lower(" not in part._jdf.queryExecution().analyzed().toString()
+    for syllables in surrogates.SYLLABLES.values():
+        assert all(s == s.lower() for s in syllables)

@@ -36,7 +36,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bytetext as B
@@ -47,7 +47,7 @@ SKETCH = 64
 TREES, ROOT, BRANCH, GROUP = 4, 2, 6, 4
 SMALL, DEPTH = 48, 2
 #: rows of a large node that are compared with one unconnected class at once
-REST = 4096
+REST = 1024
 #: Of 64 four-bit minwise values, a pair of similarity 0.8 differs in 12 on average (sd 3.1); more than
 #: this many is 4.7 deviations away.
 MAX_OFF = 26
@@ -169,17 +169,19 @@ def _filter_by(df: DataFrame, key: str, keys: DataFrame, bits: int) -> DataFrame
             .where(F.expr("getbit(_bits, cast(_s % 64 as int))") == 1).select(*df.columns))
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, k: int, threshold: int, scratch: Scratch) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 |A & B| >= threshold |A | B|."""
+def _confirm(pairs: DataFrame, docs: DataFrame, k: int, threshold: int, scratch: Scratch, spent: list[DataFrame] = ()) -> DataFrame:
+    """The pairs (a, b) whose full sets have 100 |A & B| >= threshold |A | B|; ``spent`` are tables that only ``pairs`` still reads."""
     pairs = scratch.keep(pairs.distinct(), "pairs")
-    ids = scratch.keep(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+    for t in spent:
+        scratch.drop(t)
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     texts = _filter_by(docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text")),
                        "id", ids, FILTER_BITS)
-    sets = scratch.keep(_sets(texts, k).join(ids, "id", "left_semi").dropDuplicates(), "sets")
+    sets = scratch.keep(_sets(texts, k).join(ids.distinct(), "id", "left_semi").dropDuplicates(), "sets")
     one = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
     both = one.join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b").select("a", "b", "sa", "sb")
     out = scratch.keep(both.mapInArrow(lambda it: _hits(it, threshold), "a bigint, b bigint"), "links")
-    for t in (pairs, ids, sets):
+    for t in (pairs, sets):
         scratch.drop(t)
     return out
 
@@ -226,7 +228,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFra
         .select("set1", "set2", F.col("r.doc_id").alias("rep"), F.col("r.n_shingles").alias("n"), "r.sig", "r.mins", "class_size"), "classes")
     roots = F.concat(*[_children(F.lit(tree), tree, ROOT, 1) for tree in range(TREES)])
     members = scratch.keep(classes.select("rep", "n", "sig", F.explode(roots).alias("node")), "members")
-    stars, pairs, labels = [], [], None
+    stars, pairs, labels, spent = [], [], None, []
     for depth in range(1, DEPTH + 1):
         labelled = _labelled(members, labels)
         nodes = labelled.groupBy("node").agg(
@@ -242,21 +244,26 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFra
         now = _labelled(mixed.select("node", "rep", "n", "sig", "c"), labels)
         # the classes of small nodes not yet connected, exhaustively
         x, y = now.where(F.col("c") <= SMALL).alias("x"), now.where(F.col("c") <= SMALL).alias("y")
-        pairs.append(scratch.keep(x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.label") != F.col("y.label"))
-                                         & _alike("x", "y", threshold)).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct(), "pairs"))
+        found = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.label") != F.col("y.label"))
+                       & _alike("x", "y", threshold)).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+        # those of the last level are written once, with all other pairs
+        pairs.append(found if depth == DEPTH else scratch.keep(found.distinct(), "pairs"))
         large = now.where(F.col("c") > SMALL)
         still = large.groupBy("node").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("node", "lo")
         large = scratch.keep(large.join(still, "node"), "large")
-        scratch.drop(mixed)
+        if depth == DEPTH:
+            spent = [mixed, large]
+        else:
+            scratch.drop(mixed)
         if large.isEmpty():
             break
         if depth == DEPTH:
-            pairs.append(scratch.keep(_rest_pairs(large, threshold), "pairs"))
+            pairs.append(_rest_pairs(large, threshold))
         else:
             members = scratch.keep(large.join(classes.select("rep", "mins"), "rep").select(
                 "rep", "n", "sig", F.explode(_children(F.col("node"), TREES + depth, BRANCH, GROUP)).alias("node")).distinct(), "members")
             scratch.drop(large)
-    links = _union([_confirm(_union(pairs), docs, k, threshold, scratch), *stars])
+    links = _union([_confirm(_union(pairs), docs, k, threshold, scratch, spent), *stars])
     labels = connected_components(links, scratch)
     reps = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
         "set1", "set2", F.coalesce("label", "rep").alias("component_id"), "class_size")
@@ -287,21 +294,55 @@ def _rest_pairs(large: DataFrame, threshold: int) -> DataFrame:
     One of such a pair does not have the node's most frequent label; those
     are compared with all of the node. Both sides are dealt into parts of
     about REST rows, each part of the one meeting each of the other in a
-    group of its own, so that no group grows with the node. A class is in
+    group of its own, so that no group grows with the node. (A join of the two
+    sides is split at hot nodes into runs of the one times runs of the other:
+    thousands of tasks for little work.) A class is in
     TREES * ROOT * BRANCH ** (DEPTH - 1) nodes at most, so its list of nodes
     is bounded.
     """
     of = large.groupBy("node", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("node").agg(
         F.max(F.struct("k", "label")).alias("m"), F.sum("k").alias("total")).select("node", F.col("m.label").alias("most"), (F.col("total") - F.col("m.k")).alias("few"))
-    nodes = large.groupBy("rep").agg(F.collect_set("node").alias("nodes"))
-    rows = (large.join(of, "node").join(nodes, "rep").withColumn("odd", F.col("label") != F.col("most"))
+    rows = (large.join(of, "node").withColumn("nodes", F.collect_set("node").over(Window.partitionBy("rep"))).withColumn("odd", F.col("label") != F.col("most"))
             .withColumn("parts", F.ceil(F.col("c") / REST).cast("int")).withColumn("odd_parts", F.ceil(F.col("few") / REST).cast("int")))
     dealt = lambda salt, parts: F.pmod(F.xxhash64(F.lit(salt), "rep"), F.col(parts)).cast("int")
     every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
-    odd = rows.where("odd").withColumn("part", every("parts")).withColumn("odd_part", dealt(1, "odd_parts")).alias("x")
-    all_rows = rows.withColumn("part", dealt(0, "parts")).withColumn("odd_part", every("odd_parts")).alias("y")
-    once = (~F.col("y.odd") | (F.col("x.rep") < F.col("y.rep")))
-    return odd.join(all_rows, (F.col("x.node") == F.col("y.node")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.odd_part") == F.col("y.odd_part"))
-                    & (F.col("x.label") != F.col("y.label")) & once
-                    & _alike("x", "y", threshold) & (F.array_min(F.array_intersect("x.nodes", "y.nodes")) == F.col("x.node"))).select(
-        F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
+    group = ["node", "part", "odd_part"]
+    of_row = [F.col(c).alias(c.removeprefix("sig.")) for c in (*group, "rep", "n", "label", "odd", *[f"sig.{f}" for f in _SIG], "nodes")]
+    odd = rows.where("odd").withColumn("part", every("parts")).withColumn("odd_part", dealt(1, "odd_parts")).select(of_row)
+    all_rows = rows.withColumn("part", dealt(0, "parts")).withColumn("odd_part", every("odd_parts")).select(of_row)
+    return odd.groupBy(group).cogroup(all_rows.groupBy(group)).applyInArrow(lambda x, y: _alike_block(x, y, threshold), "a bigint, b bigint")
+
+
+def _alike_block(x: pa.Table, y: pa.Table, threshold: int) -> pa.Table:
+    """The alike pairs (see ``_alike``) of a row of ``x`` and one of ``y`` that have their node as the smallest in common."""
+    def numbers(t: pa.Table, name: str, kind=np.int64) -> np.ndarray:
+        return t.column(name).to_numpy().view(kind)
+
+    node, found = set(x.column("node").slice(0, 1).to_pylist()), [np.zeros((2, 0), np.int64)]
+    n_x, n_y, rep_x, rep_y, label_x, label_y = (numbers(t, c) for c in ("n", "rep", "label") for t in (x, y))
+    plain = ~np.asarray(y.column("odd").to_numpy(), bool)
+    sig_x, sig_y = ([numbers(t, c, np.uint64) for c in _SIG] for t in (x, y))
+    nodes_x, nodes_y = ([set(v) for v in t.column("nodes").to_pylist()] for t in (x, y))
+    # so many rows of x at a time that a block has about a million pairs
+    step = max(1, (1 << 20) // max(1, len(rep_y)))
+    for at in range(0, len(rep_x) if len(rep_y) else 0, step):
+        some = slice(at, at + step)
+        n, m = n_x[some, None], n_y[None, :]
+        hit = (label_x[some, None] != label_y) & (plain | (rep_x[some, None] < rep_y)) & (np.minimum(n, m) * 100 >= np.maximum(n, m) * threshold)
+        odd = np.zeros(hit.shape, np.int64)
+        for p, q in zip(sig_x[SKETCH // 16:], sig_y[SKETCH // 16:]):
+            odd += np.bitwise_count(p[some, None] ^ q)
+        hit &= odd * (100 + threshold) <= (n + m) * (100 - threshold)
+        i, j = np.nonzero(hit)
+        i += at
+        off = np.zeros(len(i), np.int64)
+        for p, q in zip(sig_x[:SKETCH // 16], sig_y[:SKETCH // 16]):
+            d = p[i] ^ q[j]
+            d |= d >> np.uint64(1)
+            d |= d >> np.uint64(2)
+            off += np.bitwise_count(d & np.uint64(0x1111111111111111))
+        i, j = i[off <= MAX_OFF], j[off <= MAX_OFF]
+        least = np.array([min(nodes_x[u] & nodes_y[v]) in node for u, v in zip(i.tolist(), j.tolist())], bool)
+        found.append(np.stack([i[least], j[least]]))
+    i, j = np.concatenate(found, axis=1)
+    return pa.table({"a": np.minimum(rep_x[i], rep_y[j]), "b": np.maximum(rep_x[i], rep_y[j])})

@@ -94,3 +94,41 @@ def test_no_name_part_is_lower_cased_by_the_optimizer(spark):
     assert "lower(" not in part._jdf.queryExecution().analyzed().toString()
     for syllables in surrogates.SYLLABLES.values():
         assert all(s == s.lower() for s in syllables)
+
+
+def test_remaining_pairs_of_a_hot_node_take_few_tasks(spark):
+    """Equal to the pairs by ``_alike``; a hot node is not split into runs of one side times runs of the other."""
+    rng = np.random.default_rng(14)
+    rows = []
+    for rep in range(400):
+        family, n = rep % 9, 300 + rep % 40
+        base = np.random.default_rng(family).integers(-2 ** 63, 2 ** 63, len(minhash._SIG))
+        flips = [sum(1 << int(b) for b in rng.choice(63, rng.integers(0, 12), replace=False)) for _ in base]
+        sig = {f: int(x) ^ y for f, x, y in zip(minhash._SIG, base, flips)}
+        rows += [(v, rep, n, sig, rep if rep % 5 else 1000 + family, 400, 0) for v in ((1, 2) if rep % 3 else (2,))]
+    kind = ", ".join(f"{f}: bigint" for f in minhash._SIG)
+    schema = f"node bigint, rep bigint, n bigint, sig struct<{kind}>, label bigint, c bigint, lo bigint"
+    large = Scratch(spark, "test").keep(spark.createDataFrame(rows, schema))
+    hot = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+           "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+           "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.shuffle.partitions": "12",
+           "spark.sql.files.maxPartitionBytes": "8k", "spark.sql.files.openCostInBytes": "1k"}
+    was = {c: spark.conf.get(c) for c in hot}
+    sc, group = spark.sparkContext, "hot-node"
+    try:
+        for c, v in hot.items():
+            spark.conf.set(c, v)
+        sc.setJobGroup(group, group)
+        got = sorted((r["a"], r["b"]) for r in minhash._rest_pairs(large.repartition(40), 80).collect())
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        sc.setLocalProperty("spark.job.description", None)
+        for c, v in was.items():
+            spark.conf.set(c, v)
+    one = large.where("node = 2")
+    want = one.alias("x").join(one.alias("y"), (F.col("x.rep") < F.col("y.rep")) & (F.col("x.label") != F.col("y.label")) & minhash._alike("x", "y", 80))
+    want = sorted(tuple(r) for r in want.select(F.col("x.rep"), F.col("y.rep")).collect())
+    assert 100 < len(want) < 400 * 399 / 2 / 2 and got == want
+    infos = [sc.statusTracker().getStageInfo(s) for j in sc.statusTracker().getJobIdsForGroup(group) for s in sc.statusTracker().getJobInfo(j).stageIds]
+    tasks = max(i.numTasks for i in infos if i)
+    assert tasks <= 60, tasks

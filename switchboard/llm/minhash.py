@@ -129,28 +129,9 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
             for part in B.slices(b, "text"):
                 h, first = B.shingles(B.words(B.flat(part.column(1)), B.SPACED), k)
                 h, first = _distinct(h, first)
-                raw = [h[first[i]: first[i + 1]].tobytes() for i in range(part.num_rows)]
-                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(raw, pa.binary())], names=["id", "set"])
-    return docs.mapInArrow(run, "id bigint, set binary")
-
-
-def _hits(batches, threshold: int):
-    for b in batches:
-        keep = np.zeros(b.num_rows, bool)
-        last, x = None, None
-        for i in range(b.num_rows):
-            raw = b.column(3)[i].as_buffer()
-            if last is None or not raw.equals(last):  # pairs come in runs of one b
-                last, x = raw, np.frombuffer(raw, np.uint64)
-            y = np.frombuffer(b.column(2)[i].as_buffer(), np.uint64)
-            small, large = (x, y) if len(x) <= len(y) else (y, x)
-            if not len(small):
-                continue
-            at = np.searchsorted(large, small)
-            at[at == len(large)] = 0
-            both = int((large[at] == small).sum())
-            keep[i] = 100 * both >= threshold * (len(x) + len(y) - both)
-        yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in (b.column(0), b.column(1))], names=["a", "b"])
+                sets = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(_signed(h)))
+                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), sets], names=["id", "set"])
+    return docs.mapInArrow(run, "id bigint, set array<bigint>")
 
 
 def _filter_by(df: DataFrame, key: str, keys: DataFrame, bits: int) -> DataFrame:
@@ -179,8 +160,11 @@ def _confirm(pairs: DataFrame, docs: DataFrame, k: int, threshold: int, scratch:
                        "id", ids, FILTER_BITS)
     sets = scratch.keep(_sets(texts, k).join(ids.distinct(), "id", "left_semi").dropDuplicates(), "sets")
     one = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
-    both = one.join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b").select("a", "b", "sa", "sb")
-    out = scratch.keep(both.mapInArrow(lambda it: _hits(it, threshold), "a bigint, b bigint"), "links")
+    both = one.join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
+    # 100 |A & B| >= threshold |A | B| with |A | B| = |A| + |B| - |A & B|
+    common, total = F.size(F.array_intersect("sa", "sb")).cast("bigint"), F.size("sa").cast("bigint") + F.size("sb")
+    hit = (F.size("sa") > 0) & (F.size("sb") > 0) & (common * (100 + threshold) >= total * threshold)
+    out = scratch.keep(both.where(hit).select("a", "b"), "links")
     for t in (pairs, sets):
         scratch.drop(t)
     return out

@@ -4,10 +4,10 @@ Each round every vertex takes the smallest label among its own, its
 neighbours' and its label's label; rounds needed grow with the logarithm of
 the longest chain. Labels stay in tables; only whether rows changed comes to
 the driver. A vertex with very many links is no hot task: links are
-aggregated before they are shuffled, and the joins against one row a vertex
-can be split. Every vertex has a link to itself in the table of links, so a
-round reads that table once and the labels twice: each table read and each
-stage is a plan and broadcasts that the driver makes, whatever their rows.
+aggregated before they are shuffled, and the join against one row a vertex
+can be split. A vertex's label counts as one more neighbour, so a round is a
+single join of links and labels with the labels: each join of a small table
+is a broadcast that the driver builds and holds, whatever its rows.
 """
 
 from __future__ import annotations
@@ -25,15 +25,14 @@ def connected_components(links: DataFrame, scratch: Scratch) -> DataFrame:
     with a null end are ignored.
     """
     ok = links.where("a is not null and b is not null and a <> b")
-    ways = F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in ("ab", "ba", "aa", "bb")])
+    ways = F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in ("ab", "ba")])
     edges = scratch.keep(ok.select(F.explode(ways).alias("e")).select("e.*").distinct(), "edges")
-    labels = scratch.keep(edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("label")), "labels")
+    labels = scratch.keep(edges.groupBy(F.col("a").alias("id")).agg(F.least("id", F.min("b")).alias("label")), "labels")
     while True:
-        low = edges.join(labels, edges.b == labels.id).groupBy(F.col("a").alias("id")).agg(
-            F.max(F.when(F.col("a") == F.col("b"), F.col("label"))).alias("was"), F.min("label").alias("low"))
-        jump = labels.select(F.col("id").alias("low"), F.col("label").alias("far"))
-        new = scratch.keep(low.join(jump, "low", "left")
-                           .select("id", F.least("low", F.coalesce("far", "low")).alias("label"), "was"), "labels")
+        near = edges.select("a", "b", F.lit(None).cast(edges.schema["a"].dataType).alias("was")).union(
+            labels.select("id", "label", F.col("label").alias("was")))
+        new = scratch.keep(near.join(labels, near.b == labels.id).groupBy(F.col("a").alias("id")).agg(
+            F.min("label").alias("label"), F.max("was").alias("was")), "labels")
         moved = not new.where("label < was").isEmpty()
         scratch.drop(labels)
         labels = new.drop("was")

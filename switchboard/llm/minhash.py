@@ -150,9 +150,13 @@ def _filter_by(df: DataFrame, key: str, keys: DataFrame, bits: int) -> DataFrame
             .where(F.expr("getbit(_bits, cast(_s % 64 as int))") == 1).select(*df.columns))
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, k: int, threshold: int, scratch: Scratch, spent: list[DataFrame] = ()) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 |A & B| >= threshold |A | B|; ``spent`` are tables that only ``pairs`` still reads."""
-    pairs = scratch.keep(pairs.distinct(), "pairs")
+def _components(pairs: DataFrame, docs: DataFrame, k: int, threshold: int, scratch: Scratch, spent: list[DataFrame] = (), known: list[DataFrame] = ()) -> DataFrame:
+    """Components (id, label) of the labels of each pair(a, b, la, lb) whose full sets have 100 |A & B| >= threshold |A | B|.
+
+    ``spent`` are tables that only ``pairs`` still reads, ``known`` labels(id, label) that are links as well. Of a pair met at two
+    levels the later labels count, which are the smaller ones.
+    """
+    pairs = scratch.keep(pairs.groupBy("a", "b").agg(F.min("la").alias("la"), F.min("lb").alias("lb")), "pairs")
     for t in spent:
         scratch.drop(t)
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
@@ -164,7 +168,8 @@ def _confirm(pairs: DataFrame, docs: DataFrame, k: int, threshold: int, scratch:
     # 100 |A & B| >= threshold |A | B| with |A | B| = |A| + |B| - |A & B|
     common, total = F.size(F.array_intersect("sa", "sb")).cast("bigint"), F.size("sa").cast("bigint") + F.size("sb")
     hit = (F.size("sa") > 0) & (F.size("sb") > 0) & (common * (100 + threshold) >= total * threshold)
-    out = scratch.keep(both.where(hit).select("a", "b"), "links")
+    links = both.where(hit).select(F.col("la").alias("a"), F.col("lb").alias("b"))
+    out = connected_components(_union([links, *[x.select(F.col("id").alias("a"), F.col("label").alias("b")) for x in known]]), scratch)
     for t in (pairs, sets):
         scratch.drop(t)
     return out
@@ -211,28 +216,28 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFra
         F.min_by(F.struct("doc_id", "n_shingles", "sig", "mins"), "doc_id").alias("r"), F.count(F.lit(1)).alias("class_size"))
         .select("set1", "set2", F.col("r.doc_id").alias("rep"), F.col("r.n_shingles").alias("n"), "r.sig", "r.mins", "class_size"), "classes")
     roots = F.concat(*[_children(F.lit(tree), tree, ROOT, 1) for tree in range(TREES)])
-    members = scratch.keep(classes.select("rep", "n", "sig", F.explode(roots).alias("node")), "members")
-    stars, pairs, labels, spent = [], [], None, []
+    members = classes.select("rep", "n", "sig", F.col("rep").alias("label"), F.explode(roots).alias("node"))
+    # a level's labels lead from those of the level before (at first the classes themselves) to theirs: a component
+    # found is one vertex from then on
+    levels, pairs, spent = [], [], []
     for depth in range(1, DEPTH + 1):
-        labelled = _labelled(members, labels)
-        nodes = labelled.groupBy("node").agg(
+        nodes = members.groupBy("node").agg(
             F.count(F.lit(1)).alias("c"), F.min("label").alias("lo"), F.max("label").alias("hi"),
             F.min(F.struct(F.xxhash64("rep", "node").alias("o"), "rep", "n", "sig", "label")).alias("hub")).where("lo < hi").select("node", "c", "hub")
-        mixed = scratch.keep(labelled.join(nodes, "node"), "mixed")
+        mixed = scratch.keep(members.join(nodes, "node"), "mixed")
         scratch.drop(members)
         # every class of a node against the node's hub
         star = mixed.alias("m").where(_alike("m", "hub", threshold) & (F.col("label") != F.col("hub.label"))).select(
-            F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b"))
-        stars.append(_confirm(star, docs, k, threshold, scratch))
-        labels = connected_components(_union(stars), scratch).select(F.col("id").alias("rep"), "label")
-        now = _labelled(mixed.select("node", "rep", "n", "sig", "c"), labels)
+            *_ends("m", "hub"))
+        levels.append(_components(star, docs, k, threshold, scratch))
+        now = _labelled(mixed.select("node", "rep", "n", "sig", "c", "label"), levels[-1])
         # the classes of small nodes not yet connected, exhaustively
         x, y = now.where(F.col("c") <= SMALL).alias("x"), now.where(F.col("c") <= SMALL).alias("y")
         found = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.label") != F.col("y.label"))
-                       & _alike("x", "y", threshold)).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+                       & _alike("x", "y", threshold)).select(*_ends("x", "y"))
         # those of the last level are written once, with all other pairs
         pairs.append(found if depth == DEPTH else scratch.keep(found.distinct(), "pairs"))
-        large = now.where(F.col("c") > SMALL)
+        large = now.where(F.col("c") > SMALL).select("node", "rep", "n", "sig", "c", "label")
         still = large.groupBy("node").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("node", "lo")
         large = scratch.keep(large.join(still, "node"), "large")
         if depth == DEPTH:
@@ -245,12 +250,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFra
             pairs.append(_rest_pairs(large, threshold))
         else:
             members = scratch.keep(large.join(classes.select("rep", "mins"), "rep").select(
-                "rep", "n", "sig", F.explode(_children(F.col("node"), TREES + depth, BRANCH, GROUP)).alias("node")).distinct(), "members")
+                "rep", "n", "sig", "label", F.explode(_children(F.col("node"), TREES + depth, BRANCH, GROUP)).alias("node")).distinct(), "members")
             scratch.drop(large)
-    links = _union([_confirm(_union(pairs), docs, k, threshold, scratch, spent), *stars])
-    labels = connected_components(links, scratch)
-    reps = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "set1", "set2", F.coalesce("label", "rep").alias("component_id"), "class_size")
+    levels.append(_components(_union(pairs), docs, k, threshold, scratch, spent, levels[1:]))
+    reps = classes.select("set1", "set2", "class_size", F.col("rep").alias("label"))
+    for level in (levels[0], levels[-1]):
+        reps = _labelled(reps, level)
+    reps = reps.select("set1", "set2", F.col("label").alias("component_id"), "class_size")
     own = F.col("n_shingles") > 0
     return rows.select("doc_id", "key", "n_shingles", "set1", "set2").join(reps, ["set1", "set2"], "left").select(
         "doc_id", "key", "n_shingles", F.when(own & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
@@ -265,11 +271,15 @@ def _union(tables: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """``rows`` with label: the class's component by the links to hubs found so far, else the class itself."""
-    if labels is None:
-        return rows.withColumn("label", F.col("rep"))
-    return rows.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+def _ends(x: str, y: str) -> list[Column]:
+    """A pair of classes and their labels, both in order."""
+    return [f(f"{x}.{of}", f"{y}.{of}").alias(name) for of, names in (("rep", "ab"), ("label", ("la", "lb"))) for f, name in zip((F.least, F.greatest), names)]
+
+
+def _labelled(rows: DataFrame, level: DataFrame) -> DataFrame:
+    """``rows`` with their label replaced by the one that ``level``(id, label) has for it, if any."""
+    to = level.select(F.col("id").alias("label"), F.col("label").alias("_to"))
+    return rows.join(to, "label", "left").withColumn("label", F.coalesce("_to", "label")).drop("_to")
 
 
 def _rest_pairs(large: DataFrame, threshold: int) -> DataFrame:
@@ -294,7 +304,7 @@ def _rest_pairs(large: DataFrame, threshold: int) -> DataFrame:
     of_row = [F.col(c).alias(c.removeprefix("sig.")) for c in (*group, "rep", "n", "label", "odd", *[f"sig.{f}" for f in _SIG], "nodes")]
     odd = rows.where("odd").withColumn("part", every("parts")).withColumn("odd_part", dealt(1, "odd_parts")).select(of_row)
     all_rows = rows.withColumn("part", dealt(0, "parts")).withColumn("odd_part", every("odd_parts")).select(of_row)
-    return odd.groupBy(group).cogroup(all_rows.groupBy(group)).applyInArrow(lambda x, y: _alike_block(x, y, threshold), "a bigint, b bigint")
+    return odd.groupBy(group).cogroup(all_rows.groupBy(group)).applyInArrow(lambda x, y: _alike_block(x, y, threshold), "a bigint, b bigint, la bigint, lb bigint")
 
 
 def _alike_block(x: pa.Table, y: pa.Table, threshold: int) -> pa.Table:
@@ -329,4 +339,5 @@ def _alike_block(x: pa.Table, y: pa.Table, threshold: int) -> pa.Table:
         least = np.array([min(nodes_x[u] & nodes_y[v]) in node for u, v in zip(i.tolist(), j.tolist())], bool)
         found.append(np.stack([i[least], j[least]]))
     i, j = np.concatenate(found, axis=1)
-    return pa.table({"a": np.minimum(rep_x[i], rep_y[j]), "b": np.maximum(rep_x[i], rep_y[j])})
+    return pa.table({name: f(of_x[i], of_y[j]) for of_x, of_y, names in ((rep_x, rep_y, "ab"), (label_x, label_y, ("la", "lb")))
+                     for f, name in zip((np.minimum, np.maximum), names)})

@@ -88,6 +88,52 @@ def test_components_take_few_jobs_a_round(spark):
     assert jobs <= 36
 
 
+def test_a_round_of_components_is_one_join(spark):
+    """Each join of a small table is a broadcast that the driver builds and holds; a vertex's label counts as one more neighbour."""
+    df = spark.createDataFrame([(i, i + 1) for i in range(12)] + [(50, 60), (60, 55), (60, 60), (None, 5)], "a bigint, b bigint")
+    plans = []
+
+    class Plans(Scratch):
+        def keep(self, df, name="t"):
+            plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+            return super().keep(df, name)
+
+    got = connected_components(df, Plans(spark, "test"))
+    want = {i: 0 for i in range(13)} | {50: 50, 55: 50, 60: 50}
+    assert sorted((r["id"], r["label"]) for r in got.collect()) == sorted(want.items())
+    rounds = [p for name, p in plans if name == "labels"][1:]
+    assert rounds and all(p.count("Join ") == 1 for p in rounds)
+
+
+def test_near_duplicates_take_few_tables(spark):
+    """A component found at one level is one vertex of the next, so later rounds are few; links and the first members are no tables."""
+    rng = np.random.default_rng(3)
+    rows, want = [], {}
+    for family in range(6):
+        words = [f"w{family}x{i}" for i in range(200)]
+        for j in range(90):
+            mine, doc_id = list(words), 1000 * family + 7 * j % 631
+            for at in rng.choice(200, 3, replace=False):
+                mine[at] = f"n{family}x{j}x{at}"
+            rows.append((doc_id, " ".join(mine)))
+            want[doc_id] = 1000 * family
+    names = []
+
+    class Tables(Scratch):
+        def keep(self, df, name="t"):
+            names.append(name)
+            return super().keep(df, name)
+
+    was, minhash.Scratch = minhash.Scratch, Tables
+    try:
+        got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), k=2, threshold=80)
+        assert {r["doc_id"]: r["component_id"] for r in got.collect()} == want
+    finally:
+        minhash.Scratch = was
+    assert "links" not in names and names.count("members") <= minhash.DEPTH - 1
+    assert len(names) <= 18, names
+
+
 def test_no_name_part_is_lower_cased_by_the_optimizer(spark):
     """lower() of a literal is folded on the driver, which loads ICU's tables for it; syllables are in lower case as they are."""
     part = spark.range(1).select(surrogates._part(F.lit("given:m"), F.lit("ann"), F.sha2(F.col("id").cast("string"), 256), F.lit(0)).alias("p"))
